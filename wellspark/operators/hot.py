@@ -1,0 +1,53 @@
+"""Splitting entities that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from wellspark.functions.columns import quoted, seconds_between
+
+# An entity with more rows than this is cut into time slices.
+MAX_ROWS_PER_GROUP = 2_000_000
+# Slices have equal width in time, so they are made finer than an even spread would need.
+SLICES_PER_LIMIT = 4
+
+SLICE = "_slice"
+
+
+def _distance(start: Column, end: Column, is_date: bool) -> Column:
+    if is_date:
+        return F.datediff(end, start).cast("double")
+    return seconds_between(start, end).cast("double")
+
+
+def split_hot(df: DataFrame, keys: list[str], time: str,
+              max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
+    """Add a slice number that cuts only over-full entities, in time order.
+
+    Rows of an entity with at most ``max_rows`` rows are all in slice 0. A larger entity is cut
+    into equal time slices between its first and last row. The slice is a function of the row's
+    own values, so a recomputed task gives the same answer. The list of hot entities holds at
+    most ``total rows / max_rows`` rows, which is why it may be broadcast.
+    """
+    is_date = dict(df.dtypes)[time] == "date"
+    hot = (
+        df.groupBy(*[quoted(k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(quoted(time)).alias("_first"),
+             F.max(quoted(time)).alias("_last"))
+        .where(F.col("_n") > max_rows)
+        .select(
+            *[quoted(k).alias(f"_hot_{i}") for i, k in enumerate(keys)],
+            "_first",
+            _distance(F.col("_first"), F.col("_last"), is_date).alias("_span"),
+            F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.lit(max_rows)).alias("_slices"),
+        )
+    )
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & quoted(k).eqNullSafe(F.col(f"_hot_{i}"))
+    position = _distance(F.col("_first"), quoted(time), is_date) / (F.col("_span") + 1)
+    return df.join(F.broadcast(hot), same, "left").select(
+        *[quoted(c) for c in df.columns],
+        F.coalesce(F.floor(position * F.col("_slices")), F.lit(0)).cast("long").alias(SLICE),
+    )
