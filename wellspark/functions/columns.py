@@ -72,6 +72,10 @@ def rescale(value: Column, from_lo: float, from_hi: float, to_lo: float, to_hi:
     return F.lit(to_lo) + (value - F.lit(from_lo)) / F.lit(from_hi - from_lo) * F.lit(to_hi - to_lo)
 
 
+def rounded(value: Column, decimals: int | None) -> Column:
+    return value if decimals is None else F.round(value, decimals)
+
+
 def money(column: Column) -> Column:
     """Two-decimal exact form, so that sums do not depend on the order of rows."""
     return column.cast("decimal(18,2)")

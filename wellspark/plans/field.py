@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.functions.columns import month_start
+from wellspark.functions.columns import month_start, rounded
 from wellspark.operators.parity import side_by_side
 from wellspark.operators.quantiles import exact_quantiles
 from wellspark.operators.rollup import sums_by_dimension, top
@@ -72,7 +72,8 @@ def monthly_rollup(daily: DataFrame) -> DataFrame:
         *[F.sum(v).cast("double").alias(f"total_{v.split('_')[0]}") for v in VOLUMES])
 
 
-def production_summary(daily: DataFrame, wells: DataFrame) -> DataFrame:
+def production_summary(daily: DataFrame, wells: DataFrame,
+                       decimals: int | None = 2) -> DataFrame:
     """Per well name: producing days, totals, mean daily oil; wells without data included."""
     per_day = daily.groupBy(CODE, "date").agg(
         F.sum("oil_volume").alias("_oil"), F.count("oil_volume").alias("_n"),
@@ -82,9 +83,10 @@ def production_summary(daily: DataFrame, wells: DataFrame) -> DataFrame:
         F.sum("_oil").alias("_oil"), F.sum("_n").alias("_n"), F.sum("_gas").alias("_gas"))
     return named.groupBy(NAME).agg(
         F.count("date").alias("days_producing"),
-        F.round(F.sum("_oil"), 2).cast("double").alias("total_oil"),
-        F.round(F.sum("_gas"), 2).cast("double").alias("total_gas"),
-        F.round(F.sum("_oil").cast("double") / F.sum("_n"), 2).alias("avg_daily_oil"))
+        rounded(F.sum("_oil"), decimals).cast("double").alias("total_oil"),
+        rounded(F.sum("_gas"), decimals).cast("double").alias("total_gas"),
+        rounded(F.sum("_oil").cast("double") / F.nullif(F.sum("_n"), F.lit(0)), decimals)
+        .alias("avg_daily_oil"))
 
 
 def top_days(daily: DataFrame, wells: DataFrame, n: int = 10) -> DataFrame:

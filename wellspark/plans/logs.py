@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.functions.columns import quoted, rescale
+from wellspark.functions.columns import quoted, rescale, rounded
 
 # Axis ranges of the neutron and density curves and of the gamma-ray track.
 NEUTRON, DENSITY = (0.45, -0.15), (1.95, 2.95)
@@ -24,10 +24,10 @@ def label_balance(logs: DataFrame, label: str) -> DataFrame:
     return logs.groupBy("dataset", quoted(label)).agg(F.count(F.lit(1)).alias("n_samples"))
 
 
-def mean_curves(logs: DataFrame, curves: list[str], decimals: int = 2) -> DataFrame:
-    """Samples and rounded curve means per well."""
+def mean_curves(logs: DataFrame, curves: list[str], decimals: int | None = 2) -> DataFrame:
+    """Samples and curve means per well, rounded unless ``decimals`` is None."""
     return logs.groupBy("WELL").agg(F.count(F.lit(1)).alias("n_samples"), *[
-        F.round(F.sum(quoted(c)).cast("double") / F.nullif(F.count(quoted(c)), F.lit(0)), decimals)
+        rounded(F.sum(quoted(c)).cast("double") / F.nullif(F.count(quoted(c)), F.lit(0)), decimals)
         .alias(f"mean_{c}") for c in curves])
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from wellspark.plans import field as plans
 from wellspark.plans import field_tables
 from wellspark.queries.bindings import bound, table
-from wellspark.queries.registry import query, rounded_mean
+from wellspark.queries.registry import query
 
 _DAILY = ("field_daily",)
 _BOTH = ("field_daily", "field_wells")
@@ -95,12 +95,12 @@ def monthly_rollup_of_daily(spark, sf):
 
 @query("production_summary_by_well", """
 SELECT wellbore_name, count(DISTINCT date) AS days_producing,
-       round(CAST(sum(oil_volume) AS DOUBLE), 2) AS total_oil,
-       round(CAST(sum(gas_volume) AS DOUBLE), 2) AS total_gas,
-       """ + rounded_mean("oil_volume", "avg_daily_oil") + """
+       CAST(sum(oil_volume) AS DOUBLE) AS total_oil,
+       CAST(sum(gas_volume) AS DOUBLE) AS total_gas,
+       CAST(sum(oil_volume) AS DOUBLE) / nullif(count(oil_volume), 0) AS avg_daily_oil
 FROM field_wells LEFT JOIN field_daily USING (npd_wellbore_code) GROUP BY wellbore_name""", _BOTH)
 def production_summary_by_well(spark, sf):
-    return plans.production_summary(*_pair(spark, sf))
+    return plans.production_summary(*_pair(spark, sf), decimals=None)
 
 
 @query("top_producing_days", f"""

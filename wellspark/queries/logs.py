@@ -6,7 +6,7 @@ from wellspark.functions.columns import clean_curves
 from wellspark.operators.splits import leave_one_out
 from wellspark.plans import logs as plans
 from wellspark.queries.bindings import bound
-from wellspark.queries.registry import query, rounded_mean
+from wellspark.queries.registry import query
 
 _CURVES = ["GR", "RHOB", "NPHI", "RDEP"]
 _CLEAN = ("clean AS (SELECT * REPLACE (" + ", ".join(
@@ -34,12 +34,13 @@ def label_balance_by_split(spark, sf):
 
 @query("mean_curves_per_well", "WITH " + _CLEAN + """
 SELECT WELL, count(*) AS n_samples,
-  """ + ", ".join(rounded_mean(f"CAST({c} AS DECIMAL(18,2))", f"mean_{c}")
-                  for c in ("GR", "RDEP")) + " FROM clean GROUP BY WELL", _USES)
+  CAST(sum(CAST(GR AS DECIMAL(18,2))) AS DOUBLE) / count(GR) AS mean_GR,
+  CAST(sum(CAST(RDEP AS DECIMAL(18,2))) AS DOUBLE) / count(RDEP) AS mean_RDEP
+FROM clean GROUP BY WELL""", _USES)
 def mean_curves_per_well(spark, sf):
     exact = _clean(spark, sf).withColumns(
         {c: F.col(c).cast("decimal(18,2)") for c in ("GR", "RDEP")})
-    return plans.mean_curves(exact, ["GR", "RDEP"])
+    return plans.mean_curves(exact, ["GR", "RDEP"], decimals=None)
 
 
 @query("samples_per_formation", """

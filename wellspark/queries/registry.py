@@ -12,14 +12,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def rounded_mean(value: str, name: str) -> str:
-    """SQL of a mean of two-decimal values, rounded half up to two decimals in whole numbers."""
-    total = f"CAST(sum({value}) * 100 AS BIGINT)"
-    n = f"count({value})"
-    return (f"CAST(CASE WHEN {total} < 0 THEN -((-2 * {total} + {n}) // (2 * {n})) "
-            f"ELSE (2 * {total} + {n}) // (2 * {n}) END AS DOUBLE) / 100.0::DOUBLE AS {name}")
-
-
 def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
     """Register a function ``(spark, folder) -> DataFrame``; ``uses`` names the bindings in ``sql``."""
     def register(fn):
