@@ -256,9 +256,10 @@ def sensor_gate(lookup: DataFrame, catalog: DataFrame, wells: DataFrame, observa
     transient = F.col("has_transient")
     label, event = quoted("class"), F.col("event_class")
 
-    # Everything about labels depends on (class of the event, label) only: count those pairs.
-    labels = observations.groupBy("event_class", label.alias("class")).agg(
-        F.count(F.lit(1)).alias("_n")).join(phases, "event_class", "left")
+    # All rules on rows but the cadence follow from one count per instance and label.
+    counted = observations.groupBy(*identity, label.alias("class")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    labels = counted.join(phases, "event_class", "left")
     known = label.isNull() | (label == 0) | (label == event) | F.coalesce(
         label == F.col("transient_code"), F.lit(False))
     steady_only = [c for c in without_transient if c != 0]
@@ -293,10 +294,10 @@ def sensor_gate(lookup: DataFrame, catalog: DataFrame, wells: DataFrame, observa
         check_fk("wells come from real instances", wells, real, ["well_id"],
                  null_is_violation=True),
         check_fk("instances have wells", catalog, wells, ["well_id"]),
-        check_fk("observations have instances", observations, catalog, identity),
+        check_fk("observations have instances", counted, catalog, identity),
         check_counts_match(
             "observations per instance match the catalog",
-            observations.groupBy(*identity).agg(F.count(F.lit(1)).alias("n")),
+            counted.groupBy(*identity).agg(F.sum("_n").alias("n")),
             catalog.select(*identity, F.col("n_rows").alias("n")), identity),
         check_cadence("observations are one second apart", observations, identity, "timestamp"),
         Rule("labels are in their domain", label_rows(~known), DomainError),

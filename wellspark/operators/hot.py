@@ -2,52 +2,123 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspark.functions.columns import quoted, seconds_between
+from wellspark.functions.columns import quoted
 
-# An entity with more rows than this is cut into time slices.
+# An entity with more rows than this is cut into time slices of about this many rows.
 MAX_ROWS_PER_GROUP = 2_000_000
-# Slices have equal width in time, so they are made finer than an even spread would need.
-SLICES_PER_LIMIT = 4
+# Counting bins per slice; a slice is made of whole bins.
+_BINS_PER_SLICE = 16
+# Halving steps that search the slice starts of one entity: up to 2**24 slices.
+_SEARCH = [1 << k for k in range(23, -1, -1)]
 
 SLICE = "_slice"
 
 
-def _distance(start: Column, end: Column, is_date: bool) -> Column:
-    if is_date:
-        return F.datediff(end, start).cast("double")
-    return seconds_between(start, end).cast("double")
+def _ticks(time: Column, dtype: str) -> Column:
+    """The time as a whole number that keeps its order: days, or microseconds of the clock."""
+    if dtype == "date":
+        return F.unix_date(time).cast("long")
+    if dtype == "timestamp":
+        return F.unix_micros(time)
+    if dtype == "timestamp_ntz":
+        day = F.unix_date(time.cast("date")).cast("long")
+        seconds = (day * 24 + F.hour(time)) * 3600 + F.minute(time) * 60
+        return seconds * 1_000_000 + (
+            F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("long")
+    if dtype in ("bigint", "int", "smallint", "tinyint"):
+        return time.cast("long")
+    raise TypeError(f"cannot slice along a column of type {dtype}")
 
 
-def split_hot(df: DataFrame, keys: list[str], time: str,
-              max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
-    """Add a slice number that cuts only over-full entities, in time order.
+def _same_keys(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & quoted(k).eqNullSafe(F.col(f"_hot_{i}"))
+    return same
+
 
-    Rows of an entity with at most ``max_rows`` rows are all in slice 0. A larger entity is cut
-    into equal time slices between its first and last row. The slice is a function of the row's
-    own values, so a recomputed task gives the same answer. The list of hot entities holds at
-    most ``total rows / max_rows`` rows, which is why it may be broadcast.
+def _bin(start: Column, width: Column, tick: Column) -> Column:
+    return F.floor((tick - start) / width).cast("long")
+
+
+def _width(span: Column, n: Column, max_rows: int) -> Column:
+    bins = F.ceil(n / F.lit(max_rows)) * _BINS_PER_SLICE
+    return F.greatest(F.ceil(span / bins).cast("long"), F.lit(1).cast("long"))
+
+
+def _slice_starts(ticks: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
+    """Per hot entity, the sorted first ticks of its slices.
+
+    Rows are counted in equal bins over the entity's span, over-full bins once more in finer
+    ones, and neighbouring bins are put together into slices. Everything is a function of the
+    rows' own values, so a recomputed task gives the same answer.
     """
-    is_date = dict(df.dtypes)[time] == "date"
+    by = [quoted(k) for k in keys]
+    hot_names = [f"_hot_{i}" for i in range(len(keys))]
+    # At most (total rows / max_rows) entities, and as many over-full bins: small enough to
+    # broadcast whatever the size of the table.
     hot = (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(quoted(time)).alias("_first"),
-             F.max(quoted(time)).alias("_last"))
+        ticks.groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_tick").alias("_lo"),
+             F.max("_tick").alias("_hi"))
         .where(F.col("_n") > max_rows)
-        .select(
-            *[quoted(k).alias(f"_hot_{i}") for i, k in enumerate(keys)],
-            "_first",
-            _distance(F.col("_first"), F.col("_last"), is_date).alias("_span"),
-            F.ceil(F.col("_n") * SLICES_PER_LIMIT / F.lit(max_rows)).alias("_slices"),
-        )
+        .select(*[quoted(k).alias(h) for k, h in zip(keys, hot_names)], "_lo",
+                _width(F.col("_hi") - F.col("_lo") + 1, F.col("_n"), max_rows).alias("_width"))
     )
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & quoted(k).eqNullSafe(F.col(f"_hot_{i}"))
-    position = _distance(F.col("_first"), quoted(time), is_date) / (F.col("_span") + 1)
-    return df.join(F.broadcast(hot), same, "left").select(
-        *[quoted(c) for c in df.columns],
-        F.coalesce(F.floor(position * F.col("_slices")), F.lit(0)).cast("long").alias(SLICE),
+    in_bins = ticks.join(F.broadcast(hot), _same_keys(keys)).withColumn(
+        "_start", F.col("_lo") + _bin(F.col("_lo"), F.col("_width"), F.col("_tick"))
+        * F.col("_width"))
+    bins = in_bins.groupBy(*hot_names, "_start", "_width").agg(F.count(F.lit(1)).alias("_n"))
+    full = bins.where(F.col("_n") > max_rows).select(
+        *[F.col(h).alias(f"_full{h}") for h in hot_names], F.col("_start").alias("_full_start"),
+        _width(F.col("_width"), F.col("_n"), max_rows).alias("_fine"))
+    in_full = F.col("_start") == F.col("_full_start")
+    for h in hot_names:
+        in_full = in_full & F.col(h).eqNullSafe(F.col(f"_full{h}"))
+    finer = (
+        in_bins.join(F.broadcast(full), in_full)
+        .withColumn("_start", F.col("_start") + _bin(F.col("_start"), F.col("_fine"),
+                                                     F.col("_tick")) * F.col("_fine"))
+        .groupBy(*hot_names, "_start").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    counted = bins.where(F.col("_n") <= max_rows).select(*hot_names, "_start", "_n").unionByName(
+        finer)
+    before = Window.partitionBy(*hot_names).orderBy("_start").rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (
+        counted.withColumn("_number", F.floor(
+            F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(max_rows)))
+        .groupBy(*hot_names, "_number").agg(F.min("_start").alias("_start"))
+        .groupBy(*hot_names).agg(F.sort_array(F.collect_list("_start")).alias("_starts"))
+    )
+
+
+def has_hot(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_GROUP) -> bool:
+    """Whether any entity has more than ``max_rows`` rows. Runs one job that counts per entity."""
+    sizes = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return not sizes.where(F.col("_n") > max_rows).isEmpty()
+
+
+def split_hot(df: DataFrame, keys: list[str], time: str,
+              max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
+    """Add a slice number that cuts only over-full entities, in time order.
+
+    An entity of at most ``max_rows`` rows is all in slice 0. A larger one is cut into slices of
+    up to about twice ``max_rows`` rows with distinct times.
+    """
+    tick = _ticks(quoted(time), dict(df.dtypes)[time])
+    ticks = df.select(*[quoted(k) for k in keys], tick.alias("_tick"))
+    starts = _slice_starts(ticks, keys, max_rows)
+    found = F.aggregate(
+        F.array(*[F.lit(s) for s in _SEARCH]), F.lit(0),
+        lambda at, step: F.when(F.get(F.col("_starts"), at + step - 1) <= F.col("_tick"),
+                                at + step).otherwise(at))
+    return (
+        df.withColumn("_tick", tick).join(F.broadcast(starts), _same_keys(keys), "left")
+        .select(*[quoted(c) for c in df.columns],
+                F.when(F.col("_starts").isNull(), F.lit(0)).otherwise(found).cast("long")
+                .alias(SLICE))
     )

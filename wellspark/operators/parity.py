@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import quoted
+from wellspark.session import keep
 
 
 class ParityError(Exception):
@@ -91,29 +92,28 @@ def _fingerprint(column: Column, name: str) -> list[Column]:
 _PARTS = ("xor", "low", "high", "min", "max", "count", "nulls")
 
 
-def column_fingerprints(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
-    """Per group and column: content fingerprint, extremes, cells and NULLs; one scan.
+def _merged(name: str) -> list[Column]:
+    """The fingerprint of a larger group out of those of smaller ones."""
+    merge = {"xor": F.bit_xor, "min": F.min, "max": F.max}
+    return [merge.get(p, F.sum)(quoted(f"{name}|{p}")).alias(f"{name}|{p}") for p in _PARTS]
 
-    XOR does not depend on the order of rows but cancels on pairs of equal edits; the two sums
-    over the hashes do not.
-    """
-    groups = [quoted(b) for b in by]
-    wide = df.groupBy(*groups).agg(
-        *[e for c in columns for e in _fingerprint(quoted(c), c)])
-    return wide.select(*groups, F.inline(F.array(*[
+
+def _row_per_column(wide: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    return wide.select(*[quoted(b) for b in by], F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[
             quoted(f"{c}|{p}").cast("string" if p in ("min", "max") else "long").alias(p)
             for p in _PARTS]) for c in columns])))
 
 
-def roll_up(fingerprints: DataFrame, by: list[str]) -> DataFrame:
-    """Fingerprints of larger groups out of those of smaller ones.
+def column_fingerprints(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """Per group and column: content fingerprint, extremes, cells and NULLs; one scan.
 
-    Extremes are left out: the per-group rows already compare them.
+    XOR does not depend on the order of rows but cancels on pairs of equal edits; the two sums
+    over the hashes do not.
     """
-    return fingerprints.groupBy(*[quoted(b) for b in by], "column_name").agg(
-        F.bit_xor("xor").alias("xor"), F.sum("low").alias("low"), F.sum("high").alias("high"),
-        F.sum("count").alias("count"), F.sum("nulls").alias("nulls"))
+    wide = df.groupBy(*[quoted(b) for b in by]).agg(
+        *[e for c in columns for e in _fingerprint(quoted(c), c)])
+    return _row_per_column(wide, columns, by)
 
 
 def compare_fingerprints(source: DataFrame, published: DataFrame, columns: list[str],
@@ -125,14 +125,26 @@ def compare_fingerprints(source: DataFrame, published: DataFrame, columns: list[
     return mismatches(sides, [*by, "column_name"], list(_PARTS))
 
 
+def _row_hash(columns: list[str]) -> Column:
+    return F.xxhash64(*[F.coalesce(quoted(c).cast("string"), F.lit("\x00")) for c in columns])
+
+
+_ROW = "whole row"
+
+
+def _row_parts(columns: list[str]) -> list[Column]:
+    cell = _row_hash(columns)
+    return [F.bit_xor(cell).alias(f"{_ROW}|xor"),
+            F.sum(cell.bitwiseAND(F.lit(_LANE).cast("long"))).alias(f"{_ROW}|low"),
+            F.sum(F.shiftrightunsigned(cell, 44)).alias(f"{_ROW}|high")]
+
+
 def row_fingerprint(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
     """Per group, a fingerprint over whole rows: catches cells swapped between rows."""
-    columns = columns or df.columns
-    cell = F.xxhash64(*[F.coalesce(quoted(c).cast("string"), F.lit("\x00")) for c in columns])
-    return df.groupBy(*[quoted(b) for b in by]).agg(
-        F.bit_xor(cell).alias("xor"),
-        F.sum(cell.bitwiseAND(F.lit(_LANE).cast("long"))).alias("low"),
-        F.sum(F.shiftrightunsigned(cell, 44)).alias("high"), F.count(F.lit(1)).alias("n"))
+    wide = df.groupBy(*[quoted(b) for b in by]).agg(
+        *_row_parts(columns or df.columns), F.count(F.lit(1)).alias("n"))
+    return wide.select(*[quoted(b) for b in by], *[
+        quoted(f"{_ROW}|{p}").alias(p) for p in ("xor", "low", "high")], "n")
 
 
 def compare_rows(source: DataFrame, published: DataFrame, by: list[str],
@@ -166,39 +178,75 @@ def well_counts(source: DataFrame, wells: DataFrame, pinned: int | None) -> Data
         F.lit(pinned).cast("long").alias("pinned_wells"))
 
 
+_GROUP = ["instance_id", "event_class", "well_kind", "well_id", "class", "state"]
+
+
+def _summary(df: DataFrame, sensors: list[str], columns: list[str]) -> DataFrame:
+    """Everything parity needs of one side, per instance, label and state, kept in a checkpoint.
+
+    This is the only scan of the side; the checks work on the summary.
+    """
+    return keep(df.groupBy(*[quoted(g) for g in _GROUP]).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("timestamp").alias("start_ts"),
+        F.max("timestamp").alias("end_ts"), *_row_parts(columns),
+        *[e for c in sensors for e in _fingerprint(quoted(c), c)]))
+
+
 def parity_report(source: DataFrame, catalog: DataFrame, wells: DataFrame, published: DataFrame,
                   sensors: list[str], pinned_wells: int | None = None) -> DataFrame:
-    """Differences found by each check, one row per check; lazy.
+    """Differences found by each check, one row per check.
 
-    ``source`` and ``published`` are observations with provenance columns.
+    ``source`` and ``published`` are observations with provenance columns. Each is scanned once,
+    right away; the report over the two summaries is lazy.
     """
     pair, cls = ["instance_id", "event_class"], ["event_class"]
-    per_class = {"source": column_fingerprints(source, sensors, cls),
-                 "published": column_fingerprints(published, sensors, cls)}
-    overall = {side: roll_up(frame, []) for side, frame in per_class.items()}
-    counted = well_counts(source, wells, pinned_wells)
+    columns = sorted(set(source.columns) & set(published.columns))
+    a, b = (_summary(side, sensors, columns) for side in (source, published))
+
+    def total(df: DataFrame, keys: list[str], n: str = "n_rows") -> DataFrame:
+        return df.groupBy(*[quoted(k) for k in keys]).agg(F.sum(n).alias("n"))
+
+    def counts(keys: list[str], **more: DataFrame) -> DataFrame:
+        return mismatches({"source": total(a, keys), "published": total(b, keys), **{
+            side: total(df, keys) for side, df in more.items()}}, keys, ["n"])
+
+    def content(by: list[str]) -> DataFrame:
+        sides = {
+            side: _row_per_column(df.groupBy(*[quoted(k) for k in by]).agg(
+                *[e for c in sensors for e in _merged(c)]), sensors, by)
+            for side, df in (("source", a), ("published", b))}
+        return mismatches(sides, [*by, "column_name"], list(_PARTS))
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.groupBy(*cls).agg(F.bit_xor(f"`{_ROW}|xor`").alias("xor"),
+                                    F.sum(f"`{_ROW}|low`").alias("low"),
+                                    F.sum(f"`{_ROW}|high`").alias("high"),
+                                    F.sum("n_rows").alias("n"))
+
+    def spans(df: DataFrame) -> DataFrame:
+        return df.groupBy(*pair).agg(F.min("start_ts").alias("start_ts"),
+                                     F.max("end_ts").alias("end_ts"))
+
+    counted = well_counts(a, wells, pinned_wells)
     pinned = F.coalesce(F.col("pinned_wells"), F.col("master_wells"))
-    instances = source.select(*pair).distinct().groupBy("event_class").agg(
-        F.count(F.lit(1)).alias("n"))
     checks = {
-        "rows per class": compare_counts(
-            {"source": source, "catalog": catalog, "published": published}, cls,
-            {"catalog": "n_rows"}),
-        "rows per instance": compare_counts(
-            {"source": source, "catalog": catalog, "published": published}, pair,
-            {"catalog": "n_rows"}),
-        "label distribution": compare_distribution(source, published, "class"),
-        "state distribution": compare_distribution(source, published, "state"),
-        "sensor content": mismatches(overall, ["column_name"],
-                                     ["xor", "low", "high", "count", "nulls"]),
-        "sensor content per class": mismatches(per_class, [*cls, "column_name"], list(_PARTS)),
-        "time spans": compare_spans(source, catalog, published, pair),
+        "rows per class": counts(cls, catalog=catalog),
+        "rows per instance": counts(pair, catalog=catalog),
+        "label distribution": counts(["class"]),
+        "state distribution": counts(["state"]),
+        "sensor content": content([]),
+        "sensor content per class": content(cls),
+        "time spans": mismatches(
+            {"source": spans(a), "catalog": catalog, "published": spans(b)}, pair,
+            ["start_ts", "end_ts"]),
         "real wells": counted.where(
             (F.col("source_wells") != F.col("master_wells"))
             | (F.col("master_wells") != pinned)),
         "instances per class": mismatches(
-            {"source": instances, "catalog": row_counts(catalog, cls)}, cls, ["n"]),
-        "whole rows per class": compare_rows(source, published, cls),
+            {"source": row_counts(a.select(*pair).distinct(), cls),
+             "catalog": row_counts(catalog, cls)}, cls, ["n"]),
+        "whole rows per class": mismatches(
+            {"source": rows(a), "published": rows(b)}, cls, ["xor", "low", "high", "n"]),
     }
     return reduce(DataFrame.unionByName, [
         frame.agg(F.count(F.lit(1)).alias("differences")).select(

@@ -6,7 +6,8 @@ always counts, and nothing is smoothed.
 
 Entities whose rows are bounded by the calendar (one row per month) are handled in one window.
 For anything finer, ``max_rows`` cuts an over-full entity into time slices: each slice is solved
-on its own and only its first and last pieces meet again in a second, small window.
+on its own and only its first and last pieces meet again in a second, small window. One job
+counts the rows per entity beforehand, so that data without such entities keep the short plan.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import months_between, quoted
-from wellspark.operators.hot import SLICE, split_hot
+from wellspark.operators.hot import SLICE, has_hot, split_hot
 
 
 def _cols(names: list[str]) -> list[Column]:
@@ -27,10 +28,12 @@ def dedupe_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return df.groupBy(*_cols(keys)).agg(*[F.min(quoted(v)).alias(v) for v in values])
 
 
-def _sliced(df: DataFrame, keys: list[str], time: str, max_rows: int | None) -> DataFrame:
-    if max_rows is None:
-        return df.withColumn(SLICE, F.lit(0).cast("long"))
-    return split_hot(df, keys, time, max_rows)
+def _sliced(df: DataFrame, keys: list[str], time: str,
+            max_rows: int | None) -> tuple[DataFrame, bool]:
+    """The rows with their slice, and whether any entity is cut."""
+    if max_rows is None or not has_hot(df, keys, max_rows):
+        return df.withColumn(SLICE, F.lit(0).cast("long")), False
+    return split_hot(df, keys, time, max_rows), True
 
 
 def _local_changes(df: DataFrame, keys: list[str], time: str, values: list[str]) -> DataFrame:
@@ -74,13 +77,14 @@ def collapse_intervals(df: DataFrame, keys: list[str], time: str, value: str,
     the first row of the run.
     """
     rows = df.select(*_cols(keys), quoted(value), *_cols(list(carry)), quoted(time))
-    flagged = _local_changes(_sliced(rows, keys, time, max_rows), keys, time, [value])
+    sliced, cut = _sliced(rows, keys, time, max_rows)
+    flagged = _local_changes(sliced, keys, time, [value])
     runs = _close_runs(flagged, [*keys, SLICE], time, time, F.col("_change")).select(
         *_cols(keys), quoted(value), *_cols(list(carry)), quoted(time).alias("valid_from"),
         F.col("_valid_to").alias("valid_to"), (F.col("_rn") == 1).alias("_at_start"), "_at_end")
     out = [*_cols(keys), quoted(value), *_cols(list(carry)), F.col("valid_from"),
            F.col("valid_to")]
-    if max_rows is None:
+    if not cut:
         return runs.select(*out)
 
     inner = runs.where(~F.col("_at_start") & ~F.col("_at_end")).select(*out)
@@ -102,8 +106,9 @@ def detect_transitions(df: DataFrame, keys: list[str], time: str, values: list[s
                        max_rows: int | None = None) -> DataFrame:
     """Rows where any of the values changed since the entity's row before; first rows too."""
     out = [*_cols(keys), quoted(time), *_cols(values)]
-    flagged = _local_changes(_sliced(df, keys, time, max_rows), keys, time, values)
-    if max_rows is None:
+    sliced, cut = _sliced(df.select(*out), keys, time, max_rows)
+    flagged = _local_changes(sliced, keys, time, values)
+    if not cut:
         return flagged.where("_change").select(*out)
 
     inner = flagged.where(F.col("_change") & (F.col("_rn") > 1)).select(*out)
@@ -124,10 +129,10 @@ def detect_transitions(df: DataFrame, keys: list[str], time: str, values: list[s
 def previous(df: DataFrame, keys: list[str], time: str, name: str = "previous",
              max_rows: int | None = None) -> DataFrame:
     """Add the entity's previous time (NULL on its first row)."""
-    sliced = _sliced(df, keys, time, max_rows)
+    sliced, cut = _sliced(df, keys, time, max_rows)
     w = Window.partitionBy(*_cols(keys), SLICE).orderBy(quoted(time))
     stepped = sliced.withColumn(name, F.lag(quoted(time)).over(w))
-    if max_rows is None:
+    if not cut:
         return stepped.drop(SLICE)
 
     inner = stepped.where(F.col(name).isNotNull())

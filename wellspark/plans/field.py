@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import month_start, rounded
@@ -92,11 +92,13 @@ def production_summary(daily: DataFrame, wells: DataFrame,
 def top_days(daily: DataFrame, wells: DataFrame, n: int = 10) -> DataFrame:
     """The days with the most oil.
 
-    The facts are cut to the best ``n`` of wells that exist before names are looked up.
+    Every task first cuts its rows to the best ``n`` per well, so only those are shuffled and
+    joined with the names.
     """
-    known = daily.where(F.col("oil_volume").isNotNull()).join(
-        wells.select(CODE).distinct(), CODE, "left_semi")
-    best = top(known, n, F.col("oil_volume"), "date", CODE, "gas_volume")
+    best_first = Window.partitionBy(CODE).orderBy(
+        F.col("oil_volume").desc_nulls_last(), "date", "gas_volume")
+    best = daily.where(F.col("oil_volume").isNotNull()).withColumn(
+        "_rank", F.row_number().over(best_first)).where(F.col("_rank") <= n)
     named = joined_history(best, wells)
     return top(named, n, F.col("oil_volume"), "date", NAME, "gas_volume").select(
         NAME, "date", *_double(named, ["oil_volume", "gas_volume"]))

@@ -1,68 +1,132 @@
-"""From raw tables to published ones: build, check, write, read back, compare."""
+"""From raw tables to published ones: build, stage, check, compare, move into place."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wellspark.contracts import (
+    EVENT_TYPES,
+    INSTANCES,
+    MONTHLY_SERIES,
+    OPERATOR_HISTORY,
+    SENSOR_WELLS,
+    STATE_EVENTS,
+    WELL_MASTER,
+)
 from wellspark.operators import catalog as cat
-from wellspark.operators.checks import Gate, check_partitions, production_gate, sensor_gate
+from wellspark.operators.checks import (
+    Gate,
+    check_contract,
+    check_counts_match,
+    check_file_sizes,
+    check_partitions,
+    production_gate,
+    sensor_gate,
+)
 from wellspark.operators.parity import enforce_parity, parity_report
 from wellspark.plans import well_tables
-from wellspark.sources.writers import publish, write_by_year, write_observations, write_table
+from wellspark.session import keep
+from wellspark.sources.files import discard, list_files, move_into_place
+from wellspark.sources.writers import write_by_year, write_observations, write_table
+
+Writer = Callable[[DataFrame, str], object]
+
+
+def _sorted_by(*order: str) -> Writer:
+    return lambda df, path: write_table(df, path, list(order))
+
+
+def publish_together(spark: SparkSession, tables: dict[str, tuple[DataFrame, Writer]], out: str,
+                     check: Callable[[dict[str, DataFrame]], None]) -> dict[str, int]:
+    """Write all tables to a staging folder, check them there, then move them into place.
 
+    Every table is computed once for its file and once for the row count it is compared with.
+    When a write, a count or a check fails, the staged files go and the published ones stay.
+    """
+    staged = f"{out.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        for name, (df, write) in tables.items():
+            write(df, f"{staged}/{name}")
+        written = {name: spark.read.parquet(f"{staged}/{name}") for name in tables}
 
-def _sorted_by(order: list[str]):
-    return lambda df, path: write_table(df, path, order)
+        def counts(frames: dict[str, DataFrame]) -> DataFrame:
+            parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+                     for name, df in frames.items()]
+            out = parts[0]
+            for part in parts[1:]:
+                out = out.unionByName(part)
+            return out
+
+        Gate([
+            check_counts_match("staged rows", counts({n: df for n, (df, _) in tables.items()}),
+                               counts(written), ["name"]),
+            check_file_sizes("files over the soft size limit", list_files(spark, staged)),
+        ]).enforce()
+        check(written)
+        rows = {r["name"]: r["n"] for r in counts(written).collect()}
+        for name in tables:
+            move_into_place(spark, f"{staged}/{name}", f"{out}/{name}")
+        return rows
+    finally:
+        discard(spark, staged)
 
 
 def publish_production(registry: DataFrame, listing: DataFrame, production: DataFrame,
                        out: str) -> dict[str, int]:
-    """Build the four well-production tables and publish them; nothing is written if a rule fails."""
-    spark: SparkSession = production.sparkSession
-    wells = well_tables.well_master(registry, listing, production)
-    history = well_tables.operator_history(production)
-    events = well_tables.state_events(production)
+    """Build the four well-production tables and publish them, or none if a rule fails."""
     monthly = well_tables.monthly_series(production)
-    production_gate(wells, history, events, monthly).enforce()
-
-    rows = {
-        "wells": publish(wells, f"{out}/wells", _sorted_by(["idpozo"])),
-        "well_operator_history": publish(history, f"{out}/well_operator_history",
-                                         _sorted_by(["idpozo", "valid_from"])),
-        "well_events": publish(events, f"{out}/well_events",
-                               _sorted_by(["idpozo", "event_date"])),
-        "monthly_production": publish(
-            monthly, f"{out}/monthly_production",
-            lambda df, path: write_by_year(df, path, "fecha", "idpozo")),
-    }
-    Gate(check_partitions("published years hold the table's rows", monthly,
-                          spark.read.parquet(f"{out}/monthly_production"),
-                          F.year("fecha"))).enforce()
-    return rows
+
+    def check(written: dict[str, DataFrame]) -> None:
+        wells, history = written["wells"], written["well_operator_history"]
+        events, series = written["well_events"], written["monthly_production"]
+        for df, contract in ((wells, WELL_MASTER), (history, OPERATOR_HISTORY),
+                             (events, STATE_EVENTS), (series.drop("year"), MONTHLY_SERIES)):
+            check_contract(df, contract)
+        Gate([*production_gate(wells, history, events, series).rules,
+              *check_partitions("years hold the table's rows", monthly, series,
+                                F.year("fecha"))]).enforce()
+
+    return publish_together(production.sparkSession, {
+        "wells": (well_tables.well_master(registry, listing, production), _sorted_by("idpozo")),
+        "well_operator_history": (well_tables.operator_history(production),
+                                  _sorted_by("idpozo", "valid_from")),
+        "well_events": (well_tables.state_events(production),
+                        _sorted_by("idpozo", "event_date")),
+        "monthly_production": (
+            monthly, lambda df, path: write_by_year(df, path, "fecha", "idpozo")),
+    }, out, check)
 
 
 def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str,
                     expected_classes: int | None = 10,
                     expected_wells: int | None = 40) -> dict[str, int]:
-    """Publish lookup, catalog, wells and observations of raw sensor rows with their file path."""
-    spark: SparkSession = raw.sparkSession
+    """Publish lookup, catalog, wells and observations of raw sensor rows with their file path.
+
+    The published rows are compared with the raw ones before anything is moved into place.
+    """
     cat.require_instances(raw)
     lookup = cat.event_lookup(specs)
-    instances = cat.instance_catalog(raw, lookup, base_url)
+    # One row per instance; kept, because wells, rules and parity all start from it.
+    instances = keep(cat.instance_catalog(raw, lookup, base_url))
     wells = cat.real_wells(instances)
     observed = cat.observations(raw)
     sensor_gate(lookup, instances, wells, observed, expected_classes, expected_wells).enforce()
 
-    rows = {
-        "event_types": publish(lookup, f"{out}/event_types", _sorted_by(["event_class"])),
-        "instances": publish(instances, f"{out}/instances",
-                             _sorted_by(["event_class", "instance_id"])),
-        "wells": publish(wells, f"{out}/wells", _sorted_by(["well_id"])),
-        "observations": publish(observed, f"{out}/observations", write_observations),
-    }
-    published = spark.read.parquet(f"{out}/observations")
-    enforce_parity(parity_report(
-        observed, spark.read.parquet(f"{out}/instances"), spark.read.parquet(f"{out}/wells"),
-        published, cat.sensor_columns(published), expected_wells))
-    return rows
+    def check(written: dict[str, DataFrame]) -> None:
+        for name, contract in (("event_types", EVENT_TYPES), ("instances", INSTANCES),
+                               ("wells", SENSOR_WELLS)):
+            check_contract(written[name], contract)
+        published = written["observations"]
+        enforce_parity(parity_report(observed, written["instances"], written["wells"], published,
+                                     cat.sensor_columns(published), expected_wells))
+
+    return publish_together(raw.sparkSession, {
+        "event_types": (lookup, _sorted_by("event_class")),
+        "instances": (instances, _sorted_by("event_class", "instance_id")),
+        "wells": (wells, _sorted_by("well_id")),
+        "observations": (observed, write_observations),
+    }, out, check)

@@ -9,6 +9,7 @@ from wellspark.operators import parity
 from wellspark.queries import sensors
 from wellspark.queries.bindings import bound, table
 from wellspark.queries.registry import query
+from wellspark.session import keep
 
 
 def _report(rules: list) -> DataFrame:
@@ -159,9 +160,10 @@ def counts_per_key_match(spark, sf):
      "WHERE event_class IN (3, 4) AND (class = 0 OR class >= 100)"),
     ("real wells are all there", "SELECT abs(count(*) - 100) FROM sensor_wells")), sensors.USES)
 def sensor_gate(spark, sf):
-    return ops.sensor_gate(sensors.lookup(spark, sf), sensors.catalog(spark, sf),
-                           sensors.wells(spark, sf), sensors.observed(spark, sf),
-                           expected_classes=10, expected_wells=100).report()
+    catalog = keep(sensors.catalog(spark, sf))
+    return ops.sensor_gate(keep(sensors.lookup(spark, sf)), catalog, cat.real_wells(catalog),
+                           sensors.observed(spark, sf), expected_classes=10,
+                           expected_wells=100).report()
 
 
 # Parity of the sensor rows with an edited copy of them.
@@ -339,5 +341,6 @@ def parity_whole_rows(spark, sf):
         "instances per class", "whole rows per class")), sensors.USES)
 def parity_report_of_equal_sides(spark, sf):
     source = sensors.observed(spark, sf)
-    return parity.parity_report(source, sensors.catalog(spark, sf), sensors.wells(spark, sf),
-                                source, cat.sensor_columns(source))
+    catalog = keep(sensors.catalog(spark, sf))
+    return parity.parity_report(source, catalog, cat.real_wells(catalog), source,
+                                cat.sensor_columns(source))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -29,6 +29,16 @@ def build_session(app: str = "wellspark", master: str | None = None,
     return builder.getOrCreate()
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Checkpoint a small frame that several plans start from, where the cluster has a folder.
+
+    Without one the frame stays lazy: the results are the same, only computed again.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the directory the cluster names for checkpoints.
 

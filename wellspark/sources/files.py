@@ -24,10 +24,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _filesystem(spark, path).exists(_path(spark, path))
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder and what is left in it."""
+    _filesystem(spark, path).delete(_path(spark, path), True)
+
+
 def move_into_place(spark: SparkSession, staged: str, target: str) -> None:
     """Rename a finished folder to its final name; an older version goes only after that."""
     fs = _filesystem(spark, target)
     old = None
+    fs.mkdirs(_path(spark, target).getParent())
     if exists(spark, target):
         old = f"{target}.old-{uuid.uuid4().hex}"
         if not fs.rename(_path(spark, target), _path(spark, old)):
