@@ -13,12 +13,12 @@ def spark(tmp_path_factory):
 
     from wellspark.session import CHECKPOINT_CONF, build_session
 
-    session = build_session("tests", "local[4]", 4)
+    session = build_session("tests", "local[8]", 2)
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get(CHECKPOINT_CONF, None):
         session.stop()
         SparkSession.builder.config(CHECKPOINT_CONF, str(tmp_path_factory.mktemp("shared")))
-        session = build_session("tests", "local[4]", 4)
+        session = build_session("tests", "local[8]", 2)
     yield session
     session.stop()
 
