@@ -58,8 +58,9 @@ def test_modal_attributes(spark, rows):
     data = [(1, "a", 1.0), (1, "b", None), (1, "b", None), (1, None, 2.0), (1, None, None),
             (1, None, None), (2, "z", 3.0), (2, "y", 10.0), (3, None, None)]
     df = spark.createDataFrame(data, "k int, s string, x double")
-    got = modal_attributes(df, "k", {"name": "s", "depth": "x"})
-    assert rows(got) == [(1, "b", 1.0), (2, "y", 3.0), (3, None, None)]
+    for max_rows in (100, 1):
+        got = modal_attributes(df, "k", {"name": "s", "depth": "x"}, max_rows)
+        assert rows(got) == [(1, "b", 1.0), (2, "y", 3.0), (3, None, None)]
 
 
 def test_merge_master_precedence(spark, rows):

@@ -251,8 +251,11 @@ MUTATIONS = {
 def test_parity_finds(built, name):
     change, expected = MUTATIONS[name]
     source = built["observations"]
-    report = parity.parity_report(source, built["catalog"], built["wells"], change(source),
-                                  contracts.SENSORS, 4)
+    few = [c for c in source.columns if c not in contracts.SENSORS or c in (
+        "P-PDG", "P-TPT", "T-TPT")]
+    source, published = (df.select(*[f"`{c}`" for c in few]) for df in (source, change(source)))
+    report = parity.parity_report(source, built["catalog"], built["wells"], published,
+                                  cat.sensor_columns(source), 4)
     found = {r["check"] for r in report.collect() if r["differences"]}
     assert found == expected
     if expected:

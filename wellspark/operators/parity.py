@@ -92,19 +92,21 @@ def _fingerprint(column: Column, name: str) -> list[Column]:
 _PARTS = ("xor", "low", "high", "min", "max", "count", "nulls")
 
 
-def _merged(name: str) -> list[Column]:
-    """The fingerprint of a larger group out of those of smaller ones."""
-    merge = {"xor": F.bit_xor, "min": F.min, "max": F.max}
-    return [merge.get(p, F.sum)(quoted(f"{name}|{p}")).alias(f"{name}|{p}") for p in _PARTS]
-
-
-def _row_per_column(wide: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+def _row_per_column(wide: DataFrame, columns: list[str], by: list[str],
+                    extremes: str = "string") -> DataFrame:
     return wide.select(*[quoted(b) for b in by], F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[
-            quoted(f"{c}|{p}").cast("string" if p in ("min", "max") else "long").alias(p)
+            quoted(f"{c}|{p}").cast(extremes if p in ("min", "max") else "long").alias(p)
             for p in _PARTS]) for c in columns])))
 
 
+def _merge_fingerprints(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Fingerprints of larger groups out of those of smaller ones."""
+    merge = {"xor": F.bit_xor, "min": F.min, "max": F.max}
+    return rows.groupBy(*[quoted(b) for b in by], "column_name").agg(
+        *[merge.get(p, F.sum)(p).alias(p) for p in _PARTS])
+
+
 def column_fingerprints(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     """Per group and column: content fingerprint, extremes, cells and NULLs; one scan.
 
@@ -126,7 +128,8 @@ def compare_fingerprints(source: DataFrame, published: DataFrame, columns: list[
 
 
 def _row_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*[F.coalesce(quoted(c).cast("string"), F.lit("\x00")) for c in columns])
+    # The hash passes over NULLs, so where they are is hashed too.
+    return F.xxhash64(*[quoted(c) for c in columns], *[quoted(c).isNull() for c in columns])
 
 
 _ROW = "whole row"
@@ -202,6 +205,7 @@ def parity_report(source: DataFrame, catalog: DataFrame, wells: DataFrame, publi
     pair, cls = ["instance_id", "event_class"], ["event_class"]
     columns = sorted(set(source.columns) & set(published.columns))
     a, b = (_summary(side, sensors, columns) for side in (source, published))
+    a_cells, b_cells = (_row_per_column(side, sensors, cls, "double") for side in (a, b))
 
     def total(df: DataFrame, keys: list[str], n: str = "n_rows") -> DataFrame:
         return df.groupBy(*[quoted(k) for k in keys]).agg(F.sum(n).alias("n"))
@@ -211,10 +215,8 @@ def parity_report(source: DataFrame, catalog: DataFrame, wells: DataFrame, publi
             side: total(df, keys) for side, df in more.items()}}, keys, ["n"])
 
     def content(by: list[str]) -> DataFrame:
-        sides = {
-            side: _row_per_column(df.groupBy(*[quoted(k) for k in by]).agg(
-                *[e for c in sensors for e in _merged(c)]), sensors, by)
-            for side, df in (("source", a), ("published", b))}
+        sides = {side: _merge_fingerprints(df, by)
+                 for side, df in (("source", a_cells), ("published", b_cells))}
         return mismatches(sides, [*by, "column_name"], list(_PARTS))
 
     def rows(df: DataFrame) -> DataFrame:

@@ -28,18 +28,10 @@ def volatility(df: DataFrame, key: str, buckets: dict[str, str]) -> DataFrame:
     columns = [c for c in buckets if c in df.columns]
     if not columns:
         raise ValueError("none of the candidate columns is in the table")
-    types = {f.name: f.dataType for f in df.schema}
-    texts = [c for c in columns if isinstance(types[c], (T.StringType, T.BinaryType))]
-    others = [c for c in columns if c not in texts]
-
-    # Text columns are grouped as keys first: their repeats collapse before they are compared.
-    tuples = df.groupBy(quoted(key), *[quoted(c) for c in texts]).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.min(quoted(c)).alias(f"_lo_{c}") for c in others],
-        *[F.max(quoted(c)).alias(f"_hi_{c}") for c in others])
-    per_entity = tuples.groupBy(quoted(key)).agg(
-        *[F.min(quoted(c if c in texts else f"_lo_{c}")).alias(f"_lo_{c}") for c in columns],
-        *[F.max(quoted(c if c in texts else f"_hi_{c}")).alias(f"_hi_{c}") for c in columns])
+    # Extremes are merged before the shuffle: an entity sends one row per task.
+    per_entity = df.groupBy(quoted(key)).agg(
+        *[F.min(quoted(c)).alias(f"_lo_{c}") for c in columns],
+        *[F.max(quoted(c)).alias(f"_hi_{c}") for c in columns])
     counted = per_entity.agg(F.count(F.lit(1)).alias("_total"), *[
         F.count_if(quoted(f"_lo_{c}") < quoted(f"_hi_{c}")).alias(f"_changed_{c}")
         for c in columns

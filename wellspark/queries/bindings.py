@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MONTH = "CAST(date_trunc('month', {}) AS DATE)"
+MONTH = "make_date(CAST(year({0}) AS INT), CAST(month({0}) AS INT), 1)"
 _K = "regexp_extract(props, '\"k\": ([0-9]+)', 1)"
 _CLASS = ("CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 "
           "WHEN 'signup' THEN 3 ELSE 4 END")
