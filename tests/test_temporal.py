@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wellspark.operators import temporal as ops
 from wellspark.operators.checks import cadence_breaks
+from wellspark.operators import hot
 from wellspark.operators.hot import SLICE, split_hot
 
 
@@ -108,6 +109,17 @@ def test_only_the_hot_entity_is_sliced_and_its_slices_are_small(spark):
     assert sum(r["count"] for r in hot) == total and max(r["count"] for r in hot) <= 300
 
 
+def test_number_of_slices_is_bounded(spark, monkeypatch):
+    df = spark.createDataFrame(hot_rows(600, 12), "k int, t timestamp_ntz, v string")
+    total = df.where("k = 0").count()
+    assert hot.slice_size(df, ["k"], 30) == 30
+    assert hot.slice_size(df, ["k"], 10_000) is None
+    monkeypatch.setattr(hot, "_MAX_SLICES", 4)
+    size = hot.slice_size(df, ["k"], 30)
+    assert size == -(-total // 4)
+    assert split_hot(df, ["k"], "t", size).select(SLICE).distinct().count() <= 8
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "bigint"])
 def test_slices_follow_time_and_resolve_bursts(spark, kind):
     # 2000 rows of key NULL: two far-off rows, and a burst of neighbours between them.

@@ -11,6 +11,8 @@ from wellspark.functions.columns import quoted
 MAX_ROWS_PER_GROUP = 2_000_000
 # Counting bins per slice; a slice is made of whole bins.
 _BINS_PER_SLICE = 16
+# No table of slices grows beyond about twice this many rows, however large the data.
+_MAX_SLICES = 250_000
 # Halving steps that search the slice starts of one entity: up to 2**24 slices.
 _SEARCH = [1 << k for k in range(23, -1, -1)]
 
@@ -58,8 +60,7 @@ def _slice_starts(ticks: DataFrame, keys: list[str], max_rows: int) -> DataFrame
     """
     by = [quoted(k) for k in keys]
     hot_names = [f"_hot_{i}" for i in range(len(keys))]
-    # At most (total rows / max_rows) entities, and as many over-full bins: small enough to
-    # broadcast whatever the size of the table.
+    # At most (hot rows / max_rows) entities, and as many over-full bins; see _MAX_SLICES.
     hot = (
         ticks.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_tick").alias("_lo"),
@@ -96,17 +97,28 @@ def _slice_starts(ticks: DataFrame, keys: list[str], max_rows: int) -> DataFrame
     )
 
 
-def has_hot(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_GROUP) -> bool:
-    """Whether any entity has more than ``max_rows`` rows. Runs one job that counts per entity."""
+def slice_size(df: DataFrame, keys: list[str],
+               max_rows: int = MAX_ROWS_PER_GROUP) -> int | None:
+    """The rows a slice should have, or None when no entity has more than ``max_rows``.
+
+    Runs one job that counts rows per entity. Slices are made larger when there would otherwise
+    be too many of them to broadcast.
+    """
     sizes = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    return not sizes.where(F.col("_n") > max_rows).isEmpty()
+    hot_rows = sizes.where(F.col("_n") > max_rows).agg(F.sum("_n")).first()[0]
+    return None if hot_rows is None else max(max_rows, -(-hot_rows // _MAX_SLICES))
+
+
+def has_hot(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_GROUP) -> bool:
+    """Whether any entity has more than ``max_rows`` rows."""
+    return slice_size(df, keys, max_rows) is not None
 
 
 def split_hot(df: DataFrame, keys: list[str], time: str,
               max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
     """Add a slice number that cuts only over-full entities, in time order.
 
-    An entity of at most ``max_rows`` rows is all in slice 0. A larger one is cut into slices of
+    ``max_rows`` is what :func:`slice_size` gives. An entity of at most ``max_rows`` rows is all in slice 0. A larger one is cut into slices of
     up to about twice ``max_rows`` rows with distinct times.
     """
     tick = _ticks(quoted(time), dict(df.dtypes)[time])

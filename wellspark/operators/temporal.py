@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import months_between, quoted
-from wellspark.operators.hot import SLICE, has_hot, split_hot
+from wellspark.operators.hot import SLICE, slice_size, split_hot
 
 
 def _cols(names: list[str]) -> list[Column]:
@@ -31,9 +31,10 @@ def dedupe_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 def _sliced(df: DataFrame, keys: list[str], time: str,
             max_rows: int | None) -> tuple[DataFrame, bool]:
     """The rows with their slice, and whether any entity is cut."""
-    if max_rows is None or not has_hot(df, keys, max_rows):
+    size = None if max_rows is None else slice_size(df, keys, max_rows)
+    if size is None:
         return df.withColumn(SLICE, F.lit(0).cast("long")), False
-    return split_hot(df, keys, time, max_rows), True
+    return split_hot(df, keys, time, size), True
 
 
 def _local_changes(df: DataFrame, keys: list[str], time: str, values: list[str]) -> DataFrame:
