@@ -31,22 +31,19 @@ def _end_of_geometry(data: bytes, at: int) -> int:
         flat %= 1000
 
     def count() -> int:
-        nonlocal at
-        (n,) = struct.unpack_from(order + "I", data, at)
-        at += 4
-        return n
+        return struct.unpack_from(order + "I", data, at)[0]
 
     if flat == POINT:
         at += 8 * dims
     elif flat == LINE:
-        at += 8 * dims * count()
+        at += 4 + 8 * dims * count()
     elif flat == POLYGON:
-        for _ in range(count()):
-            at += 8 * dims * count()
-            if at > len(data):
-                break
+        rings, at = count(), at + 4
+        for _ in range(rings):
+            at += 4 + 8 * dims * count()
     elif flat in COLLECTIONS:
-        for _ in range(count()):
+        members, at = count(), at + 4
+        for _ in range(members):
             at = _end_of_geometry(data, at)
     else:
         raise ValueError("unknown geometry type")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from wellspark.operators import catalog as cat
 from wellspark.operators import checks as ops
 from wellspark.operators import parity
+from wellspark.operators.temporal import collapse_intervals, dedupe_key, detect_transitions
 from wellspark.queries import sensors
 from wellspark.queries.bindings import bound, table
 from wellspark.queries.registry import query
@@ -79,6 +80,7 @@ def unique_keys(spark, sf):
     ("statuses", "SELECT count(DISTINCT o_orderstatus) FILTER (o_orderstatus NOT IN "
      "('F', 'O', 'X')) + 3 - count(DISTINCT o_orderstatus) FILTER (o_orderstatus IN "
      "('F', 'O', 'X')) FROM orders"),
+    ("version", "SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus <> 'F'"),
     ("prices", "SELECT count(*) FROM orders WHERE NOT coalesce(o_totalprice < 400000, false)"),
     ("sparse column", "SELECT count(*) FROM production WHERE iny_gas IS NULL OR iny_gas < 0.02"),
     ("lithology labels", "SELECT 12 - count(DISTINCT lithology) FROM logs")),
@@ -92,6 +94,7 @@ def domains_and_counts(spark, sf):
         ops.check_row_count("customers", table(spark, sf, "customer"), 1000),
         ops.check_not_empty("events exist", table(spark, sf, "events")),
         ops.check_same_values("statuses", orders, "o_orderstatus", ["F", "O", "X"]),
+        ops.check_version("version", orders, "o_orderstatus", "F"),
         ops.check_predicate("prices", orders, F.col("o_totalprice") < 400000),
         ops.check_predicate("sparse column", bound(spark, sf, "production"),
                             F.col("iny_gas") >= 0.02),
@@ -100,6 +103,56 @@ def domains_and_counts(spark, sf):
     ])
 
 
+def _empty(source: str) -> str:
+    return f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {source}"
+
+
+def _unknown_wells(source: str) -> str:
+    return (f"SELECT count(*) FROM {source} WHERE npd_wellbore_code IS NULL OR "
+            "npd_wellbore_code NOT IN (SELECT npd_wellbore_code FROM field_wells)")
+
+
+@query("field_gate", _rules(
+    ("wells are not empty", _empty("field_wells")),
+    ("daily production is not empty", _empty("field_daily")),
+    ("monthly production is not empty", _empty("field_reported")),
+    ("daily production has wells", _unknown_wells("field_daily")),
+    ("monthly production has wells", _unknown_wells("field_reported")),
+    ("daily key is unique", _duplicates("field_daily", "date, npd_wellbore_code")),
+    ("monthly key is unique", _duplicates("field_reported", "date, npd_wellbore_code"))),
+    ("field_wells", "field_daily", "field_reported"))
+def field_gate(spark, sf):
+    return ops.field_gate(bound(spark, sf, "field_wells"), bound(spark, sf, "field_daily"),
+                          bound(spark, sf, "field_reported")).report()
+
+
+@query("production_gate", """
+WITH months AS (SELECT DISTINCT idpozo, fecha FROM order_months),
+spans AS (SELECT idpozo, min(fecha) AS lo, max(fecha) AS hi FROM months GROUP BY idpozo),
+""" + "master AS (SELECT c_custkey AS idpozo FROM customer WHERE c_acctbal > 0) " + _rules(
+    ("geometry parses", "SELECT count(*) - count(c_custkey) FROM customer"),
+    ("operator history has wells",
+     "SELECT count(*) FROM spans WHERE idpozo NOT IN (SELECT idpozo FROM master)"),
+    ("state events have wells",
+     "SELECT count(*) FROM spans WHERE idpozo NOT IN (SELECT idpozo FROM master)"),
+    ("monthly series has wells",
+     "SELECT count(*) FROM spans WHERE idpozo NOT IN (SELECT idpozo FROM master)"),
+    ("monthly series key is unique", _duplicates("order_months", "idpozo, fecha")),
+    ("monthly series is complete", "SELECT count(*) FROM (SELECT idpozo FROM order_months "
+     "GROUP BY idpozo HAVING count(*) <> date_diff('month', min(fecha), max(fecha)) + 1)")),
+    ("order_months",))
+def production_gate(spark, sf):
+    # Accounts with a debt are left out of the master, so their rows are orphans.
+    months = bound(spark, sf, "order_months")
+    master = table(spark, sf, "customer").where(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").alias("idpozo"),
+        F.unhex(F.lit("0101000000" + "00" * 16)).alias("geom"))
+    states = dedupe_key(months, ["idpozo", "fecha"], ["status"])
+    return ops.production_gate(
+        master, collapse_intervals(states, ["idpozo"], "fecha", "status"),
+        detect_transitions(states, ["idpozo"], "fecha", ["status"]), months).report()
+
+
 @query("geometry_check", _rules(
     ("geometry parses", "SELECT count(*) FROM part WHERE p_size > 30")))
 def geometry_check(spark, sf):
