@@ -179,6 +179,8 @@ def test_dedupe_prefers_values_over_null(spark, rows):
     df = spark.createDataFrame([(1, None, "b"), (1, 2.0, None), (1, 3.0, "a")],
                                "k int, x double, s string")
     assert rows(ops.dedupe_key(df, ["k"], ["x", "s"])) == [(1, 2.0, "a")]
+    for max_rows in (1, 10):
+        assert rows(ops.dedupe_key(df, ["k"], ["x", "s"], ["k"], max_rows)) == [(1, 2.0, "a")]
 
 
 def test_gap_audit(spark, rows):

@@ -139,23 +139,20 @@ def histogram(df: DataFrame, metric: str, bins: int | None = None, most: int = 2
     value belongs to the last bin; when all values are equal the range is widened by a half on
     both sides.
     """
-    counts = (
-        df.where(quoted(metric).isNotNull())
-        .groupBy(quoted(metric).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    values = df.where(quoted(metric).isNotNull()).select(
+        quoted(metric).cast("double").alias("_v"))
     number = F.lit(bins) if bins else F.least(
         F.greatest(F.floor(F.max("_v")).cast("int"), F.lit(1)), F.lit(most))
     flat = F.min("_v") == F.max("_v")
-    shape = counts.agg(
+    shape = values.agg(
         F.when(flat, F.min("_v") - 0.5).otherwise(F.min("_v")).alias("_lo"),
         F.when(flat, F.max("_v") + 0.5).otherwise(F.max("_v")).alias("_hi"),
         number.cast("int").alias("_bins"))
     lo, hi, n = (shape.select(c).scalar() for c in ("_lo", "_hi", "_bins"))
     filled = (
-        counts.select(F.least(
-            F.floor((F.col("_v") - lo) / (hi - lo) * n).cast("int"), n - 1).alias("bin"), "_n")
-        .groupBy("bin").agg(F.sum("_n").alias("_n"))
+        values.groupBy(F.least(
+            F.floor((F.col("_v") - lo) / (hi - lo) * n).cast("int"), n - 1).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     width = (F.col("_hi") - F.col("_lo")) / F.col("_bins")
     edges = shape.where(F.col("_lo").isNotNull()).select(

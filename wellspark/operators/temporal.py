@@ -16,15 +16,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import months_between, quoted
-from wellspark.operators.hot import SLICE, slice_size, split_hot
+from wellspark.operators.hot import (
+    MAX_ROWS_PER_GROUP,
+    SLICE,
+    has_hot,
+    slice_size,
+    split_hot,
+)
 
 
 def _cols(names: list[str]) -> list[Column]:
     return [quoted(n) for n in names]
 
 
-def dedupe_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """One row per key; of conflicting values the smallest non-NULL one is kept."""
+def dedupe_key(df: DataFrame, keys: list[str], values: list[str],
+               entity: list[str] | None = None,
+               max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
+    """One row per key; of conflicting values the smallest non-NULL one is kept.
+
+    With ``entity`` (the leading keys) rows are shuffled by entity, so that windows per entity
+    need no second shuffle. When an entity has too many rows for that, rows are reduced per key
+    before they meet.
+    """
+    if entity and not has_hot(df, entity, max_rows):
+        df = df.repartition(*_cols(entity))
     return df.groupBy(*_cols(keys)).agg(*[F.min(quoted(v)).alias(v) for v in values])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wellspark.contracts import MEASURES, STATE_COLUMNS, WELL_MASTER, conform
 from wellspark.functions.columns import month_of, quoted
-from wellspark.operators.hot import MAX_ROWS_PER_GROUP, has_hot
+from wellspark.operators.hot import MAX_ROWS_PER_GROUP
 from wellspark.operators.master import merge_master, modal_attributes
 from wellspark.operators.temporal import (
     collapse_intervals,
@@ -64,17 +64,11 @@ MASTER_RULES: dict[str, list[str]] = {
 
 def by_month(production: DataFrame, columns: list[str],
              max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
-    """One row per well and month; the smallest non-NULL value of each column.
-
-    Rows are shuffled by well, so that what follows per well needs no second shuffle. When one
-    well has too many rows for that, they are reduced per well and month before they meet.
-    """
-    if not has_hot(production, ["idpozo"], max_rows):
-        production = production.repartition("idpozo")
+    """One row per well and month; the smallest non-NULL value of each column."""
     dated = production.select(
         "idpozo", month_of(F.col("anio"), F.col("mes")).alias("fecha"),
         *[quoted(c) for c in columns]).where(F.col("fecha").isNotNull())
-    return dedupe_key(dated, ["idpozo", "fecha"], columns)
+    return dedupe_key(dated, ["idpozo", "fecha"], columns, ["idpozo"], max_rows)
 
 
 def monthly_series(production: DataFrame) -> DataFrame:

@@ -147,7 +147,7 @@ def production_gate(spark, sf):
     master = table(spark, sf, "customer").where(F.col("c_acctbal") > 0).select(
         F.col("c_custkey").alias("idpozo"),
         F.unhex(F.lit("0101000000" + "00" * 16)).alias("geom"))
-    states = dedupe_key(months, ["idpozo", "fecha"], ["status"])
+    states = dedupe_key(months, ["idpozo", "fecha"], ["status"], ["idpozo"])
     return ops.production_gate(
         master, collapse_intervals(states, ["idpozo"], "fecha", "status"),
         detect_transitions(states, ["idpozo"], "fecha", ["status"]), months).report()

@@ -24,7 +24,7 @@ numbered AS (
 def _daily_state(spark, sf):
     events = table(spark, sf, "events")
     dated = events.select("user_id", F.to_date("ts").alias("day"), "event_type", "value")
-    return ops.dedupe_key(dated, ["user_id", "day"], ["event_type", "value"])
+    return ops.dedupe_key(dated, ["user_id", "day"], ["event_type", "value"], ["user_id"])
 
 
 _DAILY_STATE = ("daily AS (SELECT user_id, CAST(ts AS DATE) AS day, min(event_type) AS event_type, "
@@ -45,7 +45,8 @@ def interval_collapse(spark, sf):
 SELECT user_id, min(event_type) AS event_type, min(ts) AS valid_from, max(ts) AS valid_to
 FROM numbered GROUP BY user_id, run""")
 def interval_collapse_fine_grained(spark, sf):
-    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"])
+    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"],
+                              ["user_id"])
     return ops.collapse_intervals(readings, ["user_id"], "ts", "event_type", max_rows=2_000_000)
 
 
@@ -57,7 +58,7 @@ SELECT idpozo, min(status) AS status, min(fecha) AS valid_from, max(fecha) AS va
 FROM numbered GROUP BY idpozo, run""", ("order_months",))
 def interval_collapse_null_runs(spark, sf):
     months = bound(spark, sf, "order_months").withColumn("status", F.nullif("status", F.lit("P")))
-    states = ops.dedupe_key(months, ["idpozo", "fecha"], ["status"])
+    states = ops.dedupe_key(months, ["idpozo", "fecha"], ["status"], ["idpozo"])
     return ops.collapse_intervals(states, ["idpozo"], "fecha", "status")
 
 
@@ -83,7 +84,8 @@ SELECT user_id, ts, event_type FROM (
   WINDOW w AS (PARTITION BY user_id ORDER BY ts))
 WHERE rn = 1 OR event_type IS DISTINCT FROM previous_type""")
 def transition_detect_fine_grained(spark, sf):
-    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"])
+    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"],
+                              ["user_id"])
     return ops.detect_transitions(readings, ["user_id"], "ts", ["event_type"],
                                   max_rows=2_000_000)
 
@@ -102,7 +104,7 @@ SELECT grid.idpozo, grid.fecha, prod_pet, status FROM grid LEFT JOIN months USIN
 """, ("order_months",))
 def calendar_fill(spark, sf):
     months = ops.dedupe_key(bound(spark, sf, "order_months"), ["idpozo", "fecha"],
-                            ["prod_pet", "status"])
+                            ["prod_pet", "status"], ["idpozo"])
     return ops.fill_calendar(months, ["idpozo"], "fecha", ["prod_pet", "status"])
 
 
