@@ -9,16 +9,15 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from wellspark.session import CHECKPOINT_CONF, build_session
 
     session = build_session("tests", "local[8]", 2)
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get(CHECKPOINT_CONF, None):
         session.stop()
-        SparkSession.builder.config(CHECKPOINT_CONF, str(tmp_path_factory.mktemp("shared")))
-        session = build_session("tests", "local[8]", 2)
+        session = build_session("tests", "local[8]", 2, {
+            CHECKPOINT_CONF: str(tmp_path_factory.mktemp("shared"))})
+        session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 

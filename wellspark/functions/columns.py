@@ -76,11 +76,6 @@ def rounded(value: Column, decimals: int | None) -> Column:
     return value if decimals is None else F.round(value, decimals)
 
 
-def money(column: Column) -> Column:
-    """Two-decimal exact form, so that sums do not depend on the order of rows."""
-    return column.cast("decimal(18,2)")
-
-
 def group_text(column: Column) -> Column:
     """Text form under which equal values are equal across types; NULL stays NULL."""
     return column.cast("string")

@@ -10,7 +10,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "wellspark", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  settings: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the operators are written for.
 
     The master and the partition count are left to the cluster unless given.
@@ -26,6 +27,8 @@ def build_session(app: str = "wellspark", master: str | None = None,
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
