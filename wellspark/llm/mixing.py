@@ -21,12 +21,13 @@ def poisson(mean: Column, *draws: Column) -> Column:
     def one(u: Column) -> Column:
         # Steps beyond mean + 12 roots + 24 have a chance below what a double can tell from 1.
         steps = F.ceil(part + 12 * F.sqrt(part) + 24).cast("int")
-        start = F.struct(F.exp(-part).alias("p"), F.exp(-part).alias("cdf"), F.lit(0).alias("k"))
+        # The draw travels with the sum, so that its hash is taken once.
+        start = F.struct(F.exp(-part).alias("p"), F.exp(-part).alias("cdf"), F.lit(0).alias("k"), u.alias("u"))
 
         def step(s: Column, i: Column) -> Column:
             p = s["p"] * part / i
-            return F.when(s["cdf"] > u, s).otherwise(
-                F.struct(p.alias("p"), (s["cdf"] + p).alias("cdf"), (s["k"] + 1).alias("k")))
+            return F.when(s["cdf"] > s["u"], s).otherwise(F.struct(
+                p.alias("p"), (s["cdf"] + p).alias("cdf"), (s["k"] + 1).alias("k"), s["u"].alias("u")))
 
         return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["k"])
 

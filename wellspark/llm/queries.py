@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import jaccard, lines, toxicity
+from wellspark.llm import decontamination, jaccard, lines, mixing, pii, toxicity
 from wellspark.llm.shared import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,18 @@ FROM keyed LEFT JOIN often ON keyed.key = often.key GROUP BY doc_id
 """
 
 
+@query("op3_pii")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    out = pii.personal_data(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start")
+
+
 @query("op6_ngram_jaccard_join", _JACCARD)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, folder, "documents"))
@@ -87,3 +99,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity.score_toxicity(docs, table(spark, folder, "labels"))
     return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op10_source_mixing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.poisson_mix(table(spark, folder, "documents"))
