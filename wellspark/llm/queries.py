@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import decontamination, jaccard, lines, mixing, pii, toxicity
+from wellspark.llm import (chat, decontamination, jaccard, language, lines, mixing, pii, syncmers,
+                           tokens, toxicity)
 from wellspark.llm.shared import fold
 
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -70,6 +73,17 @@ FROM keyed LEFT JOIN often ON keyed.key = often.key GROUP BY doc_id
 """
 
 
+@query("op1_chat_formatting")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_conversations(table(spark, folder, "conversations"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.load_vocabulary(VOCABULARY)).drop("text")
+
+
 @query("op3_pii")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     out = pii.personal_data(table(spark, folder, "documents"))
@@ -82,6 +96,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start")
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.edited_fingerprints(table(spark, folder, "documents"))
+
+
 @query("op6_ngram_jaccard_join", _JACCARD)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, folder, "documents"))
@@ -94,6 +113,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score")
+
+
 @query("op9_toxicity")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
