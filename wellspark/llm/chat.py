@@ -16,7 +16,7 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = ("", "system", "user", "assistant")
 # After a state: the roles that may follow. A conversation ends after an assistant's turn.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-MERGE, RELABEL, INSERT, GUESS = 2, 3, 5, 1  # costs; GUESS: a role for a turn that has none
+MERGE, RELABEL, INSERT, GUESS = 1, 6, 4, 1  # costs; GUESS: a role for a turn that has none
 FAR = 1 << 40
 _OPEN, _CLOSE = "<|im_start|>{}\n", "<|im_end|>\n"
 

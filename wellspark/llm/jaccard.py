@@ -17,7 +17,9 @@ SAMPLE = 48  # smallest shingle hashes kept of each document
 CHOSEN = 24  # of these, so many of each kind (rare, frequent) name tiles
 FREQUENT = 64  # a shingle in so many different documents is frequent
 MOST_FREQUENT = 1 << 20  # frequent shingles are 1 in so many sampled ones at least
-NARROW, WIDE = 64, 4096  # bits of the narrowest and widest bitmap
+NARROW, WIDE = 64, 4096  # shingles that end the lowest band of sizes and begin the highest
+BITS = 4  # bitmap bits for each shingle at the upper end of a band
+ROUNDS = (0, 1, 8, None)  # pairs tried per set and component: leaders only, then the best, in the end all
 BLOCK = 2048  # rows of a tile that meet in one task
 FILTER_BITS = 1 << 27
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -45,8 +47,8 @@ def set_id(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
-def width(size: int) -> int:
-    """Bits of the bitmap of a set: the power of two above its size, within fixed limits."""
+def band_of(size: int) -> int:
+    """The upper end of the band of sizes: a power of two within fixed limits."""
     return min(WIDE, max(NARROW, 1 << (max(size, 1) - 1).bit_length()))
 
 
@@ -66,15 +68,19 @@ def _fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
 
 
-def possible(n, m, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether sets of n and m shingles with bitmaps a and b (rows of uint64) can be linked.
+def most_common(n, m, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A bound of the overlap of sets of n and m shingles with bitmaps a and b (rows of uint64).
 
     A bit of a that b lacks stands for one shingle at least that only the first set has, so the
     overlap is at most n less their number, and at most m less the number the other way round.
     """
     only_a = np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
-    overlap = np.minimum(n - only_a, m - only_b)
+    return np.minimum(n - only_a, m - only_b)
+
+
+def possible(n, m, overlap) -> np.ndarray:
+    """Whether sets of n and m shingles with at most this overlap can be linked."""
     return 100 * overlap >= PERCENT * (n + m - overlap)
 
 
@@ -96,65 +102,59 @@ def profiles(docs: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([s[:SAMPLE].view(np.int64) for s in sets], pa.list_(pa.int64())),
-                 pa.array([bitmap(s, width(len(s))) if len(s) else None for s in sets], pa.binary())],
+                 pa.array([bitmap(s, BITS * band_of(len(s))) if len(s) else None for s in sets], pa.binary())],
                 ["doc_id", "key", "n_shingles", "node", "sample", "bitmap"]) if len(empty) else batch
 
     return rows.mapInArrow(run, f"doc_id {kind}, key long, n_shingles long, node long, "
                                 "sample array<long>, bitmap binary")
 
 
-def _tiles(nodes: DataFrame) -> DataFrame:
-    """Rows (token, band, node, n, home, bitmap): the tiles in which sets can meet.
+def _chosen(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with tokens in place of the sample: the shingle hashes that name their tiles.
 
-    Tokens are the smallest shingle hashes of a set, frequent shingles apart from the rest: the
-    24 smallest rare ones, and the 24 smallest frequent ones of sets with many. Of two linked sets
-    one part at least has a similarity of 0.6, and a random order of it starts with 24 shingles
-    that only one set has with a chance below 0.4 ** 24; sets of up to 24 shingles show them all.
-    A set is at home in the tile of its band of sizes and a guest in the one below if linked sets
-    may be there; a tile's bitmaps are equally wide.
+    These are the smallest hashes of a set, frequent shingles apart from the rest: the 24 smallest
+    rare ones, and the 24 smallest frequent ones of sets with many. Of two linked sets one part at
+    least has a similarity of 0.6, and a random order of it starts with 24 shingles that only one
+    set has with a chance below 0.4 ** 24; sets of up to 24 shingles show them all.
     """
     spark = nodes.sparkSession
-    tokens = nodes.select(F.explode("sample").alias("token"))
     total = nodes.select(F.sum(F.size("sample")).alias("n")).first()["n"] or 0
     least = max(FREQUENT, -(-total // MOST_FREQUENT))
-    counts = shared_table(tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
     # At most MOST_FREQUENT shingles can be that frequent, so the list has a fixed bound.
-    often = np.sort(counts.filter(F.col("n") >= least).select("token").toArrow().column(0).to_numpy())
-    frequent = spark.sparkContext.broadcast(often)
+    often = nodes.select(F.explode("sample").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    frequent = spark.sparkContext.broadcast(
+        np.sort(often.filter(F.col("n") >= least).select("token").toArrow().column(0).to_numpy()))
 
     def choose(batches):
         known = frequent.value
         for batch in batches:
-            at, tokens, guests = [], [], []
-            sizes = batch.column(1).to_numpy()
-            for i, sample in enumerate(batch.column(2)):
+            tokens = []
+            for sample in batch.column("sample"):
                 s = np.asarray(sample.values)
                 where = np.searchsorted(known, s)
                 hot = known[np.minimum(where, len(known) - 1)] == s if len(known) else np.zeros(len(s), bool)
                 many = 8 * hot.sum() > 3 * len(s)
-                pick = np.concatenate([s[~hot][:CHOSEN], s[hot][:CHOSEN] if many else s[:0]])
-                at += [i] * len(pick)
-                tokens.append(pick)
-                guests += [False] * len(pick)
-                home = width(int(sizes[i]))
-                # 3/4 of its size still falls into the band below: the band ends at home / 2.
-                if home > NARROW and PERCENT * int(sizes[i]) <= 100 * (home // 2):
-                    at += [i] * len(pick)
-                    tokens.append(pick)
-                    guests += [True] * len(pick)
-            taken = pa.array(at, pa.int64())
-            n = pa.array(sizes).take(taken)
-            homes = np.array([width(int(x)) for x in n.to_numpy()], np.int32) if at else np.empty(0, np.int32)
-            guest = np.array(guests, bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens) if tokens else np.empty(0, np.int64)),
-                 pa.array(np.where(guest, homes // 2, homes), pa.int32()),
-                 batch.column(0).take(taken), n.cast(pa.int64()), pa.array(~guest)],
-                ["token", "band", "node", "n", "home"])
+                tokens.append(np.concatenate([s[~hot][:CHOSEN], s[hot][:CHOSEN] if many else s[:0]]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "key", "n", "bitmap")), pa.array(tokens, pa.list_(pa.int64()))],
+                                             ["node", "key", "n", "bitmap", "tokens"])
+
+    return nodes.mapInArrow(choose, "node long, key long, n long, bitmap binary, tokens array<long>")
+
 
-    rows = nodes.select("node", "n", "sample").mapInArrow(
-        choose, "token long, band int, node long, n long, home boolean")
-    return rows.join(counts.select("token"), "token", "left_semi")
+def _tiles(sets: DataFrame) -> DataFrame:
+    """Rows (token, band, node, n, home): the tiles of two sets or more.
+
+    A set is at home in the tiles of its band of sizes and a guest in those of the band below if
+    linked sets may be there, so linked sets meet where the smaller one is at home or both are.
+    """
+    band = F.least(F.lit(WIDE), F.greatest(F.lit(NARROW), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n"))))).cast("int"))
+    visits = (F.col("band") > NARROW) & (F.col("n") * PERCENT <= F.col("band") / 2 * 100)
+    homes = F.explode(F.when(visits, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("home")
+    own = F.when(F.col("home"), F.col("band")).otherwise((F.col("band") / 2).cast("int")).alias("band")
+    rows = (sets.select("node", "n", "tokens", band.alias("band")).select("node", "n", "tokens", "band", homes)
+            .select(F.explode("tokens").alias("token"), own, "node", "n", "home"))
+    shared = rows.groupBy("token", "band").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes")).filter("rows > 1 AND homes > 0")
+    return rows.join(shared.select("token", "band"), ["token", "band"], "left_semi")
 
 
 def _bitmaps(column, folded: np.ndarray, bits: int) -> np.ndarray:
@@ -164,47 +164,64 @@ def _bitmaps(column, folded: np.ndarray, bits: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint64).reshape(len(data), bits // 64)
 
 
-def _star_pairs(tiles: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every tile's leader and each of its other sets of fitting size."""
-    leaders = tiles.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("x"))
-    leaders = leaders.select("token", "band", F.col("x.node").alias("a"), F.col("x.n").alias("m"))
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
-    return (tiles.join(leaders, ["token", "band"]).filter((F.col("node") != F.col("a")) & fits)
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-
+def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, most: int | None) -> DataFrame:
+    """Pairs (a, b) within tiles whose sets may be linked and aren't in one component yet.
 
-def _other_pairs(tiles: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) within tiles whose sets aren't in one component yet and may be linked.
-
-    All pairs of a tile are held against the bitmap bound inside the task; only those that pass
-    leave it. A tile of more than BLOCK rows is cut into blocks by the hash of the node, and each
-    two blocks meet in a task of their own.
+    Sets are held against the bitmap bound inside the task; only pairs that pass leave it. With
+    ``most`` 0 these are a tile's first set and the others, else every set and its ``most`` most
+    promising partners (None: all) in each component that has more sets in the tile. Except for
+    the first sets, a pair is left to the tile of its smallest common token.
+    A tile of more than BLOCK rows is cut into blocks by the hash of the node, and each two blocks
+    meet in a task of their own.
     """
-    named = tiles.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (named.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                F.count("*").alias("rows"))
+    named = tiles.withColumn("component", F.col("node"))
+    if labels is not None:
+        named = tiles.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (named.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
              .filter("lo <> hi").select("token", "band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = (named.join(mixed, ["token", "band"]).withColumn("block", mine)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if most != 0 else F.col("block")
+    rows = (named.join(mixed, ["token", "band"]).withColumn("block", mine).withColumn("other", other)
             .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
-            .join(nodes.select("node", "bitmap"), "node"))
+            .join(sets.select("node", "bitmap", "tokens"), "node"))
     by = ["token", "band", "first", "second"]
-    dealt = (rows.select(*by, "block", "node", "n", "home", "component", "bitmap")
+    dealt = (rows.select(*by, "block", "node", "n", "home", "component", "bitmap", "tokens")
              .repartition(partitions(tiles.sparkSession), *by).sortWithinPartitions(*by))
 
     def pairs_of(t: pa.Table):
-        bits = t.column("band")[0].as_py()
-        first, second = t.column("first")[0].as_py(), t.column("second")[0].as_py()
+        token, bits = t.column("token")[0].as_py(), BITS * t.column("band")[0].as_py()
+        across = t.column("first")[0].as_py() != t.column("second")[0].as_py()
         node, n, comp, block = (t.column(c).to_numpy() for c in ("node", "n", "component", "block"))
         home = t.column("home").to_numpy(zero_copy_only=False)
         maps = _bitmaps(t.column("bitmap"), ~home, bits)
-        for i in range(len(node) - 1):
-            j = np.arange(i + 1, len(node))
-            j = j[(comp[j] != comp[i]) & (home[j] | home[i]) & _fits(n[j], n[i])
-                  & ((block[j] != block[i]) if first != second else True)]
+        if most == 0:
+            first = int(node.argmin())
+            tries = [(first, np.flatnonzero(node != node[first]))]
+        else:
+            tokens = t.column("tokens").to_pylist()
+            _, label, size = np.unique(comp, return_inverse=True, return_counts=True)
+            rank = np.empty(len(size), np.int64)
+            rank[np.lexsort((np.arange(len(size)), size))] = np.arange(len(size))
+            rank = rank[label]
+            tries = ((i, np.flatnonzero(rank > rank[i])) for i in np.flatnonzero(rank < rank.max()))
+        for i, j in tries:
+            j = j[(home[j] | home[i]) & _fits(n[j], n[i]) & ((block[j] != block[i]) if across else True)]
+            if not len(j):
+                continue
+            bound = most_common(n[i], n[j], maps[i], maps[j])
+            good = possible(n[i], n[j], bound)
+            j, bound = j[good], bound[good]
+            if most != 0 and len(j):
+                own = set(tokens[i])
+                here = np.array([min(own.intersection(tokens[x])) == token for x in j], bool)
+                j, bound = j[here], bound[here]
+                if most is not None and len(j):
+                    order = np.lexsort((node[j], -bound, comp[j]))
+                    j = j[order]
+                    begin = np.flatnonzero(np.concatenate([[True], comp[j][1:] != comp[j][:-1]]))
+                    place = np.arange(len(j)) - np.repeat(begin, np.diff(np.append(begin, len(j))))
+                    j = j[place < most]
             if len(j):
-                j = j[possible(n[i], n[j], maps[i], maps[j])]
                 yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
     def run(batches):
@@ -235,12 +252,11 @@ def _other_pairs(tiles: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataF
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets reach the similarity, by exact intersection of the sorted sets."""
     spark = docs.sparkSession
-    pairs = shared_table(pairs)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = wanted.join(nodes.select("node", "key"), "node").select(F.col("key").alias("h"), F.lit(True).alias("twice"))
+    keys = wanted.join(sets.select("node", "key"), "node").select(F.col("key").alias("h"), F.lit(True).alias("twice"))
     known = spark.sparkContext.broadcast(twice_seen(keys, FILTER_BITS))
 
     def fetch(batches):
@@ -252,10 +268,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 [pa.array([set_id(s) for s in sets], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
-    sets = shared_table(docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
-                        .mapInArrow(fetch, "node long, shingles binary")
-                        .join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    x, y = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    whole = shared_table(docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+                         .mapInArrow(fetch, "node long, shingles binary")
+                         .join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    x, y = (whole.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
 
     def check(batches):
         for batch in batches:
@@ -283,12 +299,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     nodes = shared_table(rows.filter("n_shingles > 0").groupBy("node").agg(
         F.min("key").alias("key"), F.first("n_shingles").alias("n"),
         F.first("sample").alias("sample"), F.first("bitmap").alias("bitmap")))
-    tiles = shared_table(_tiles(nodes))
-    links = _verified(_star_pairs(tiles), docs, nodes)
-    labels = components(links)
-    more = _verified(_other_pairs(tiles, labels, nodes), docs, nodes)
-    links = links.unionByName(more)
-    labels = components(links)
+    sets = shared_table(_chosen(nodes))
+    tiles = shared_table(_tiles(sets))
+    labels = links = tried = None
+    for most in ROUNDS:
+        pairs = _pairs(tiles, labels, sets, most)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = shared_table(pairs)
+        if most != 0 and pairs.isEmpty():
+            break
+        good = _verified(pairs, docs, sets)
+        tried, links = (pairs, good) if tried is None else (tried.unionByName(pairs), links.unionByName(good))
+        labels = components(links)
     degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
               .groupBy("node").agg(F.count("*").alias("n_links")))
     ids = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
