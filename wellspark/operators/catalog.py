@@ -40,7 +40,7 @@ def with_provenance(df: DataFrame, path: str = "file_path") -> DataFrame:
         F.when(part(3) == "dataset", part(2).try_cast("int")).alias("event_class"),
         kind.alias("well_kind"),
         F.when(name.startswith("WELL-"), F.substring_index(
-            F.substring(name, 6, 1_000), "_", 1).try_cast("int")).alias("well_id"),
+            F.substr(name, F.lit(6)), "_", 1).try_cast("int")).alias("well_id"),
     )
 
 

@@ -10,42 +10,56 @@ from wellspark.queries.registry import query
 
 BASE_URL = "https://example.org/sensors"
 
-# SQL of what the path tells, of the lookup, and of the catalog.
-PROVENANCE = r"""
-observed AS (
-  SELECT * EXCLUDE (file_path),
-    regexp_extract(file_path, '/([^/]+)\.parquet$', 1) AS instance_id,
-    regexp_extract(file_path, '/([^/]+\.parquet)$', 1) AS source_file,
-    CAST(regexp_extract(file_path, '/dataset/([0-9]+)/', 1) AS INT) AS event_class,
-    CASE WHEN file_path LIKE '%/WELL-%' THEN 'real' WHEN file_path LIKE '%SIMULATED%' THEN 'simulated'
-         WHEN file_path LIKE '%DRAWN%' THEN 'drawn' END AS well_kind,
-    CASE WHEN file_path LIKE '%/WELL-%'
-         THEN CAST(regexp_extract(file_path, 'WELL-0*([0-9]+)_', 1) AS INT) END AS well_id
-  FROM {source})"""
+# A path is cut at its slashes and its file name at the first sign that ends the prefix. {side}
+# names the rows made of {source}.
+PROVENANCE = """
+{side} AS (
+  SELECT cut.* EXCLUDE (file_path, parts, words), parts[-1] AS source_file,
+    array_to_string(string_split(parts[-1], '.')[:-2], '.') AS instance_id,
+    CASE WHEN parts[-3] = 'dataset' THEN TRY_CAST(parts[-2] AS INT) END AS event_class,
+    known.label AS well_kind,
+    CASE known.label WHEN 'real' THEN TRY_CAST(words[2] AS INT) END AS well_id
+  FROM (SELECT *, string_split(file_path, '/') AS parts,
+          string_split(translate(string_split(file_path, '/')[-1], '-', '_'), '_') AS words
+        FROM {source}) cut
+  LEFT JOIN (VALUES ('WELL', 'real'), ('SIMULATED', 'simulated'), ('DRAWN', 'drawn'))
+    known(prefix, label) ON known.prefix = words[1])"""
 LOOKUP = """
 lookup AS (SELECT event_class, name, description, has_transient,
   CASE WHEN has_transient THEN event_class + 100 END AS transient_code,
   has_transient AS has_normal_prefix FROM sensor_specs)"""
+# Rows are counted per file and label; the labels' phases then become columns.
 CATALOG = f"""
+per_label AS (
+  SELECT instance_id, source_file, event_class, well_kind, well_id, class, count(*) AS n,
+    min(timestamp) AS lo, max(timestamp) AS hi,
+    CASE class WHEN event_class THEN 'steady' WHEN event_class + 100 THEN 'transient'
+      WHEN 0 THEN 'normal' ELSE if(class IS NULL, 'warmup', 'other') END AS phase
+  FROM observed GROUP BY ALL),
+phases AS (
+  PIVOT (SELECT instance_id, source_file, event_class, phase, n FROM per_label)
+  ON phase IN ('steady', 'transient', 'normal', 'warmup') USING sum(n)
+  GROUP BY instance_id, source_file, event_class),
+files AS (
+  SELECT instance_id, source_file, event_class, well_kind, well_id, min(lo) AS start_ts,
+    max(hi) AS end_ts, CAST(sum(n) AS BIGINT) AS n_rows
+  FROM per_label GROUP BY ALL),
 catalog AS (
-  SELECT instance_id, well_kind, well_id, a.event_class, start_ts, end_ts,
-    date_diff('second', start_ts, end_ts) AS duration_s, n_rows, n_rows_warmup_null, n_rows_normal,
-    CASE WHEN has_transient THEN transient_rows END AS n_rows_transient, n_rows_steady,
-    source_file, '{BASE_URL}/observations/event_class=' || a.event_class || '/' || instance_id
-      || '.parquet' AS source_url
-  FROM (SELECT instance_id, well_kind, well_id, event_class, source_file,
-          min(timestamp) AS start_ts, max(timestamp) AS end_ts, count(*) AS n_rows,
-          count(*) FILTER (class IS NULL) AS n_rows_warmup_null,
-          count(*) FILTER (class = 0 AND event_class <> 0) AS n_rows_normal,
-          count(*) FILTER (class = event_class + 100) AS transient_rows,
-          count(*) FILTER (class = event_class) AS n_rows_steady
-        FROM observed GROUP BY ALL) a LEFT JOIN lookup USING (event_class))"""
+  SELECT files.*, date_diff('second', start_ts, end_ts) AS duration_s,
+    CAST(coalesce(warmup, 0) AS BIGINT) AS n_rows_warmup_null,
+    CAST(coalesce(normal, 0) AS BIGINT) AS n_rows_normal,
+    CAST(CASE WHEN has_transient THEN coalesce(transient, 0) END AS BIGINT) AS n_rows_transient,
+    CAST(coalesce(steady, 0) AS BIGINT) AS n_rows_steady,
+    format('{BASE_URL}/observations/event_class={{}}/{{}}.parquet', event_class, instance_id)
+      AS source_url
+  FROM files JOIN phases USING (instance_id, source_file, event_class)
+  LEFT JOIN lookup USING (event_class))"""
 WELLS = """
 sensor_wells AS (SELECT well_id, count(*) AS n_instances, min(start_ts) AS first_ts,
   max(end_ts) AS last_ts, CAST(sum(n_rows) AS BIGINT) AS n_observations
   FROM catalog WHERE well_kind = 'real' GROUP BY well_id)"""
 USES = ("sensor_rows", "sensor_specs")
-FULL = "WITH " + ",".join([PROVENANCE.format(source="sensor_rows"), LOOKUP, CATALOG, WELLS])
+FULL = "WITH " + ",".join([PROVENANCE.format(source="sensor_rows", side="observed"), LOOKUP, CATALOG, WELLS])
 
 
 def rows(spark, sf):
