@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from wellspark.operators import temporal as ops
 from wellspark.operators.checks import cadence_breaks
-from wellspark.operators import hot
-from wellspark.operators.hot import SLICE, split_hot
+from wellspark.operators.slices import slice_of
 
 
 def month(n):
@@ -39,10 +38,10 @@ def expected_runs(data):
     ("ABA", ["A1-1", "B2-2", "A3-3"]), ("..A", [".1-2", "A3-3"]), ("A..", ["A1-1", ".2-3"]),
     ("A", ["A1-1"]), (".", [".1-1"]),
 ])
-@pytest.mark.parametrize("max_rows", [None, 1, 2, 1000])
-def test_collapse(spark, rows, text, runs, max_rows):
+@pytest.mark.parametrize("every", [None, 1, 40, 100_000])
+def test_collapse(spark, rows, text, runs, every):
     got = ops.collapse_intervals(series(spark, text).orderBy(F.rand(3)), ["idpozo"], "fecha",
-                                 "value", max_rows=max_rows)
+                                 "value", every=every)
     want = sorted(((1, None if r[0] == "." else r[0], month(int(r[1:].split("-")[0])),
                     month(int(r[1:].split("-")[1]))) for r in runs), key=repr)
     assert rows(got) == want
@@ -76,64 +75,53 @@ def hot_rows(n, seed, values="AB."):
     return [(k, t, None if v == "." else v) for (k, t), v in unique.items()]
 
 
-@pytest.mark.parametrize("max_rows", [3, 17, 100])
+@pytest.mark.parametrize("every", [1, 17, 100, 10_000])
 @pytest.mark.parametrize("values", ["AB.", "AAAAAAAAAAAAB", "A"])
-def test_hot_entity_gives_the_same_runs(spark, rows, max_rows, values):
+def test_hot_entity_gives_the_same_runs(spark, rows, every, values):
     data = hot_rows(600, 7, values)
     df = spark.createDataFrame(data, "k int, t timestamp_ntz, v string")
-    got = ops.collapse_intervals(df, ["k"], "t", "v", max_rows=max_rows)
+    got = ops.collapse_intervals(df, ["k"], "t", "v", every=every)
     assert rows(got) == sorted(expected_runs(data), key=repr)
 
 
-@pytest.mark.parametrize("max_rows", [3, 40])
-def test_hot_entity_gives_the_same_transitions(spark, rows, max_rows):
+@pytest.mark.parametrize("every", [1, 40, 500])
+def test_hot_entity_gives_the_same_transitions(spark, rows, every):
     df = spark.createDataFrame(hot_rows(600, 8), "k int, t timestamp_ntz, v string")
-    assert rows(ops.detect_transitions(df, ["k"], "t", ["v"], max_rows=max_rows)) == rows(
+    assert rows(ops.detect_transitions(df, ["k"], "t", ["v"], every=every)) == rows(
         ops.detect_transitions(df, ["k"], "t", ["v"]))
 
 
-@pytest.mark.parametrize("max_rows", [3, 40])
-def test_hot_entity_gives_the_same_previous_time(spark, rows, max_rows):
+@pytest.mark.parametrize("every", [1, 40, 500])
+def test_hot_entity_gives_the_same_previous_time(spark, rows, every):
     df = spark.createDataFrame(hot_rows(600, 9), "k int, t timestamp_ntz, v string")
-    assert rows(ops.previous(df, ["k"], "t", max_rows=max_rows), "k", "t", "previous") == rows(
+    assert rows(ops.previous(df, ["k"], "t", every=every), "k", "t", "previous") == rows(
         ops.previous(df, ["k"], "t"), "k", "t", "previous")
 
 
-def test_only_the_hot_entity_is_sliced_and_its_slices_are_small(spark):
-    df = spark.createDataFrame(hot_rows(3000, 10), "k int, t timestamp_ntz, v string")
-    sizes = split_hot(df, ["k"], "t", 150).groupBy("k", SLICE).count().collect()
-    hot = [r for r in sizes if r["k"] == 0]
-    assert len(hot) >= 4
-    assert all(r[SLICE] == 0 for r in sizes if r["k"] != 0)
-    total = df.where("k = 0").count()
-    assert sum(r["count"] for r in hot) == total and max(r["count"] for r in hot) <= 300
-
-
-def test_number_of_slices_is_bounded(spark, monkeypatch):
-    df = spark.createDataFrame(hot_rows(600, 12), "k int, t timestamp_ntz, v string")
-    total = df.where("k = 0").count()
-    assert hot.slice_size(df, ["k"], 30) == 30
-    assert hot.slice_size(df, ["k"], 10_000) is None
-    monkeypatch.setattr(hot, "_MAX_SLICES", 4)
-    size = hot.slice_size(df, ["k"], 30)
-    assert size == -(-total // 4)
-    assert split_hot(df, ["k"], "t", size).select(SLICE).distinct().count() <= 8
-
-
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "bigint"])
-def test_slices_follow_time_and_resolve_bursts(spark, kind):
-    # 2000 rows of key NULL: two far-off rows, and a burst of neighbours between them.
-    ticks = [0, 10 ** 6 - 1, *range(500_000, 501_998)]
-    expression = {"date": "date_from_unix_date(cast(id % 1000000 as int))",
-                  "timestamp": "timestamp_micros(id)",
-                  "timestamp_ntz": "cast(timestamp_micros(id) as timestamp_ntz)",
+def test_slices_follow_time_and_wrong_clocks_do_not_fill_them(spark, kind):
+    # A row far off in time is a slice of its own and leaves the others as they are.
+    days = [-700_000, *range(18_000, 18_400), 2_000_000]
+    expression = {"date": "date_from_unix_date(cast(id as int))",
+                  "timestamp": "timestamp_seconds(id * 86400)",
+                  "timestamp_ntz": "cast(timestamp_seconds(id * 86400) as timestamp_ntz)",
                   "bigint": "id"}[kind]
-    df = spark.createDataFrame([(t,) for t in ticks], "id bigint").selectExpr(
-        "cast(null as int) as k", f"{expression} as t")
-    got = split_hot(df, ["k"], "t", 100).orderBy("t").collect()
-    order = [r[SLICE] for r in got]
-    assert order == sorted(order) and len(set(order)) >= 10
-    assert max(order.count(s) for s in set(order)) <= 200
+    every = 40 * (86_400 if "timestamp" in kind else 1)
+    df = spark.createDataFrame([(d,) for d in days], "id bigint").selectExpr(f"{expression} as t")
+    got = [r["s"] for r in df.select("t", slice_of(F.col("t"), kind, every).alias("s")).orderBy("t").collect()]
+    assert got == sorted(got) and max(got.count(s) for s in set(got)) <= 40
+    assert got.count(got[0]) == got.count(got[-1]) == 1
+
+
+def test_building_a_query_runs_no_job(spark):
+    df = spark.createDataFrame(hot_rows(300, 3), "k int, t timestamp_ntz, v string")
+    spark.sparkContext.setJobGroup("building", "building")
+    ops.collapse_intervals(ops.dedupe_key(df, ["k", "t"], ["v"]), ["k"], "t", "v")
+    ops.detect_transitions(df, ["k"], "t", ["v"])
+    ops.previous(df, ["k"], "t")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_intervals_are_disjoint_and_transitions_are_their_starts(spark, rows):
@@ -154,11 +142,11 @@ def test_intervals_are_disjoint_and_transitions_are_their_starts(spark, rows):
     ([(None, None, None), (None, None, None)], [1]),
     ([("a", "b", "c"), ("x", "b", "c"), ("a", "b", "c")], [1, 2, 3]),
 ])
-@pytest.mark.parametrize("max_rows", [None, 1])
-def test_transitions(spark, rows, states, kept, max_rows):
+@pytest.mark.parametrize("every", [None, 1])
+def test_transitions(spark, rows, states, kept, every):
     data = [(well, month(i + 1), *s) for well in (1, 2) for i, s in enumerate(states)]
     df = spark.createDataFrame(data[::-1], "idpozo int, fecha date, a string, b string, c string")
-    got = ops.detect_transitions(df, ["idpozo"], "fecha", ["a", "b", "c"], max_rows=max_rows)
+    got = ops.detect_transitions(df, ["idpozo"], "fecha", ["a", "b", "c"], every=every)
     assert rows(got, "idpozo", "fecha") == [(w, month(m)) for w in (1, 2) for m in kept]
 
 
@@ -179,8 +167,8 @@ def test_dedupe_prefers_values_over_null(spark, rows):
     df = spark.createDataFrame([(1, None, "b"), (1, 2.0, None), (1, 3.0, "a")],
                                "k int, x double, s string")
     assert rows(ops.dedupe_key(df, ["k"], ["x", "s"])) == [(1, 2.0, "a")]
-    for max_rows in (1, 10):
-        assert rows(ops.dedupe_key(df, ["k"], ["x", "s"], ["k"], max_rows)) == [(1, 2.0, "a")]
+    assert rows(ops.dedupe_rows(df, ["k"], ["x", "s"])) == [(1, 2.0, None)]
+    assert rows(ops.dedupe_rows(df, ["k"], ["s", "x"])) == [(1, "a", 3.0)]
 
 
 def test_gap_audit(spark, rows):
@@ -195,5 +183,5 @@ def test_cadence_counts_gaps_and_copies(spark, rows):
     at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in (0, 1, 2, 2, 5)]
     df = spark.createDataFrame([(1, t) for t in at] + [(2, t) for t in at[:3]],
                                "k int, t timestamp_ntz")
-    for max_rows in (None, 2):
-        assert rows(cadence_breaks(df, ["k"], "t", max_rows=max_rows)) == [(1, 2)]
+    for every in (None, 2):
+        assert rows(cadence_breaks(df, ["k"], "t", every=every)) == [(1, 2)]

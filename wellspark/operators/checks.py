@@ -136,14 +136,14 @@ def check_complete_months(name: str, df: DataFrame, key: str, date: str) -> Rule
 
 
 def cadence_breaks(df: DataFrame, keys: list[str], time: str, seconds: int = 1,
-                   max_rows: int | None = 2_000_000) -> DataFrame:
+                   every: int | None = None) -> DataFrame:
     """Per entity, the number of steps that are not ``seconds`` long.
 
     Copies of the same time are counted first: each extra copy is one zero-length step.
     """
     times = df.groupBy(*[quoted(k) for k in keys], quoted(time)).agg(
         F.count(F.lit(1)).alias("_copies"))
-    stepped = previous(times, keys, time, "_previous", max_rows)
+    stepped = previous(times, keys, time, "_previous", every)
     step = seconds_between(F.col("_previous"), quoted(time))
     broken = F.when(F.col("_previous").isNotNull() & (step != seconds), 1).otherwise(0)
     extra = F.lit(0) if seconds == 0 else F.col("_copies") - 1
@@ -152,8 +152,8 @@ def cadence_breaks(df: DataFrame, keys: list[str], time: str, seconds: int = 1,
 
 
 def check_cadence(name: str, df: DataFrame, keys: list[str], time: str, seconds: int = 1,
-                  max_rows: int | None = 2_000_000) -> Rule:
-    breaks = cadence_breaks(df, keys, time, seconds, max_rows)
+                  every: int | None = None) -> Rule:
+    breaks = cadence_breaks(df, keys, time, seconds, every)
     return Rule(name, breaks.agg(F.sum("n_breaks").alias("violations")), CadenceError)
 
 

@@ -8,22 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import quoted
-from wellspark.operators.hot import MAX_ROWS_PER_GROUP, has_hot
 
 
-def modal_attributes(df: DataFrame, key: str, columns: dict[str, str],
-                     max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
+def modal_attributes(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """Per key, the most frequent non-NULL value of each column; smallest value on a tie.
 
-    The built-in mode holds the values of a key in one task, so it is used while no key has more
-    than ``max_rows`` rows. Beyond that, equal attribute tuples are counted, the distinct tuples
-    are unpivoted, and counts per value are what meets per key.
+    Equal attribute tuples are counted, the distinct tuples are unpivoted, and counts per value
+    are what meets per key, so a key with very many rows is a few rows by then.
     """
     df = df.where(quoted(key).isNotNull())
-    if not has_hot(df, [key], max_rows):
-        return df.groupBy(quoted(key)).agg(*[
-            F.mode(quoted(src), deterministic=True).alias(out) for out, src in columns.items()])
-
     sources = list(dict.fromkeys(columns.values()))
     tuples = (
         df.groupBy(quoted(key), *[quoted(c) for c in sources])

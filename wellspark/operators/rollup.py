@@ -8,29 +8,19 @@ from pyspark.sql import functions as F
 from wellspark.functions.columns import quoted
 
 
-def small_enough(df: DataFrame) -> bool:
-    """Whether Spark, by its own size estimate and limit, would broadcast this frame."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= limit
-
-
 def sums_by_dimension(fact: DataFrame, dimension: DataFrame, key: str, measures: list[str],
                       by_fact: list[str] | None = None,
                       by_dimension: list[str] | None = None) -> DataFrame:
     """Inner join and grouped sums.
 
-    A dimension within Spark's broadcast limit is joined as it is, and only the grouped sums are
-    shuffled. For a larger one the facts are summed per key before they are shuffled for the
-    join, which turns a hot key into a few rows.
+    The facts are summed per key before they meet the dimension, which turns a hot key into a few
+    rows; how the join is done is left to Spark.
     """
     on_fact = [quoted(c) for c in by_fact or []]
     on_dimension = [quoted(c) for c in by_dimension or []]
     sums = [F.sum(quoted(m)).alias(m) for m in measures]
-    attributes = dimension.select(quoted(key), *on_dimension)
-    if not small_enough(attributes):
-        fact = fact.groupBy(quoted(key), *on_fact).agg(*sums)
-    joined = fact.join(attributes, key)
+    per_key = fact.groupBy(quoted(key), *on_fact).agg(*sums)
+    joined = per_key.join(dimension.select(quoted(key), *on_dimension), key)
     return joined.groupBy(*on_fact, *on_dimension).agg(*sums)
 
 

@@ -4,10 +4,9 @@ Input rows are unique per ``(keys, time)``; :func:`dedupe_key` makes them so. NU
 a run of NULLs is a run, and a step to or from NULL is a change. The first row of an entity
 always counts, and nothing is smoothed.
 
-Entities whose rows are bounded by the calendar (one row per month) are handled in one window.
-For anything finer, ``max_rows`` cuts an over-full entity into time slices: each slice is solved
-on its own and only its first and last pieces meet again in a second, small window. One job
-counts the rows per entity beforehand, so that data without such entities keep the short plan.
+Windows work inside slices of an entity's time (see ``slices``); the first and last rows of the
+slices meet in a second, small window. ``every`` is the width of a slice in days for dates, in
+seconds for timestamps, in ones for numbers.
 """
 
 from __future__ import annotations
@@ -16,40 +15,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import months_between, quoted
-from wellspark.operators.hot import (
-    MAX_ROWS_PER_GROUP,
-    SLICE,
-    has_hot,
-    slice_size,
-    split_hot,
-)
+from wellspark.operators.slices import SLICE, slice_of
 
 
 def _cols(names: list[str]) -> list[Column]:
     return [quoted(n) for n in names]
 
 
-def dedupe_key(df: DataFrame, keys: list[str], values: list[str],
-               entity: list[str] | None = None,
-               max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
-    """One row per key; of conflicting values the smallest non-NULL one is kept.
-
-    With ``entity`` (the leading keys) rows are shuffled by entity, so that windows per entity
-    need no second shuffle. When an entity has too many rows for that, rows are reduced per key
-    before they meet.
-    """
-    if entity and not has_hot(df, entity, max_rows):
-        df = df.repartition(*_cols(entity))
+def dedupe_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One row per key; of conflicting values the smallest non-NULL one of each column is kept."""
     return df.groupBy(*_cols(keys)).agg(*[F.min(quoted(v)).alias(v) for v in values])
 
 
-def _sliced(df: DataFrame, keys: list[str], time: str,
-            max_rows: int | None) -> tuple[DataFrame, bool]:
-    """The rows with their slice, and whether any entity is cut."""
-    size = None if max_rows is None else slice_size(df, keys, max_rows)
-    if size is None:
-        return df.withColumn(SLICE, F.lit(0).cast("long")), False
-    return split_hot(df, keys, time, size), True
+def dedupe_rows(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One row per key, whole: the smallest by its values in order, NULL after every value."""
+    order = F.struct(*[c for v in values for c in (quoted(v).isNull().alias(f"_null_{v}"), quoted(v))])
+    return df.groupBy(*_cols(keys)).agg(F.min(order).alias("_row")).select(
+        *_cols(keys), *[F.col("_row").getField(v).alias(v) for v in values])
+
+
+def _sliced(df: DataFrame, time: str, every: int | None) -> DataFrame:
+    return df.withColumn(SLICE, slice_of(quoted(time), dict(df.dtypes)[time], every))
 
 
 def _local_changes(df: DataFrame, keys: list[str], time: str, values: list[str]) -> DataFrame:
@@ -86,23 +72,19 @@ def _close_runs(rows: DataFrame, keys: list[str], start: str, end: str,
 
 
 def collapse_intervals(df: DataFrame, keys: list[str], time: str, value: str,
-                       carry: tuple[str, ...] = (), max_rows: int | None = None) -> DataFrame:
+                       carry: tuple[str, ...] = (), every: int | None = None) -> DataFrame:
     """One row per run of equal values: keys, value, carried columns, valid_from, valid_to.
 
     Both ends of the interval are observed times. ``carry`` columns take the value they had on
     the first row of the run.
     """
     rows = df.select(*_cols(keys), quoted(value), *_cols(list(carry)), quoted(time))
-    sliced, cut = _sliced(rows, keys, time, max_rows)
-    flagged = _local_changes(sliced, keys, time, [value])
+    flagged = _local_changes(_sliced(rows, time, every), keys, time, [value])
     runs = _close_runs(flagged, [*keys, SLICE], time, time, F.col("_change")).select(
         *_cols(keys), quoted(value), *_cols(list(carry)), quoted(time).alias("valid_from"),
         F.col("_valid_to").alias("valid_to"), (F.col("_rn") == 1).alias("_at_start"), "_at_end")
     out = [*_cols(keys), quoted(value), *_cols(list(carry)), F.col("valid_from"),
            F.col("valid_to")]
-    if not cut:
-        return runs.select(*out)
-
     inner = runs.where(~F.col("_at_start") & ~F.col("_at_end")).select(*out)
     # At most two runs per slice reach its edges; only these can continue a neighbour's run.
     over = Window.partitionBy(*_cols(keys)).orderBy("valid_from")
@@ -119,22 +101,18 @@ def collapse_intervals(df: DataFrame, keys: list[str], time: str, value: str,
 
 
 def detect_transitions(df: DataFrame, keys: list[str], time: str, values: list[str],
-                       max_rows: int | None = None) -> DataFrame:
+                       every: int | None = None) -> DataFrame:
     """Rows where any of the values changed since the entity's row before; first rows too."""
     out = [*_cols(keys), quoted(time), *_cols(values)]
-    sliced, cut = _sliced(df.select(*out), keys, time, max_rows)
-    flagged = _local_changes(sliced, keys, time, values)
-    if not cut:
-        return flagged.where("_change").select(*out)
-
+    flagged = _local_changes(_sliced(df.select(*out), time, every), keys, time, values)
     inner = flagged.where(F.col("_change") & (F.col("_rn") > 1)).select(*out)
     # The first row of a slice is compared with the last row of the slice before it.
-    whole = Window.partitionBy(*_cols(keys), SLICE)
+    within = Window.partitionBy(*_cols(keys), SLICE).orderBy(quoted(time))
     over = Window.partitionBy(*_cols(keys)).orderBy(quoted(time))
     state = F.struct(*_cols(values))
     edges = (
-        flagged.withColumn("_last_rn", F.max("_rn").over(whole))
-        .where((F.col("_rn") == 1) | (F.col("_rn") == F.col("_last_rn")))
+        flagged.withColumn("_is_last", F.lead(F.lit(True)).over(within).isNull())
+        .where((F.col("_rn") == 1) | F.col("_is_last"))
         .withColumn("_first", F.row_number().over(over) == 1)
         .withColumn("_differs", ~state.eqNullSafe(F.lag(state).over(over)))
         .where((F.col("_rn") == 1) & (F.col("_first") | F.col("_differs")))
@@ -143,32 +121,24 @@ def detect_transitions(df: DataFrame, keys: list[str], time: str, values: list[s
 
 
 def previous(df: DataFrame, keys: list[str], time: str, name: str = "previous",
-             max_rows: int | None = None) -> DataFrame:
+             every: int | None = None) -> DataFrame:
     """Add the entity's previous time (NULL on its first row)."""
-    sliced, cut = _sliced(df, keys, time, max_rows)
-    w = Window.partitionBy(*_cols(keys), SLICE).orderBy(quoted(time))
-    stepped = sliced.withColumn(name, F.lag(quoted(time)).over(w))
-    if not cut:
-        return stepped.drop(SLICE)
-
-    inner = stepped.where(F.col(name).isNotNull())
-    # First rows of slices get the latest time of the nearest slice before.
-    over = Window.partitionBy(*_cols(keys)).orderBy(SLICE)
-    last_before = (
-        sliced.groupBy(*_cols(keys), SLICE).agg(F.max(quoted(time)).alias("_end"))
-        .withColumn("_end_before", F.lag("_end").over(over))
-        .select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                F.col(SLICE).alias("_s"), "_end_before")
+    within = Window.partitionBy(*_cols(keys), SLICE).orderBy(quoted(time))
+    over = Window.partitionBy(*_cols(keys)).orderBy(quoted(time))
+    stepped = (
+        _sliced(df, time, every).withColumn("_rn", F.row_number().over(within))
+        .withColumn(name, F.lag(quoted(time)).over(within))
+        .withColumn("_is_last", F.lead(F.lit(True)).over(within).isNull())
     )
-    same = F.col(SLICE) == F.col("_s")
-    for i, k in enumerate(keys):
-        same = same & quoted(k).eqNullSafe(F.col(f"_k{i}"))
-    first = (
-        stepped.where(F.col(name).isNull()).join(last_before, same, "left")
-        .withColumn(name, F.col("_end_before"))
-        .select(*[quoted(c) for c in stepped.columns])
+    out = [*_cols(df.columns), quoted(name)]
+    inner = stepped.where(F.col("_rn") > 1).select(*out)
+    # The row before a slice's first row is the last one of the slice before.
+    edges = (
+        stepped.where((F.col("_rn") == 1) | F.col("_is_last"))
+        .withColumn(name, F.lag(quoted(time)).over(over))
+        .where(F.col("_rn") == 1)
     )
-    return inner.unionByName(first).drop(SLICE)
+    return inner.unionByName(edges.select(*out))
 
 
 def fill_calendar(df: DataFrame, keys: list[str], date: str, values: list[str]) -> DataFrame:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from wellspark.contracts import MEASURES, STATE_COLUMNS, WELL_MASTER, conform
 from wellspark.functions.columns import month_of, quoted
-from wellspark.operators.hot import MAX_ROWS_PER_GROUP
 from wellspark.operators.master import merge_master, modal_attributes
 from wellspark.operators.temporal import (
     collapse_intervals,
     dedupe_key,
+    dedupe_rows,
     detect_transitions,
     fill_calendar,
 )
@@ -62,13 +62,20 @@ MASTER_RULES: dict[str, list[str]] = {
 }
 
 
-def by_month(production: DataFrame, columns: list[str],
-             max_rows: int = MAX_ROWS_PER_GROUP) -> DataFrame:
-    """One row per well and month; the smallest non-NULL value of each column."""
-    dated = production.select(
+def _dated(production: DataFrame, columns: list[str]) -> DataFrame:
+    return production.select(
         "idpozo", month_of(F.col("anio"), F.col("mes")).alias("fecha"),
         *[quoted(c) for c in columns]).where(F.col("fecha").isNotNull())
-    return dedupe_key(dated, ["idpozo", "fecha"], columns, ["idpozo"], max_rows)
+
+
+def by_month(production: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per well and month; the smallest non-NULL value of each column."""
+    return dedupe_key(_dated(production, columns), ["idpozo", "fecha"], columns)
+
+
+def one_row_by_month(production: DataFrame, columns: list[str]) -> DataFrame:
+    """One of the rows of each well and month: the smallest by the columns, NULL last."""
+    return dedupe_rows(_dated(production, columns), ["idpozo", "fecha"], columns)
 
 
 def monthly_series(production: DataFrame) -> DataFrame:
@@ -77,16 +84,19 @@ def monthly_series(production: DataFrame) -> DataFrame:
 
 
 def operator_history(production: DataFrame) -> DataFrame:
-    """Intervals of one operator per well, with the name it had in the first month."""
+    """Intervals of one operator per well, with the name it had in the first month.
+
+    Code and name of a month are from one row, the one with the smallest code.
+    """
     return collapse_intervals(
-        by_month(production, ["idempresa", "empresa"]), ["idpozo"], "fecha", "idempresa",
+        one_row_by_month(production, ["idempresa", "empresa"]), ["idpozo"], "fecha", "idempresa",
         carry=("empresa",))
 
 
 def state_events(production: DataFrame) -> DataFrame:
-    """Months in which the operational state of a well changed."""
+    """Months in which the operational state of a well changed; a month's state is that of one row."""
     return detect_transitions(
-        by_month(production, STATE_COLUMNS), ["idpozo"], "fecha", STATE_COLUMNS
+        one_row_by_month(production, STATE_COLUMNS), ["idpozo"], "fecha", STATE_COLUMNS
     ).withColumnRenamed("fecha", "event_date")
 
 

@@ -24,7 +24,7 @@ numbered AS (
 def _daily_state(spark, sf):
     events = table(spark, sf, "events")
     dated = events.select("user_id", F.to_date("ts").alias("day"), "event_type", "value")
-    return ops.dedupe_key(dated, ["user_id", "day"], ["event_type", "value"], ["user_id"])
+    return ops.dedupe_key(dated, ["user_id", "day"], ["event_type", "value"])
 
 
 _DAILY_STATE = ("daily AS (SELECT user_id, CAST(ts AS DATE) AS day, min(event_type) AS event_type, "
@@ -45,9 +45,8 @@ def interval_collapse(spark, sf):
 SELECT user_id, min(event_type) AS event_type, min(ts) AS valid_from, max(ts) AS valid_to
 FROM numbered GROUP BY user_id, run""")
 def interval_collapse_fine_grained(spark, sf):
-    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"],
-                              ["user_id"])
-    return ops.collapse_intervals(readings, ["user_id"], "ts", "event_type", max_rows=2_000_000)
+    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"])
+    return ops.collapse_intervals(readings, ["user_id"], "ts", "event_type")
 
 
 @query("interval_collapse_null_runs", "WITH states AS (SELECT idpozo, fecha, "
@@ -58,7 +57,7 @@ SELECT idpozo, min(status) AS status, min(fecha) AS valid_from, max(fecha) AS va
 FROM numbered GROUP BY idpozo, run""", ("order_months",))
 def interval_collapse_null_runs(spark, sf):
     months = bound(spark, sf, "order_months").withColumn("status", F.nullif("status", F.lit("P")))
-    states = ops.dedupe_key(months, ["idpozo", "fecha"], ["status"], ["idpozo"])
+    states = ops.dedupe_key(months, ["idpozo", "fecha"], ["status"])
     return ops.collapse_intervals(states, ["idpozo"], "fecha", "status")
 
 
@@ -84,10 +83,8 @@ SELECT user_id, ts, event_type FROM (
   WINDOW w AS (PARTITION BY user_id ORDER BY ts))
 WHERE rn = 1 OR event_type IS DISTINCT FROM previous_type""")
 def transition_detect_fine_grained(spark, sf):
-    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"],
-                              ["user_id"])
-    return ops.detect_transitions(readings, ["user_id"], "ts", ["event_type"],
-                                  max_rows=2_000_000)
+    readings = ops.dedupe_key(table(spark, sf, "events"), ["user_id", "ts"], ["event_type"])
+    return ops.detect_transitions(readings, ["user_id"], "ts", ["event_type"])
 
 
 _FILL = """
@@ -104,7 +101,7 @@ SELECT grid.idpozo, grid.fecha, prod_pet, status FROM grid LEFT JOIN months USIN
 """, ("order_months",))
 def calendar_fill(spark, sf):
     months = ops.dedupe_key(bound(spark, sf, "order_months"), ["idpozo", "fecha"],
-                            ["prod_pet", "status"], ["idpozo"])
+                            ["prod_pet", "status"])
     return ops.fill_calendar(months, ["idpozo"], "fecha", ["prod_pet", "status"])
 
 
@@ -129,8 +126,10 @@ def monthly_series(spark, sf):
 
 
 @query("operator_history", """
-WITH months AS (SELECT idpozo, make_date(anio, mes, 1) AS fecha, min(idempresa) AS idempresa,
-                       min(empresa) AS empresa FROM production GROUP BY ALL),""" + _RUNS.format(
+WITH months AS (
+  SELECT idpozo, make_date(anio, mes, 1) AS fecha, idempresa, empresa FROM production
+  QUALIFY row_number() OVER (PARTITION BY idpozo, fecha
+                             ORDER BY idempresa NULLS LAST, empresa NULLS LAST) = 1),""" + _RUNS.format(
     source="months", key="idpozo", time="fecha", value="idempresa") + """
 SELECT idpozo, min(idempresa) AS idempresa, arg_min(empresa, fecha) AS empresa,
        min(fecha) AS valid_from, max(fecha) AS valid_to
@@ -139,13 +138,35 @@ def operator_history(spark, sf):
     return well_tables.operator_history(bound(spark, sf, "production"))
 
 
+# Several orders of a customer in a month: the operator's name has to be that of the chosen code.
+_SHARED_MONTHS = """shared AS (
+  SELECT o_custkey AS idpozo, CAST(year(o_orderdate) AS INT) AS anio, 1 + month(o_orderdate) // 7 AS mes,
+         o_orderstatus AS idempresa, o_orderpriority AS empresa FROM orders)"""
+
+
+@query("operator_history_of_shared_months", "WITH " + _SHARED_MONTHS + """, months AS (
+  SELECT idpozo, make_date(anio, mes, 1) AS fecha, idempresa, empresa FROM shared
+  QUALIFY row_number() OVER (PARTITION BY idpozo, anio, mes
+                             ORDER BY idempresa NULLS LAST, empresa NULLS LAST) = 1),""" + _RUNS.format(
+    source="months", key="idpozo", time="fecha", value="idempresa") + """
+SELECT idpozo, min(idempresa) AS idempresa, arg_min(empresa, fecha) AS empresa,
+       min(fecha) AS valid_from, max(fecha) AS valid_to
+FROM numbered GROUP BY idpozo, run""")
+def operator_history_of_shared_months(spark, sf):
+    half = (1 + F.floor(F.month("o_orderdate") / 7)).cast("int")
+    return well_tables.operator_history(table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("idpozo"), F.year("o_orderdate").alias("anio"), half.alias("mes"),
+        F.col("o_orderstatus").alias("idempresa"), F.col("o_orderpriority").alias("empresa")))
+
+
 @query("state_events", """
 SELECT idpozo, fecha AS event_date, tipoestado, tipoextraccion, tipopozo FROM (
   SELECT *, row_number() OVER w AS rn, lag(tipoestado) OVER w AS a,
          lag(tipoextraccion) OVER w AS b, lag(tipopozo) OVER w AS c
-  FROM (SELECT idpozo, make_date(anio, mes, 1) AS fecha, min(tipoestado) AS tipoestado,
-               min(tipoextraccion) AS tipoextraccion, min(tipopozo) AS tipopozo
-        FROM production GROUP BY ALL)
+  FROM (SELECT idpozo, make_date(anio, mes, 1) AS fecha, tipoestado, tipoextraccion, tipopozo
+        FROM production
+        QUALIFY row_number() OVER (PARTITION BY idpozo, fecha ORDER BY tipoestado NULLS LAST,
+                                   tipoextraccion NULLS LAST, tipopozo NULLS LAST) = 1)
   WINDOW w AS (PARTITION BY idpozo ORDER BY fecha))
 WHERE rn = 1 OR tipoestado IS DISTINCT FROM a OR tipoextraccion IS DISTINCT FROM b
    OR tipopozo IS DISTINCT FROM c""", ("production",))
@@ -215,7 +236,7 @@ SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS previous
 FROM (SELECT DISTINCT user_id, ts FROM events)""")
 def step_to_previous_row(spark, sf):
     times = table(spark, sf, "events").select("user_id", "ts").distinct()
-    return ops.previous(times, ["user_id"], "ts", max_rows=2_000_000)
+    return ops.previous(times, ["user_id"], "ts")
 
 
 @query("first_and_last_month", """
