@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import statistics
 
@@ -85,6 +86,36 @@ def test_quantiles_against_sorting(spark):
         assert got[key]["q25"] == pytest.approx(want, rel=1e-12)
 
 
+@pytest.mark.parametrize("values", [
+    [1e42, 1.0, 2.0, 3.0, 1e-300, 5e-324, -1e308, 1e308],
+    [0.001, 0.002, 0.004], [7.0] * 9, [-0.0, 0.0], [float(x) ** 9 for x in range(-40, 60)],
+    [1 + i * 2**-52 for i in range(300)]])
+def test_quantiles_of_any_double(spark, values):
+    rows = [("a", v) for v in values] + [("a", float("nan")), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    (r,) = exact_quantiles(df, ["k"], "v", {"lo": 0.0, "q25": 0.25, "q50": 0.5, "hi": 1.0}).collect()
+    ordered = sorted(values)
+    for name, p in (("lo", 0.0), ("q25", 0.25), ("q50", 0.5), ("hi", 1.0)):
+        at = p * (len(values) - 1)
+        below, above = ordered[math.floor(at)], ordered[math.ceil(at)]
+        assert r[name] == pytest.approx(below + (above - below) * (at - math.floor(at)), rel=1e-12)
+
+
+def test_quantiles_with_infinite_ends(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf, 1.0, 2.0, 3.0, inf]], "v double").selectExpr("1 AS k", "v")
+    (r,) = exact_quantiles(df, ["k"], "v", {"lo": 0.0, "q25": 0.25, "q50": 0.5, "hi": 1.0}).collect()
+    assert (r["lo"], r["q25"], r["q50"], r["hi"]) == (-inf, 1.0, 2.0, inf)
+
+
+def test_agreement_across_types(spark, rows):
+    a = spark.createDataFrame([(1, 1, -0.0, "x"), (2, 2, 1.0, None)], "k int, whole int, zero double, same string").selectExpr(
+        "*", "date'2024-01-01' AS day")
+    b = spark.createDataFrame([(1, 1.0, 0, "x"), (2, 2.5, 1, None)], "k int, whole double, zero int, same string").selectExpr(
+        "*", "timestamp'2024-01-01 00:00:00' AS day")
+    assert rows(profile.field_agreement(a, b, "k")) == [("day", 2, 0, 2), ("same", 2, 0, 2), ("whole", 1, 1, 2), ("zero", 2, 0, 2)]
+
+
 def test_volatility_equals_distinct_counts(spark):
     rng = random.Random(2)
     data = [(rng.randrange(20), rng.choice("ab.") if i % 3 else None,

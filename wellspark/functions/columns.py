@@ -74,8 +74,3 @@ def rescale(value: Column, from_lo: float, from_hi: float, to_lo: float, to_hi:
 
 def rounded(value: Column, decimals: int | None) -> Column:
     return value if decimals is None else F.round(value, decimals)
-
-
-def group_text(column: Column) -> Column:
-    """Text form under which equal values are equal across types; NULL stays NULL."""
-    return column.cast("string")

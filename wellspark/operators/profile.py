@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspark.functions.columns import group_text, quoted
+from wellspark.functions.columns import quoted
 from wellspark.operators.quantiles import exact_quantiles
 
 
@@ -22,16 +22,17 @@ def volatility(df: DataFrame, key: str, buckets: dict[str, str]) -> DataFrame:
     """Per column: entities whose non-NULL value ever changed, and their share.
 
     ``buckets`` maps candidate columns to the bucket expected for them; columns the table lacks
-    are skipped. A column changed where its smallest and largest value differ, which needs two
-    fixed-size buffers in place of a distinct count.
+    are skipped. A column changed where the smallest and largest 64-bit hash of its values differ:
+    two numbers per column are all an entity needs, so tasks reduce their rows in a hash table
+    before the shuffle, without sorting them.
     """
     columns = [c for c in buckets if c in df.columns]
     if not columns:
         raise ValueError("none of the candidate columns is in the table")
-    # Extremes are merged before the shuffle: an entity sends one row per task.
+    hashes = {c: F.when(quoted(c).isNotNull(), F.xxhash64(quoted(c))) for c in columns}
     per_entity = df.groupBy(quoted(key)).agg(
-        *[F.min(quoted(c)).alias(f"_lo_{c}") for c in columns],
-        *[F.max(quoted(c)).alias(f"_hi_{c}") for c in columns])
+        *[F.min(h).alias(f"_lo_{c}") for c, h in hashes.items()],
+        *[F.max(h).alias(f"_hi_{c}") for c, h in hashes.items()])
     counted = per_entity.agg(F.count(F.lit(1)).alias("_total"), *[
         F.count_if(quoted(f"_lo_{c}") < quoted(f"_hi_{c}")).alias(f"_changed_{c}")
         for c in columns
@@ -83,15 +84,23 @@ def coverage(sources: dict[str, DataFrame], key: str) -> DataFrame:
 def field_agreement(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Per shared column: pairs of rows with the same key that agree, disagree, and exist.
 
-    NULL agrees with NULL. Equal cells are counted per key and side, and the pairs follow from
-    the counts, so repeated keys do not multiply rows.
+    NULL agrees with NULL, and values of different types as far as Spark's common type of both
+    makes them equal (1 and 1.0, a day and its midnight, both zeros). Equal cells, as 64-bit
+    hashes, are counted per key and side, and the pairs follow from the counts, so repeated keys
+    do not multiply rows.
     """
     shared = sorted((set(left.columns) & set(right.columns)) - {key})
+    common = left.select(*[quoted(c) for c in shared]).limit(0).union(right.select(*[quoted(c) for c in shared]).limit(0))
+
+    def cell(field: T.StructField) -> Column:
+        value = quoted(field.name).cast(field.dataType)
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0)
+        return F.xxhash64(value, value.isNull()).alias(field.name)
 
     def cells(df: DataFrame, side: str, other: str) -> DataFrame:
-        text = df.where(quoted(key).isNotNull()).select(
-            quoted(key), *[group_text(quoted(c)).alias(c) for c in shared])
-        return text.unpivot([key], shared, "column_name", "_value").groupBy(
+        hashed = df.where(quoted(key).isNotNull()).select(quoted(key), *[cell(f) for f in common.schema])
+        return hashed.unpivot([key], shared, "column_name", "_value").groupBy(
             quoted(key), "column_name", "_value").agg(F.count(F.lit(1)).alias(side)
         ).withColumn(other, F.lit(0).cast("long"))
 
@@ -194,27 +203,23 @@ def time_ranges(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                  quoted(f"_hi_{c}").alias("last_day")) for c in columns]))
 
 
-def numeric_profile(df: DataFrame, columns: list[str] | None = None, digits: int = 2) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per numeric column: count, mean, standard deviation, extremes and exact quartiles.
 
-    Mean and quartiles are taken over values of at most ``digits`` decimals, so they do not
-    depend on the order of rows.
+    NULL and NaN are left out of all of them.
     """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    one = df.agg(*[
-        F.struct(F.count(quoted(c)).alias("n"), (F.sum(quoted(c).cast(f"decimal(18,{digits})")).cast("double")
-                  / F.nullif(F.count(quoted(c)), F.lit(0))).alias("mean"),
-                 F.stddev_samp(quoted(c).cast("double")).alias("std"),
-                 F.min(quoted(c)).cast("double").alias("min"),
-                 F.max(quoted(c)).cast("double").alias("max")).alias(c) for c in columns])
+    numbers = df.select(*[F.nullif(quoted(c).cast("double"), F.lit(float("nan"))).alias(c) for c in columns])
+    one = numbers.agg(*[
+        F.struct(F.count(quoted(c)).alias("n"), F.avg(quoted(c)).alias("mean"),
+                 F.stddev_samp(quoted(c)).alias("std"), F.min(quoted(c)).alias("min"),
+                 F.max(quoted(c)).alias("max")).alias(c) for c in columns])
     basic = one.select(_rows([
         F.struct(F.lit(c).alias("column_name"),
                  *[quoted(c).getField(f).alias(f) for f in ("n", "mean", "std", "min", "max")])
         for c in columns]))
-    long = df.select(*[quoted(c).cast(f"decimal(18,{digits})").alias(c) for c in columns]).unpivot(
-        [], columns, "column_name", "_value")
-    quartiles = exact_quantiles(long, ["column_name"], "_value",
-                                {"q25": 0.25, "q50": 0.5, "q75": 0.75}, digits)
+    long = numbers.unpivot([], columns, "column_name", "_value")
+    quartiles = exact_quantiles(long, ["column_name"], "_value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     # One row per column of the table on both sides.
     return basic.join(quartiles, "column_name", "left").select(
         "column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")

@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import quoted
+from wellspark.session import keep
 
-# Values are ranked as 60-bit integers, 20 bits at a time: no window holds more than 2**20 rows.
-_SHIFTS = (40, 20, 0)
+_BINS = 4096  # bins that a range of values is cut into; no window holds more rows than this and two
+
+
+def _bin(v: Column, lo: Column, hi: Column) -> Column:
+    """0 for the smallest value, _BINS + 1 for the largest, equal parts of the range between.
+
+    Halves are subtracted, so no difference of finite values overflows. Where the ends are
+    infinite or too close for a division, the middle is one bin: the ends split off anyway.
+    """
+    share = F.nanvl((v / 2 - lo / 2) / F.nullif(hi / 2 - lo / 2, F.lit(0.0)), F.lit(0.5))
+    inner = 1 + F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.5)) * _BINS), F.lit(0)), F.lit(_BINS - 1))
+    return F.when(v == lo, 0).when(v == hi, _BINS + 1).otherwise(inner).cast("long")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: dict[str, float],
-                    digits: int = 2, weight: str | None = None) -> DataFrame:
+                    weight: str | None = None) -> DataFrame:
     """Interpolated quantiles per key, one column per entry of ``probabilities``.
 
-    ``weight`` names a column saying how many rows a row stands for.
-
-    Exact for values with at most ``digits`` decimals and at most 18 digits in all. Equal values
-    are counted first; the ranks wanted are then narrowed down level by level on the counts.
+    ``weight`` names a column saying how many rows a row stands for. NULL and NaN are left out;
+    any other number counts as it is. Equal values are counted first. The rank wanted is then
+    looked for in bins between the smallest and the largest value, and in the values of the bin
+    that holds it, until these are one; far outliers cost a step each at most.
     """
     by = [quoted(k) for k in keys]
-    unit = F.lit(10 ** digits)
-    freq = (
-        df.where(quoted(value).isNotNull())
-        .select(*by, (quoted(value).cast(f"decimal(18,{digits})") * unit).cast("long").alias("_v"),
-                (quoted(weight) if weight else F.lit(1)).cast("long").alias("_w"))
-        .groupBy(*by, "_v").agg(F.sum("_w").alias("_n"))
+    number = quoted(value).cast("double") + F.lit(0.0)  # of both zeros the positive one
+    counts = (
+        df.where(quoted(value).isNotNull()).select(*by, number.alias("_v"), (quoted(weight) if weight else F.lit(1)).cast("long").alias("_w"))
+        .where(~F.isnan("_v")).groupBy(*by, "_v").agg(F.sum("_w").alias("_n"))
     )
+    counts = keep(counts)
     rank = (F.col("_total") - 1).cast("double")
     wanted = []
     for name, p in probabilities.items():
@@ -36,42 +46,34 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: d
             F.struct(F.lit(f"{name}/lo").alias("id"), F.floor(at).cast("long").alias("rank")),
             F.struct(F.lit(f"{name}/hi").alias("id"), F.ceil(at).cast("long").alias("rank")),
         ]
-    targets = (
-        freq.groupBy(*by).agg(F.sum("_n").alias("_total"))
-        .select(*by, "_total", F.explode(F.array(*wanted)).alias("_t"))
-        .select(*by, "_total", F.col("_t.id").alias("_id"), F.col("_t.rank").alias("_rank"),
-                F.lit(None).cast("long").alias("_prefix"))
+    targets = keep(
+        counts.groupBy(*by).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        .select(*by, "_total", "_lo", "_hi", F.explode(F.array(*wanted)).alias("_t"))
+        .select(*by, "_total", "_lo", "_hi", F.col("_t.id").alias("_id"), F.col("_t.rank").alias("_rank"))
     )
-    parent = F.lit(None).cast("long")
-    for shift in _SHIFTS:
-        level = (
-            freq.groupBy(*by, parent.alias("_parent"), F.shiftright("_v", shift).alias("_bin"))
-            .agg(F.sum("_n").alias("_n"))
-        )
-        renamed = level.select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                               "_parent", "_bin", "_n")
-        same = F.col("_prefix").eqNullSafe(F.col("_parent"))
-        for i, k in enumerate(keys):
-            same = same & quoted(k).eqNullSafe(F.col(f"_k{i}"))
-        w = Window.partitionBy(*by, "_id").orderBy("_bin")
-        targets = (
-            targets.join(renamed, same)
-            .withColumn("_upto", F.sum("_n").over(
-                w.rowsBetween(Window.unboundedPreceding, 0)))
-            .where((F.col("_rank") < F.col("_upto"))
-                   & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
-            .select(*by, "_total", "_id",
-                    (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"),
-                    F.col("_bin").alias("_prefix"))
+    renamed = counts.select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_v", "_n")
+    same = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    for i, k in enumerate(keys):
+        same = same & quoted(k).eqNullSafe(F.col(f"_k{i}"))
+    w = Window.partitionBy(*by, "_id").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    while not (open_ := targets.where("_lo < _hi")).isEmpty():
+        bins = (
+            open_.join(renamed, same).withColumn("_bin", _bin(F.col("_v"), F.col("_lo"), F.col("_hi")))
+            .groupBy(*by, "_total", "_id", "_rank", "_bin")
+            .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+            .withColumn("_upto", F.sum("_n").over(w))
+            .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+            .withColumn("_rank", F.col("_rank") - (F.col("_upto") - F.col("_n")))
         )
-        parent = F.shiftright("_v", shift)
+        targets = keep(targets.where("_lo >= _hi").unionByName(bins.select(*[quoted(c) for c in targets.columns])))
 
     def picked(name: str, side: str):
-        return F.max(F.when(F.col("_id") == f"{name}/{side}", F.col("_prefix"))).cast("double")
+        return F.max(F.when(F.col("_id") == f"{name}/{side}", F.col("_lo")))
 
     quantiles = []
     for name, p in probabilities.items():
         at = F.max(rank) * F.lit(p)
         lo, hi = picked(name, "lo"), picked(name, "hi")
-        quantiles.append(((lo + (hi - lo) * (at - F.floor(at))) / unit).alias(name))
+        # Equal ends need no difference, which infinite ones do not have.
+        quantiles.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (at - F.floor(at))).alias(name))
     return targets.groupBy(*by).agg(*quantiles)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import month_start, rounded
 from wellspark.operators.parity import side_by_side
 from wellspark.operators.quantiles import exact_quantiles
+from wellspark.session import keep
 from wellspark.operators.rollup import sums_by_dimension, top
 
 CODE, NAME = "npd_wellbore_code", "wellbore_name"
@@ -90,16 +91,8 @@ def production_summary(daily: DataFrame, wells: DataFrame,
 
 
 def top_days(daily: DataFrame, wells: DataFrame, n: int = 10) -> DataFrame:
-    """The days with the most oil.
-
-    Every task first cuts its rows to the best ``n`` per well, so only those are shuffled and
-    joined with the names.
-    """
-    best_first = Window.partitionBy(CODE).orderBy(
-        F.col("oil_volume").desc_nulls_last(), "date", "gas_volume")
-    best = daily.where(F.col("oil_volume").isNotNull()).withColumn(
-        "_rank", F.row_number().over(best_first)).where(F.col("_rank") <= n)
-    named = joined_history(best, wells)
+    """The days with the most oil; every task keeps its best ``n`` rows and passes on no more."""
+    named = joined_history(daily.where(F.col("oil_volume").isNotNull()), wells)
     return top(named, n, F.col("oil_volume"), "date", NAME, "gas_volume").select(
         NAME, "date", *_double(named, ["oil_volume", "gas_volume"]))
 
@@ -128,11 +121,14 @@ def well_comparison(daily: DataFrame, wells: DataFrame, year: int) -> DataFrame:
 
 
 def monthly_trend(monthly: DataFrame, wells: DataFrame) -> DataFrame:
-    """Reported monthly volumes with well names, by date and name."""
+    """Reported monthly volumes with well names, in no order.
+
+    A detail join on the well's code: Spark's adaptive skew handling splits a hot well.
+    """
     volumes = ["oil_volume_sm3", "gas_volume_sm3", "water_volume_sm3"]
     reported = monthly.where(F.col("oil_volume_sm3").isNotNull())
     return reported.join(wells.select(CODE, NAME), CODE).select(
-        NAME, "date", *volumes).orderBy("date", NAME)
+        NAME, "date", *volumes)
 
 
 def daily_against_monthly(daily: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -159,16 +155,15 @@ def well_summary(daily: DataFrame) -> DataFrame:
         F.count("date").alias("days_producing"))
 
 
-def oil_statistics(daily: DataFrame, wells: DataFrame, digits: int = 2) -> DataFrame:
+def oil_statistics(daily: DataFrame, wells: DataFrame) -> DataFrame:
     """Sum, mean and exact median of daily oil per well name.
 
-    The median needs every row with its name, so equal volumes are counted per code first.
+    Equal volumes are counted per code once; sums, rows and median all follow from the counts.
     """
-    reported = daily.where(F.col("oil_volume").isNotNull()).withColumn("_rows", F.lit(1))
-    sums = sums_by_dimension(reported, wells, CODE, ["oil_volume", "_rows"], by_dimension=[NAME])
-    counts = reported.groupBy(CODE, "oil_volume").agg(F.count(F.lit(1)).alias("_n"))
-    named = counts.join(wells.select(CODE, NAME), CODE)
-    medians = exact_quantiles(named, [NAME], "oil_volume", {"median_oil": 0.5}, digits, "_n")
+    counts = daily.where(F.col("oil_volume").isNotNull()).groupBy(CODE, "oil_volume").agg(F.count(F.lit(1)).alias("_n"))
+    named = keep(counts.join(wells.select(CODE, NAME), CODE).groupBy(NAME, "oil_volume").agg(F.sum("_n").alias("_n")))
+    sums = named.groupBy(NAME).agg(F.sum(F.col("oil_volume") * F.col("_n")).alias("_oil"), F.sum("_n").alias("_rows"))
+    medians = exact_quantiles(named, [NAME], "oil_volume", {"median_oil": 0.5}, "_n")
     return sums.join(medians, NAME).select(
-        NAME, F.col("oil_volume").cast("double").alias("total_oil"),
-        (F.col("oil_volume").cast("double") / F.col("_rows")).alias("avg_oil"), "median_oil")
+        NAME, F.col("_oil").cast("double").alias("total_oil"),
+        (F.col("_oil").cast("double") / F.col("_rows")).alias("avg_oil"), "median_oil")

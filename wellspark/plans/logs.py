@@ -39,7 +39,7 @@ def formation_samples(logs: DataFrame) -> DataFrame:
 
 def log_window(logs: DataFrame, curves: list[str], well: Column | str | None = None,
                top: float | None = None, base: float | None = None) -> DataFrame:
-    """Chosen curves of a depth window, by depth; samples with none of them are dropped."""
+    """Chosen curves of a depth window, in no order; samples with none of them are dropped."""
     if well is not None:
         logs = logs.where(F.col("WELL") == (F.lit(well) if isinstance(well, str) else well))
     if top is not None:
@@ -47,7 +47,7 @@ def log_window(logs: DataFrame, curves: list[str], well: Column | str | None = N
     if base is not None:
         logs = logs.where(F.col("DEPTH_MD") <= base)
     chosen = logs.select("WELL", "DEPTH_MD", *[quoted(c) for c in curves])
-    return chosen.dropna("all", subset=curves).orderBy("WELL", "DEPTH_MD")
+    return chosen.dropna("all", subset=curves)
 
 
 def density_neutron(logs: DataFrame) -> DataFrame:

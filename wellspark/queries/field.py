@@ -175,10 +175,10 @@ def well_summary(spark, sf):
 @query("oil_statistics_by_well", f"""
 SELECT wellbore_name, CAST(sum(oil_volume) AS DOUBLE) AS total_oil,
        CAST(sum(oil_volume) AS DOUBLE) / count(*) AS avg_oil,
-       quantile_cont(CAST(oil_volume * 100 AS BIGINT), 0.5) / 100.0::DOUBLE AS median_oil
+       round(quantile_cont(CAST(oil_volume AS DOUBLE), 0.5), 6) AS median_oil
 FROM {_JOINED} WHERE oil_volume IS NOT NULL GROUP BY 1""", _BOTH)
 def oil_statistics_by_well(spark, sf):
-    return plans.oil_statistics(*_pair(spark, sf))
+    return plans.oil_statistics(*_pair(spark, sf)).withColumn("median_oil", F.round("median_oil", 6))
 
 
 # Raw sheets, as text where the source has text.

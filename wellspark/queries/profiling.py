@@ -95,6 +95,24 @@ def field_agreement_repeated_keys(spark, sf):
     return ops.field_agreement(a, b, "key")
 
 
+@query("field_agreement_across_types", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) FILTER (a.{c} IS NOT DISTINCT FROM b.{c}) AS agreement_count,
+       count(*) FILTER (a.{c} IS DISTINCT FROM b.{c}) AS disagreement_count, count(*) AS overlap_count
+FROM (SELECT o_orderkey AS key, CAST(o_custkey % 3 AS DOUBLE) AS whole, CAST(o_orderdate AS TIMESTAMP) AS at,
+        0.0::DOUBLE AS zero FROM orders) a
+JOIN (SELECT o_orderkey AS key, CAST(o_custkey % 3 + o_orderkey % 2 AS DOUBLE) AS whole,
+        CAST(o_orderdate AS DATE) + CAST(o_orderkey % 2 AS INT) AS at, 0.0::DOUBLE AS zero FROM orders) b
+USING (key)""" for c in ("whole", "at", "zero")))
+def field_agreement_across_types(spark, sf):
+    orders, odd = table(spark, sf, "orders"), (F.col("o_orderkey") % 2).cast("int")
+    day = F.col("o_orderdate").cast("date")
+    a = orders.select(F.col("o_orderkey").alias("key"), (F.col("o_custkey") % 3).cast("double").alias("whole"),
+                      day.cast("timestamp_ntz").alias("at"), F.lit(-0.0).alias("zero"))
+    b = orders.select(F.col("o_orderkey").alias("key"), (F.col("o_custkey") % 3 + odd).cast("int").alias("whole"),
+                      F.date_add(day, odd).alias("at"), F.lit(0).alias("zero"))
+    return ops.field_agreement(a, b, "key")
+
+
 @query("production_only_wells", """
 SELECT DISTINCT idpozo FROM production
 WHERE idpozo NOT IN (SELECT idpozo FROM registry)""", ("production", "registry"))
@@ -114,16 +132,39 @@ def registry_only_wells(spark, sf):
 _NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 
-@query("numeric_profile", " UNION ALL ".join(f"""
-SELECT '{c}' AS column_name, count({c}) AS n, CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / count({c}) AS mean,
-       round(stddev_samp({c}), 2) AS std, CAST(min({c}) AS DOUBLE) AS min,
-       quantile_cont(CAST(round({c} * 100) AS BIGINT), 0.25) / 100.0::DOUBLE AS q25,
-       quantile_cont(CAST(round({c} * 100) AS BIGINT), 0.5) / 100.0::DOUBLE AS q50,
-       quantile_cont(CAST(round({c} * 100) AS BIGINT), 0.75) / 100.0::DOUBLE AS q75,
-       CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in _NUMBERS))
+def _profile_sql(columns: list[str], source: str) -> str:
+    # Ten digits of each figure, so that the order of additions does not matter.
+    return " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(x) AS n, printf('%.9e', avg(x)) AS mean, printf('%.9e', stddev_samp(x)) AS std,
+       min(x) AS min, printf('%.9e', quantile_cont(x, 0.25)) AS q25, printf('%.9e', quantile_cont(x, 0.5)) AS q50,
+       printf('%.9e', quantile_cont(x, 0.75)) AS q75, max(x) AS max
+FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {source}) WHERE x IS NOT NULL AND NOT isnan(x)""" for c in columns)
+
+
+def _digits(df, columns):
+    return df.withColumns({c: F.format_string("%.9e", F.col(c)) for c in columns})
+
+
+@query("numeric_profile", _profile_sql(_NUMBERS, "lineitem"))
 def numeric_profile(spark, sf):
     profile = ops.numeric_profile(table(spark, sf, "lineitem").select(*_NUMBERS))
-    return profile.withColumn("std", F.round("std", 2))
+    return _digits(profile, ["mean", "std", "q25", "q50", "q75"])
+
+
+# Many decimals, very large values as of a failed sensor, and values that are no numbers.
+_ODD = ["fine", "large", "broken"]
+
+
+@query("numeric_profile_of_any_double", _profile_sql(_ODD, """(
+  SELECT l_extendedprice / 7e6 AS fine, CASE WHEN l_quantity = 50 THEN l_extendedprice * 1e37 ELSE l_discount / 3 END AS large,
+         CASE WHEN l_quantity < 5 THEN 'NaN'::DOUBLE WHEN l_quantity > 45 THEN NULL ELSE -l_tax / 3 END AS broken FROM lineitem)"""))
+def numeric_profile_of_any_double(spark, sf):
+    q = F.col("l_quantity")
+    odd = table(spark, sf, "lineitem").select(
+        (F.col("l_extendedprice") / F.lit(7e6)).alias("fine"),
+        F.when(q == 50, F.col("l_extendedprice") * F.lit(1e37)).otherwise(F.col("l_discount") / 3).alias("large"),
+        F.when(q < 5, float("nan")).when(q <= 45, -F.col("l_tax") / 3).alias("broken"))
+    return _digits(ops.numeric_profile(odd), ["mean", "std", "q25", "q50", "q75"])
 
 
 _SPARSE = ["prod_gas", "iny_gas", "iny_co2", "iny_otro", "tipoextraccion", "provincia"]
@@ -181,13 +222,12 @@ def label_distribution(spark, sf):
 
 
 @query("exact_quantiles_per_group", """
-SELECT o_orderpriority,
-       quantile_cont(CAST(round(o_totalprice * 100) AS BIGINT), 0.5) / 100.0::DOUBLE AS median,
-       quantile_cont(CAST(round(o_totalprice * 100) AS BIGINT), 0.25) / 100.0::DOUBLE AS lower
+SELECT o_orderpriority, printf('%.9e', quantile_cont(o_totalprice, 0.5)) AS median,
+       printf('%.9e', quantile_cont(o_totalprice, 0.25)) AS lower
 FROM orders GROUP BY o_orderpriority""")
 def exact_quantiles_per_group(spark, sf):
-    return exact_quantiles(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice",
-                           {"median": 0.5, "lower": 0.25})
+    return _digits(exact_quantiles(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice",
+                                   {"median": 0.5, "lower": 0.25}), ["median", "lower"])
 
 
 def _histogram_sql(values: str, bins: str) -> str:
