@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wellspark import contracts
 from wellspark.functions.wkb import wkb_valid
 from wellspark.operators import checks
-from wellspark.plans import field, field_tables
+from wellspark.plans import field, field_tables, publishing
 from wellspark.sources import files, readers, writers
 
 
@@ -101,6 +101,44 @@ def test_field_gate(field_data, breaks, error):
         checks.field_gate(*breaks(*field_data)).enforce()
 
 
+def sheets(spark, dates=("2014-04-07", "2014-04-08 00:00:00")):
+    columns = [*contracts.FIELD_DAILY_MAPPING, *contracts.FIELD_WELLS_MAPPING]
+    one = {c: None for c in columns} | {"NPD_WELL_BORE_CODE": "7405", "BORE_OIL_VOL": "1.5", "WELL_BORE_CODE": "NO 1"}
+    daily = spark.createDataFrame([one | {"DATEPRD": d} for d in dates], ", ".join(
+        f"`{c}` string" for c in dict.fromkeys(columns)))
+    names = ["NPDCode", "Year", "Month", "On Stream", "Oil", "Gas", "Water", "GI", "WI"]
+    monthly = spark.createDataFrame([("7405", "2014", "4", *["1"] * 6)], ", ".join(f"`{n}` string" for n in names))
+    return daily, monthly
+
+
+def test_publish_field(spark, rows, tmp_path):
+    out = str(tmp_path / "field")
+    counts = publishing.publish_field(*sheets(spark), out)
+    assert counts == {"wells": 1, "daily_production": 2, "monthly_production": 1}
+    assert rows(spark.read.parquet(f"{out}/daily_production"), "date") == [(dt.date(2014, 4, 7),), (dt.date(2014, 4, 8),)]
+    with pytest.raises(checks.UniqueKeyError):
+        publishing.publish_field(*sheets(spark, ["2014-04-07"] * 2), out)
+    assert spark.read.parquet(f"{out}/daily_production").count() == 2
+
+
+def test_dates_that_are_none(spark, rows):
+    daily, _ = sheets(spark, ["2014-04-07", "31-Foo", "", None, "2014-02-30"])
+    assert rows(field_tables.field_daily(daily), "date") == sorted([(dt.date(2014, 4, 7),), *[(None,)] * 4], key=repr)
+
+
+def test_publish_logs(spark, rows, tmp_path):
+    codes = list(contracts.LITHOLOGY_LABELS)
+    logs = spark.createDataFrame([("W", float(i), codes[i % len(codes)], "train" if i % 2 else "test") for i in range(60)],
+                                 f"WELL string, DEPTH_MD double, {contracts.LITHOLOGY} long, dataset string")
+    logs = logs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in contracts.WELL_LOGS if f.name not in logs.columns])
+    out = str(tmp_path / "logs")
+    assert publishing.publish_logs(logs, out) == {"logs": 60}
+    assert files.manifest_differences(spark, f"{out}/logs") == []
+    for broken in (logs.unionByName(logs), logs.withColumn(contracts.LITHOLOGY, F.lit(1).cast("long"))):
+        with pytest.raises((checks.UniqueKeyError, checks.ContractError)):
+            publishing.publish_logs(broken, out)
+
+
 def test_contract_version_and_labels(spark, field_data):
     wells, _, _ = field_data
     with pytest.raises(checks.ContractError):

@@ -62,6 +62,8 @@ def instance_catalog(df: DataFrame, lookup: DataFrame, base_url: str,
                      path: str = "file_path") -> DataFrame:
     """One row per instance file: span, rows, rows per label phase, and published address.
 
+    The address is the folder that ``write_observations`` gives the instance.
+
     Rows are counted per path before the path is parsed, so the expressions run once per file.
     Transient rows are NULL for classes that have no transient phase.
     """
@@ -92,7 +94,7 @@ def instance_catalog(df: DataFrame, lookup: DataFrame, base_url: str,
         F.when(F.col("has_transient"), F.col("_transient")).alias("n_rows_transient"),
         "n_rows_steady", "source_file",
         F.concat(F.lit(base_url.rstrip("/") + "/observations/event_class="),
-                 event.cast("string"), F.lit("/"), F.col("instance_id"), F.lit(".parquet"))
+                 event.cast("string"), F.lit("/instance="), F.col("instance_id"))
         .alias("source_url"))
 
 

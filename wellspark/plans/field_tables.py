@@ -36,9 +36,15 @@ def field_wells(daily: DataFrame) -> DataFrame:
     return conform(load_mapped(daily, FIELD_WELLS_MAPPING).dropDuplicates(), FIELD_WELLS)
 
 
+def as_date(column: Column) -> Column:
+    """A date from a date, a time or ISO text; NULL where the text is none."""
+    return F.trim(column.cast("string")).try_cast("timestamp_ntz").cast("date")
+
+
 def field_daily(daily: DataFrame) -> DataFrame:
-    """Daily facts with a real date."""
-    return conform(load_mapped(daily, FIELD_DAILY_MAPPING), FIELD_DAILY)
+    """Daily facts with a real date; a sheet may have it as text."""
+    facts = load_mapped(daily, FIELD_DAILY_MAPPING, lambda df: df.withColumn("date", as_date(F.col("date"))))
+    return conform(facts, FIELD_DAILY)
 
 
 def field_monthly(monthly: DataFrame) -> DataFrame:

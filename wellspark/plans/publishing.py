@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 
 from wellspark.contracts import (
     EVENT_TYPES,
+    FIELD_DAILY,
+    FIELD_MONTHLY,
+    FIELD_WELLS,
     INSTANCES,
+    LITHOLOGY,
+    LITHOLOGY_LABELS,
     MONTHLY_SERIES,
+    OBSERVATIONS,
     OPERATOR_HISTORY,
     SENSOR_WELLS,
     STATE_EVENTS,
+    WELL_LOGS,
     WELL_MASTER,
+    conform,
 )
 from wellspark.operators import catalog as cat
 from wellspark.operators.checks import (
@@ -23,15 +31,18 @@ from wellspark.operators.checks import (
     check_contract,
     check_counts_match,
     check_file_sizes,
+    check_label_mapping,
+    check_unique,
+    field_gate,
     check_partitions,
     production_gate,
     sensor_gate,
 )
 from wellspark.operators.parity import enforce_parity, parity_report
-from wellspark.plans import well_tables
+from wellspark.plans import field_tables, well_tables
 from wellspark.session import keep
-from wellspark.sources.files import discard, list_files, move_into_place
-from wellspark.sources.writers import write_by_year, write_observations, write_table
+from wellspark.sources.files import discard, list_files, move_into_place, write_manifest
+from wellspark.sources.writers import write_by_year, write_observations, write_partitioned, write_table
 
 Writer = Callable[[DataFrame, str], object]
 
@@ -101,13 +112,15 @@ def publish_production(registry: DataFrame, listing: DataFrame, production: Data
     }, out, check)
 
 
-def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str,
+def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str | None = None,
                     expected_classes: int | None = 10,
                     expected_wells: int | None = 40) -> dict[str, int]:
     """Publish lookup, catalog, wells and observations of raw sensor rows with their file path.
 
-    The published rows are compared with the raw ones before anything is moved into place.
+    The published rows are compared with the raw ones before anything is moved into place. The
+    catalog's addresses begin with ``base_url``, by default the folder that is written to.
     """
+    base_url = base_url or out
     cat.require_instances(raw)
     lookup = cat.event_lookup(specs)
     # One row per instance; kept, because wells, rules and parity all start from it.
@@ -120,7 +133,8 @@ def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str,
         for name, contract in (("event_types", EVENT_TYPES), ("instances", INSTANCES),
                                ("wells", SENSOR_WELLS)):
             check_contract(written[name], contract)
-        published = written["observations"]
+        published = written["observations"].drop("instance")
+        check_contract(conform(published, OBSERVATIONS), OBSERVATIONS)
         enforce_parity(parity_report(observed, written["instances"], written["wells"], published,
                                      cat.sensor_columns(published), expected_wells))
 
@@ -130,3 +144,37 @@ def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str,
         "wells": (wells, _sorted_by("well_id")),
         "observations": (observed, write_observations),
     }, out, check)
+
+
+def publish_field(daily: DataFrame, monthly: DataFrame, out: str) -> dict[str, int]:
+    """Build the three field tables from their raw sheets and publish them behind their rules."""
+    wells, facts = field_tables.field_wells(daily), field_tables.field_daily(daily)
+    reported = field_tables.field_monthly(monthly)
+
+    def check(written: dict[str, DataFrame]) -> None:
+        for name, contract in (("wells", FIELD_WELLS), ("daily_production", FIELD_DAILY),
+                               ("monthly_production", FIELD_MONTHLY)):
+            check_contract(written[name], contract)
+        field_gate(written["wells"], written["daily_production"],
+                   written["monthly_production"]).enforce()
+
+    return publish_together(daily.sparkSession, {
+        "wells": (wells, _sorted_by("npd_wellbore_code")),
+        "daily_production": (facts, _sorted_by("npd_wellbore_code", "date")),
+        "monthly_production": (reported, _sorted_by("npd_wellbore_code", "date")),
+    }, out, check)
+
+
+def publish_logs(logs: DataFrame, out: str) -> dict[str, int]:
+    """Publish well logs by dataset, sorted by well and depth, behind their rules, with a manifest."""
+    def write(df: DataFrame, path: str) -> None:
+        write_partitioned(df, path, ["dataset"], ["WELL", "DEPTH_MD"])
+        write_manifest(df.sparkSession, path)
+
+    def check(written: dict[str, DataFrame]) -> None:
+        samples = conform(written["logs"], WELL_LOGS)
+        check_contract(samples, WELL_LOGS)
+        Gate([check_unique("depth is unique in a well", samples, ["WELL", "DEPTH_MD"]),
+              check_label_mapping("lithology labels", samples, LITHOLOGY, LITHOLOGY_LABELS)]).enforce()
+
+    return publish_together(logs.sparkSession, {"logs": (conform(logs, WELL_LOGS), write)}, out, check)

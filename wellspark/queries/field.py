@@ -229,6 +229,17 @@ def field_daily_load(spark, sf):
         "date", "npd_wellbore_code", "oil_volume", "flow_kind", "well_type")
 
 
+@query("field_daily_load_from_text", "WITH " + _RAW_DAILY + """
+SELECT CASE WHEN "FLOW_KIND" = 'P' THEN NULL ELSE "DATEPRD" END AS date, "NPD_WELL_BORE_CODE" AS npd_wellbore_code,
+  "BORE_OIL_VOL" AS oil_volume FROM raw""")
+def field_daily_load_from_text(spark, sf):
+    # Dates as days or times in text; those of kind P are no dates.
+    kind, day = F.col("FLOW_KIND"), F.col("DATEPRD").cast("string")
+    text = F.when(kind == "P", "31-Foo").when(kind == "F", F.concat(day, F.lit(" 00:00:00"))).otherwise(day)
+    return field_tables.field_daily(_raw_daily(spark, sf).withColumn("DATEPRD", text)).select(
+        "date", "npd_wellbore_code", "oil_volume")
+
+
 @query("field_monthly_load", """
 SELECT make_date(CAST(year(o_orderdate) AS INT), CAST(month(o_orderdate) AS INT), 1) AS date,
   CAST(o_custkey AS INT) AS npd_wellbore_code, CAST(NULL AS DOUBLE) AS on_stream_hours,

@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from wellspark.contracts import KEYS, MONTHLY_SERIES, conform, schema_table
+from wellspark.contracts import schema_table
 from wellspark.operators.checks import Gate, check_file_sizes, check_partitions
-from wellspark.plans import well_tables
 from wellspark.queries import sensors
-from wellspark.queries.bindings import bound, table
+from wellspark.queries.bindings import table
 from wellspark.queries.registry import query
 from wellspark.session import shared_folder
 from wellspark.sources import files as store
@@ -52,6 +51,28 @@ def manifest_scan_of_years(spark, sf):
         *_sums())
 
 
+@query("manifest_scan_with_prefix", f"SELECT year, {_SUMS} FROM ({_LINES}) WHERE year IN (1996, 1999) GROUP BY year")
+def manifest_scan_with_prefix(spark, sf):
+    root = _published_lines(spark, sf)
+    return readers.scan_manifest(spark, root, readers.with_prefix("year=1996/", "year=1999/")).groupBy(
+        "year").agg(*_sums())
+
+
+@query("manifest_scan_without_a_file", "SELECT count(*) AS n_rows FROM lineitem WHERE l_linestatus = 'F'")
+def manifest_scan_without_a_file(spark, sf):
+    # One file per line status; the manifest's entries of status O are left out by name.
+    root = shared_folder(spark)
+    table(spark, sf, "lineitem").repartition("l_linestatus").write.partitionBy("l_linestatus").parquet(root)
+    left_out = [e for e in store.write_manifest(spark, root) if e.startswith("l_linestatus=O/")]
+    return readers.scan_manifest(spark, root, readers.without(*left_out)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("scan_of_one_entity", "SELECT * FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)")
+def scan_of_one_entity(spark, sf):
+    orders = table(spark, sf, "orders")
+    return readers.one_entity(orders, "o_custkey", orders.agg(F.min("o_custkey")).first()[0])
+
+
 @query("partition_pruned_scan", f"SELECT {_SUMS} FROM ({_LINES}) WHERE year = 1998")
 def partition_pruned_scan(spark, sf):
     root = _published_lines(spark, sf)
@@ -66,31 +87,45 @@ def leaf_scan_without_partition_column(spark, sf):
         "has_year", F.lit("year" in leaf.columns))
 
 
-@query("manifest_matches_files", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS differences "
-       "FROM lineitem")
+@query("manifest_matches_files", "SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS differences "
+       "FROM lineitem WHERE year(l_shipdate) <> 1998")
 def manifest_matches_files(spark, sf):
-    root = _published_lines(spark, sf)
+    # After publishing, a year's folder is moved to another name: one file is gone, one is new.
+    root = f"{shared_folder(spark)}/lines"
+    year = F.year("l_shipdate").alias("year")
+    table(spark, sf, "lineitem").select("*", year).repartition(1).write.partitionBy("year").parquet(root)
+    store.write_manifest(spark, root)
+    store.move_into_place(spark, f"{root}/year=1998", f"{root}/year=1898")
     differences = len(store.manifest_differences(spark, root))
-    return readers.scan_manifest(spark, root).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "differences", F.lit(differences).cast("long"))
+    return readers.read_partitioned(spark, root).where("year <> 1898").agg(
+        F.count(F.lit(1)).alias("n_rows")).withColumn("differences", F.lit(differences).cast("long"))
 
 
 @query("published_partitions_check", """
-SELECT 'partitions' AS rule, count(*) - count(l_shipdate) AS violations FROM lineitem
-UNION ALL SELECT 'file sizes', count(*) - count(l_shipdate) FROM lineitem""")
+SELECT 'partitions' AS rule, count(DISTINCT year(l_shipdate)) AS violations FROM lineitem WHERE year(l_shipdate) > 1996
+UNION ALL SELECT 'file sizes', count(*) * 0 FROM lineitem""")
 def published_partitions_check(spark, sf):
+    # The table has lost a line item of each year after 1996 since it was published.
     root = _published_lines(spark, sf)
-    rules = check_partitions("partitions", table(spark, sf, "lineitem"),
+    lines = table(spark, sf, "lineitem")
+    place = F.struct("l_orderkey", "l_linenumber")
+    lost = lines.where(F.year("l_shipdate") > 1996).groupBy(F.year("l_shipdate").alias("y")).agg(
+        F.min(place).alias("place")).select("place.*")
+    rules = check_partitions("partitions", lines.join(lost, ["l_orderkey", "l_linenumber"], "left_anti"),
                              readers.read_partitioned(spark, root), F.year("l_shipdate"))
     return Gate([*rules, check_file_sizes("file sizes", readers.file_sizes(spark, root),
                                           1 << 40)]).report()
 
 
-@query("oversized_files", "SELECT count(*) AS n_rows, true AS any_oversized FROM lineitem")
+@query("oversized_files", "SELECT count(*) AS n_rows, count(DISTINCT year(l_shipdate)) AS n_oversized FROM lineitem")
 def oversized_files(spark, sf):
-    root = _published_lines(spark, sf)
-    over = store.oversized(store.list_files(spark, root), 1024)
-    return over.agg((F.count(F.lit(1)) > 0).alias("any_oversized")).withColumn(
+    # One file per year; each is over one kilobyte, and none over a terabyte.
+    root = f"{shared_folder(spark)}/lines"
+    table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate")).repartition(1).write.partitionBy(
+        "year").parquet(root)
+    files = store.list_files(spark, root)
+    over = store.oversized(files, 1024).unionByName(store.oversized(files, 1 << 40))
+    return over.agg(F.count(F.lit(1)).alias("n_oversized")).withColumn(
         "n_rows", readers.read_partitioned(spark, root).agg(
             F.count(F.lit(1)).alias("n")).select("n").scalar())
 
@@ -184,6 +219,20 @@ def csv_scan_by_name(spark, sf):
     return readers.read_csv_by_name(spark, [f"{root}/a", f"{root}/b"], wanted)
 
 
+@query("csv_scan_of_a_mixed_folder", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END "
+       "AS o_orderpriority, o_custkey FROM orders")
+def csv_scan_of_a_mixed_folder(spark, sf):
+    # Two header layouts in one folder.
+    root = shared_folder(spark)
+    orders = table(spark, sf, "orders")
+    first = F.col("o_orderstatus") == "F"
+    orders.where(first).select("o_custkey", "o_orderkey").write.option("header", True).csv(root)
+    orders.where(~first).select("o_orderkey", "o_orderpriority", "o_custkey").write.mode("append").option(
+        "header", True).csv(root)
+    wanted = orders.select("o_orderkey", "o_orderpriority", "o_custkey").schema
+    return readers.read_csv_by_name(spark, [root], wanted)
+
+
 @query("scan_with_file_name", " UNION ALL ".join(
     f"SELECT '{n}.parquet' AS source_file, count(*) AS n FROM {n}"
     for n in ("customer", "orders", "supplier")))
@@ -197,15 +246,21 @@ def scan_with_file_name(spark, sf):
 
 
 @query("schema_reflection", """
-SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name, is_key, n_rows
-FROM (SELECT unnest(['idpozo', 'fecha', 'prod_pet', 'prod_gas', 'prod_agua', 'iny_agua',
-        'iny_gas', 'iny_co2', 'iny_otro', 'tef', 'vida_util']) AS column_name,
-      unnest([true, true, false, false, false, false, false, false, false, false, false])
-        AS is_key, count(*) AS n_rows
-      FROM (SELECT DISTINCT idpozo, anio, mes FROM production))""", ("production",))
+SELECT CAST(ordinal_position - 1 AS INT) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+         WHEN 'DATE' THEN 'date' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS data_type,
+       column_name <> 'o_orderkey' AS nullable, column_name = 'o_orderkey' AS is_key,
+       column_name = 'o_orderstatus' AS is_partition, (SELECT count(*) FROM orders) AS n_rows
+FROM duckdb_columns() c JOIN (SELECT column_name, row_number() OVER () AS ordinal_position
+                              FROM (DESCRIBE orders)) d USING (column_name) WHERE c.table_name = 'orders'""")
 def schema_reflection(spark, sf):
-    months = well_tables.by_month(bound(spark, sf, "production"),
-                                  [f.name for f in MONTHLY_SERIES][2:])
-    counted = months.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows").scalar()
-    return schema_table(conform(months, MONTHLY_SERIES), KEYS["monthly_series"]).select(
-        "position", "column_name", "is_key", counted.alias("n_rows"))
+    orders = table(spark, sf, "orders")
+    counted = orders.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows").scalar()
+    return schema_table(orders, ["o_orderkey"], ("o_orderstatus",)).withColumn("n_rows", counted)
+
+
+@query("tables_that_exist", "SELECT 'orders' AS table_name, count(*) > 0 AS is_there FROM orders "
+       "UNION ALL SELECT 'odrers', count(*) < 0 FROM orders")
+def tables_that_exist(spark, sf):
+    found = [(n, store.exists(spark, f"{sf}/{n}.parquet")) for n in ("orders", "odrers")]
+    return spark.createDataFrame(found, "table_name string, is_there boolean")

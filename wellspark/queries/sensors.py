@@ -50,7 +50,7 @@ catalog AS (
     CAST(coalesce(normal, 0) AS BIGINT) AS n_rows_normal,
     CAST(CASE WHEN has_transient THEN coalesce(transient, 0) END AS BIGINT) AS n_rows_transient,
     CAST(coalesce(steady, 0) AS BIGINT) AS n_rows_steady,
-    format('{BASE_URL}/observations/event_class={{}}/{{}}.parquet', event_class, instance_id)
+    format('{BASE_URL}/observations/event_class={{}}/instance={{}}', event_class, instance_id)
       AS source_url
   FROM files JOIN phases USING (instance_id, source_file, event_class)
   LEFT JOIN lookup USING (event_class))"""
@@ -178,8 +178,25 @@ SELECT o.* EXCLUDE (source_file) FROM observed o JOIN (
   SELECT instance_id FROM catalog ORDER BY n_rows DESC, instance_id, event_class LIMIT 1)
   USING (instance_id)""", USES)
 def rows_of_longest_instance(spark, sf):
+    from wellspark.session import shared_folder
     from wellspark.sources.readers import instance_rows
+    from wellspark.sources.writers import write_observations
 
-    instances = catalog(spark, sf)
+    # The catalog names addresses below the folder that the observations are published in.
+    root = shared_folder(spark)
+    write_observations(observed(spark, sf), f"{root}/observations")
+    instances = ops.instance_catalog(rows(spark, sf), lookup(spark, sf), root)
     longest = instances.orderBy(F.desc("n_rows"), "instance_id", "event_class").limit(1)
-    return instance_rows(instances, observed(spark, sf), longest.select("instance_id").scalar())
+    return instance_rows(instances, longest.first()["instance_id"])
+
+
+@query("provenance_of_file_paths", " UNION ALL ".join(f"""
+SELECT '{n}' AS instance_id, '{n}.parquet' AS source_file, CAST(NULL AS INT) AS event_class,
+       CAST(NULL AS VARCHAR) AS well_kind, CAST(NULL AS INT) AS well_id, count(*) AS n FROM {n}"""
+    for n in ("customer", "orders", "supplier")))
+def provenance_of_file_paths(spark, sf):
+    from wellspark.sources.readers import read_parquet_with_path
+
+    files = [read_parquet_with_path(spark, f"{sf}/{n}.parquet").groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+             for n in ("customer", "orders", "supplier")]
+    return ops.with_provenance(files[0].unionByName(files[1]).unionByName(files[2]))

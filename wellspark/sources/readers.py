@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,33 +15,44 @@ from wellspark.functions.columns import quoted
 from wellspark.sources.files import list_files, read_manifest
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with a header whose columns are those of the schema, in its order."""
-    return spark.read.option("header", True).option("multiLine", True).option(
-        "escape", '"').schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with a header whose columns are those of the schema, in its order; others are refused.
+
+    ``multi_line`` allows line breaks inside quoted cells, and makes each file one task.
+    """
+    return (spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line)
+            .option("escape", '"').schema(schema).csv(path))
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, from one job that reads the first lines; folders stand for their files."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"),
+                                          F.col("_metadata.file_block_start").alias("start"))
+    first = (lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, files in first.groupBy("header").agg(F.sort_array(F.collect_list("path"))).collect():
+        groups.setdefault(tuple(next(csv.reader([header]))), []).extend(unquote(f) for f in files)
+    return groups
 
 
-def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType,
+                     multi_line: bool = False) -> DataFrame:
     """CSV files whose headers may differ in columns and order; columns are matched by name.
 
     Only header lines are looked at beforehand. Files with the same header are read together,
     the groups are united by name, and columns a file lacks are NULL. Columns outside the schema
-    are dropped and no type is inferred.
+    are dropped and no type is inferred. A folder may mix headers.
     """
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        groups.setdefault(header, []).append(path)
+    groups = _headers(spark, paths)
+    if not groups:
+        return spark.createDataFrame([], schema)
     types = {f.name: f.dataType for f in schema}
     parts = []
     for header, files in groups.items():
         layout = T.StructType([T.StructField(h, types.get(h, T.StringType())) for h in header])
-        parts.append(read_csv(spark, files, layout).select(
+        parts.append(read_csv(spark, files, layout, multi_line).select(
             *[quoted(h) for h in header if h in types]))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     absent = [F.lit(None).cast(types[n]).alias(n) for n in types if n not in united.columns]
@@ -91,11 +103,15 @@ def one_entity(df: DataFrame, column: str, value) -> DataFrame:
     return df.where(quoted(column) == F.lit(value))
 
 
-def instance_rows(catalog: DataFrame, observations: DataFrame, instance_id: str) -> DataFrame:
-    """Rows of one instance. The catalog says which event classes hold it."""
-    found = catalog.where(F.col("instance_id") == instance_id).select("instance_id", "event_class")
-    return observations.where(F.col("instance_id") == instance_id).join(
-        found, ["instance_id", "event_class"], "left_semi")
+def instance_rows(catalog: DataFrame, instance_id: str) -> DataFrame:
+    """Rows of one instance, read from the addresses that the catalog has for it."""
+    found = catalog.where(F.col("instance_id") == instance_id).select("source_url").distinct()
+    # One address per event class.
+    addresses = [r["source_url"] for r in found.collect()]
+    if not addresses:
+        raise FileNotFoundError(f"the catalog has no instance {instance_id}")
+    root = addresses[0].rsplit("/event_class=", 1)[0]
+    return catalog.sparkSession.read.option("basePath", root).parquet(*addresses).drop("instance")
 
 
 def file_sizes(spark: SparkSession, root: str) -> DataFrame:

@@ -21,6 +21,9 @@ def write_table(df: DataFrame, path: str, order: list[str], compression: str = "
     df.orderBy(*[quoted(c) for c in order]).write.option("compression", compression).parquet(path)
 
 
+ROWS_PER_FILE = 5_000_000  # a larger piece of a partition is written as several files
+
+
 def write_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str],
                       compression: str = "snappy", files: int | None = None) -> None:
     """Partition folders whose files are sorted by ``order``.
@@ -32,8 +35,8 @@ def write_partitioned(df: DataFrame, path: str, partition: list[str], order: lis
     """
     columns = [quoted(c) for c in [*partition, *order]]
     ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    ranged.sortWithinPartitions(*columns).write.option("compression", compression).partitionBy(
-        *partition).parquet(path)
+    ranged.sortWithinPartitions(*columns).write.option("compression", compression).option(
+        "maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition).parquet(path)
 
 
 def write_by_year(df: DataFrame, path: str, date: str, entity: str, partition: str = "year",
@@ -44,12 +47,12 @@ def write_by_year(df: DataFrame, path: str, date: str, entity: str, partition: s
     return write_manifest(df.sparkSession, path)
 
 
-def write_observations(df: DataFrame, path: str, own_folder: bool = False,
+def write_observations(df: DataFrame, path: str, own_folder: bool = True,
                        compression: str = "snappy") -> list[str]:
     """Event-class folders of observations with their provenance columns, plus the manifest.
 
-    One job for all instances. With ``own_folder`` every instance gets a folder, so no file
-    mixes two of them.
+    One job for all instances. With ``own_folder`` every instance gets a folder, the one that the
+    catalog names as its address, so no file mixes two of them.
     """
     if own_folder:
         # The folder name carries the id, so the body keeps a copy of it.
