@@ -49,7 +49,7 @@ def merge_master(key: str, sources: dict[str, DataFrame], spine: list[str],
 
     ``rules`` maps an output column to ``source.column`` names in order of precedence;
     ``presence`` maps an output flag to the source whose presence it tells. Sources have one row
-    per key.
+    per key and no NULL keys. The spine sources are joined in full, so each source is read once.
     """
     wanted: dict[str, list[str]] = {name: [] for name in sources}
     for references in rules.values():
@@ -58,13 +58,14 @@ def merge_master(key: str, sources: dict[str, DataFrame], spine: list[str],
             if column not in wanted[name]:
                 wanted[name].append(column)
 
-    keys = reduce(DataFrame.union, [sources[s].select(quoted(key)) for s in spine]).distinct()
-    joined = keys
-    for name, df in sources.items():
-        joined = joined.join(
-            df.select(quoted(key), F.lit(True).alias(f"{name}."),
-                      *[quoted(c).alias(f"{name}.{c}") for c in wanted[name]]),
-            key, "left")
+    def named(name: str) -> DataFrame:
+        return sources[name].select(quoted(key), F.lit(True).alias(f"{name}."),
+                                    *[quoted(c).alias(f"{name}.{c}") for c in wanted[name]])
+
+    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), [named(s) for s in spine])
+    for name in sources:
+        if name not in spine:
+            joined = joined.join(named(name), key, "left")
     return joined.select(
         quoted(key),
         *[F.coalesce(*[quoted(r) for r in references]).alias(out)

@@ -50,9 +50,10 @@ _BINDINGS: dict[str, tuple[str, list[str], str | None]] = {
         "l_linestatus AS areayacimiento",
         "l_returnflag AS idareayacimiento",
     ], None),
-    # Registry: parts of all brands but one, and suppliers as wells that never produce.
+    # Registry: parts, those of one brand under keys of their own, and suppliers as wells that
+    # never produce.
     "registry_parts": ("part", [
-        "p_partkey AS idpozo",
+        "CASE WHEN p_brand = 'Brand#13' THEN -1000000000 - p_partkey ELSE p_partkey END AS idpozo",
         "CASE WHEN p_size > 40 THEN NULL ELSE p_name END AS sigla",
         "p_brand AS area", "p_type AS cod_area", "p_brand AS empresa",
         "CAST(NULL AS STRING) AS yacimiento", "p_type AS cod_yacimiento",
@@ -70,7 +71,7 @@ _BINDINGS: dict[str, tuple[str, list[str], str | None]] = {
         "CAST(NULL AS DATE) AS adjiv_fecha_inicio_term",
         "CAST(NULL AS DATE) AS adjiv_fecha_fin_term",
         "'0101000000' || lpad(CAST(p_size AS STRING), 2, '0') || repeat('0', 30) AS geom",
-    ], "p_brand <> 'Brand#13'"),
+    ], None),
     "registry_idle": ("supplier", [
         "-1 - s_suppkey AS idpozo", "s_name AS sigla", "'IDLE' AS area", "'I' AS cod_area",
         "s_name AS empresa", "CAST(NULL AS STRING) AS yacimiento", "'I' AS cod_yacimiento",
@@ -83,8 +84,9 @@ _BINDINGS: dict[str, tuple[str, list[str], str | None]] = {
         "CAST(NULL AS DATE) AS adjiv_fecha_inicio_term",
         "CAST(NULL AS DATE) AS adjiv_fecha_fin_term", "CAST(NULL AS STRING) AS geom",
     ], None),
+    # The smallest parts are listed under keys that nothing else has.
     "listing": ("part", [
-        "p_partkey AS idpozo",
+        "CASE WHEN p_size < 5 THEN -2000000000 - p_partkey ELSE p_partkey END AS idpozo",
         "CASE WHEN p_size > 20 THEN p_name ELSE upper(p_name) END AS sigla",
         "p_type AS formprod", "CAST(p_size AS STRING) AS codigopropio",
         "p_name AS nombrepropio", "p_brand AS areapermisoconcesion",
@@ -106,7 +108,7 @@ _BINDINGS: dict[str, tuple[str, list[str], str | None]] = {
         "CAST(0 AS DOUBLE) AS iny_gas_inicial", "CAST(0 AS DOUBLE) AS iny_otros_inicial",
         "CAST(0 AS DOUBLE) AS iny_co2_inicial", "CAST(p_size AS DOUBLE) AS vida_util_inicial",
         "p_type AS clasificacion",
-    ], "p_size >= 5"),
+    ], None),
     # Published production tables: sums are taken over exact two-decimal values.
     "monthly": ("lineitem", [
         "l_partkey AS idpozo", MONTH.format("l_shipdate") + " AS fecha",
@@ -177,13 +179,15 @@ _BINDINGS: dict[str, tuple[str, list[str], str | None]] = {
         "AS water_volume",
         "CASE WHEN o_orderstatus = 'F' THEN 'WI' ELSE 'OP' END AS well_type",
     ], None),
+    # Urgent orders are reported for wells that do not exist.
     "field_reported": ("orders", [
-        MONTH.format("o_orderdate") + " AS date", "o_custkey AS npd_wellbore_code",
+        MONTH.format("o_orderdate") + " AS date",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN -o_custkey ELSE o_custkey END AS npd_wellbore_code",
         "CAST(CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus = 'P' "
         "THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(18,2)) AS oil_volume_sm3",
         "CAST(o_orderkey * 3 AS DECIMAL(18,2)) AS gas_volume_sm3",
         "CAST(o_orderkey AS DECIMAL(18,2)) AS water_volume_sm3",
-    ], "o_orderpriority <> '1-URGENT'"),
+    ], None),
 }
 
 
