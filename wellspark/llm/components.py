@@ -11,24 +11,25 @@ from wellspark.llm.shared import shared_table
 def components(edges: DataFrame) -> DataFrame:
     """Per node of ``edges`` (a, b: long): node, component, its smallest reachable node.
 
-    Each round takes the smallest label among the neighbours, then the label of that label, so
-    chains shrink to a fraction of their length; the loop ends when no label changes. Null ends
-    and loops are ignored; an empty table gives an empty result. The joins on a hot node have a
-    few columns and are split by Spark's adaptive skew handling.
+    ``edges`` is read several times, so it should be a stored table. Each round takes the smallest
+    label among those of a node's neighbours and of the node that its own label names, so chains
+    shrink to a fraction of their length; the loop ends when no label changes. Null ends and
+    loops are ignored; an empty table gives an empty result. The join on a hot node has a few
+    columns and is split by Spark's adaptive skew handling.
     """
     one_way = edges.select("a", "b").filter("a <> b")
-    both = shared_table(one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                        .distinct())
-    labels = shared_table(both.groupBy(F.col("a").alias("node"))
-                          .agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    both = one_way.union(one_way.select("b", "a"))
+    smallest = both.groupBy("a").agg(F.min("b").alias("b"))
+    labels = shared_table(smallest.select(F.col("a").alias("node"), F.least("a", "b").alias("component")))
+    if labels.isEmpty():
+        return labels
     while True:
-        old = labels
-        near = (both.join(old, both["b"] == old["node"]).groupBy("a").agg(F.min("component").alias("near")))
-        stepped = old.join(near, old["node"] == near["a"], "left").select(
-            "node", F.least("component", "near").alias("component"))
-        root = old.select(F.col("node").alias("at"), F.col("component").alias("root"))
-        labels = shared_table(stepped.join(root, stepped["component"] == root["at"], "left").select(
-            "node", F.least("component", "root").alias("component")))
-        was = old.select(F.col("node").alias("at"), F.col("component").alias("was"))
-        if labels.join(was, labels["node"] == was["at"]).filter("component <> was").isEmpty():
+        # The label is one more neighbour; what it was tells whether it has changed.
+        own = labels.select(F.col("node").alias("a"), F.col("component").alias("b"), F.col("component").alias("was"))
+        steps = both.select("a", "b", F.lit(None).cast("long").alias("was")).union(own)
+        found = steps.join(labels, steps["b"] == labels["node"]).groupBy("a").agg(
+            F.min("component").alias("component"), F.min("was").alias("was"))
+        new = shared_table(found.select(F.col("a").alias("node"), "component", (F.col("component") != F.col("was")).alias("moved")))
+        labels = new.select("node", "component")
+        if new.filter("moved").isEmpty():
             return labels

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.llm.components import components
-from wellspark.llm.shared import in_filter, mix, partitions, shared_table, text_bytes, twice_seen
+from wellspark.llm.shared import in_filter, mix, partitions, scratch, shared_table, text_bytes, twice_seen
 
 WORDS = 5
 PERCENT = 75
@@ -19,8 +19,8 @@ FREQUENT = 64  # a shingle in so many different documents is frequent
 MOST_FREQUENT = 1 << 20  # frequent shingles are 1 in so many sampled ones at least
 NARROW, WIDE = 64, 4096  # shingles that end the lowest band of sizes and begin the highest
 BITS = 4  # bitmap bits for each shingle at the upper end of a band
-ROUNDS = (0, 1, 8, None)  # pairs tried per set and component: leaders only, then the best, in the end all
-BLOCK = 2048  # rows of a tile that meet in one task
+FIRST, BEST, ALL = ROUNDS = ("first", "best", "all")  # the pairs of a tile that are tried, see _pairs
+BLOCK = 8192  # rows of a tile that meet in one task
 FILTER_BITS = 1 << 27
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -164,13 +164,13 @@ def _bitmaps(column, folded: np.ndarray, bits: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint64).reshape(len(data), bits // 64)
 
 
-def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, most: int | None) -> DataFrame:
+def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, which: str) -> DataFrame:
     """Pairs (a, b) within tiles whose sets may be linked and aren't in one component yet.
 
-    Sets are held against the bitmap bound inside the task; only pairs that pass leave it. With
-    ``most`` 0 these are a tile's first set and the others, else every set and its ``most`` most
-    promising partners (None: all) in each component that has more sets in the tile. Except for
-    the first sets, a pair is left to the tile of its smallest common token.
+    Sets are held against the bitmap bound inside the task; only pairs that pass leave it. These
+    are, by ``which``, a tile's first set and the others; every set and its most promising partner
+    among those of components that have more sets in the tile; or all, each pair in the tile of
+    its smallest common token alone.
     A tile of more than BLOCK rows is cut into blocks by the hash of the node, and each two blocks
     meet in a task of their own.
     """
@@ -180,12 +180,12 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, most: in
     mixed = (named.groupBy("token", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
              .filter("lo <> hi").select("token", "band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if most != 0 else F.col("block")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if which != FIRST else F.col("block")
     rows = (named.join(mixed, ["token", "band"]).withColumn("block", mine).withColumn("other", other)
             .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
-            .join(sets.select("node", "bitmap", "tokens"), "node"))
+            .join(sets.select("node", "bitmap", *(["tokens"] if which == ALL else [])), "node"))
     by = ["token", "band", "first", "second"]
-    dealt = (rows.select(*by, "block", "node", "n", "home", "component", "bitmap", "tokens")
+    dealt = (rows.select(*by, "block", "node", "n", "home", "component", "bitmap", *(["tokens"] if which == ALL else []))
              .repartition(partitions(tiles.sparkSession), *by).sortWithinPartitions(*by))
 
     def pairs_of(t: pa.Table):
@@ -194,11 +194,11 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, most: in
         node, n, comp, block = (t.column(c).to_numpy() for c in ("node", "n", "component", "block"))
         home = t.column("home").to_numpy(zero_copy_only=False)
         maps = _bitmaps(t.column("bitmap"), ~home, bits)
-        if most == 0:
+        if which == FIRST:
             first = int(node.argmin())
             tries = [(first, np.flatnonzero(node != node[first]))]
         else:
-            tokens = t.column("tokens").to_pylist()
+            tokens = t.column("tokens").to_pylist() if which == ALL else None
             _, label, size = np.unique(comp, return_inverse=True, return_counts=True)
             rank = np.empty(len(size), np.int64)
             rank[np.lexsort((np.arange(len(size)), size))] = np.arange(len(size))
@@ -211,16 +211,11 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, sets: DataFrame, most: in
             bound = most_common(n[i], n[j], maps[i], maps[j])
             good = possible(n[i], n[j], bound)
             j, bound = j[good], bound[good]
-            if most != 0 and len(j):
+            if which == ALL and len(j):
                 own = set(tokens[i])
-                here = np.array([min(own.intersection(tokens[x])) == token for x in j], bool)
-                j, bound = j[here], bound[here]
-                if most is not None and len(j):
-                    order = np.lexsort((node[j], -bound, comp[j]))
-                    j = j[order]
-                    begin = np.flatnonzero(np.concatenate([[True], comp[j][1:] != comp[j][:-1]]))
-                    place = np.arange(len(j)) - np.repeat(begin, np.diff(np.append(begin, len(j))))
-                    j = j[place < most]
+                j = j[np.array([min(own.intersection(tokens[x])) == token for x in j], bool)]
+            elif which == BEST and len(j):
+                j = j[np.lexsort((node[j], -bound))[:1]]
             if len(j):
                 yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
@@ -283,6 +278,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
                         .mapInArrow(check, "a long, b long"))
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, component) after further links; nodes without a link may be absent.
+
+    Only links between different components count any more, and each two components are one edge.
+    """
+    if labels is None:
+        return components(links)
+    a = labels.withColumnsRenamed({"node": "a", "component": "of_a"})
+    b = labels.withColumnsRenamed({"node": "b", "component": "of_b"})
+    between = shared_table(links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a <> b").distinct())
+    if between.isEmpty():
+        return labels
+    moved = components(between).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    known = labels.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    # A node without label is a component by its own name.
+    new = moved.join(labels, moved["component"] == labels["node"], "left_anti").select(
+        F.col("component").alias("node"), F.col("into").alias("component"))
+    return shared_table(known.unionByName(new))
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component, component_id, n_links.
 
@@ -302,16 +318,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     sets = shared_table(_chosen(nodes))
     tiles = shared_table(_tiles(sets))
     labels = links = tried = None
-    for most in ROUNDS:
-        pairs = _pairs(tiles, labels, sets, most)
+    for which in ROUNDS:
+        pairs = _pairs(tiles, labels, sets, which)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = shared_table(pairs)
-        if most != 0 and pairs.isEmpty():
-            break
+        if which != FIRST and pairs.isEmpty():
+            continue
         good = _verified(pairs, docs, sets)
         tried, links = (pairs, good) if tried is None else (tried.unionByName(pairs), links.unionByName(good))
-        labels = components(links)
+        labels = _joined(labels, good)
     degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
               .groupBy("node").agg(F.count("*").alias("n_links")))
     ids = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))

@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.session import shared_folder
+from wellspark.sources.files import discard
 
 SLICES = 64  # a filter is made of so many slices, each filled by one task
 FOLDS = 5
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables shared inside the block go when it ends, with or without an error.
+
+    What is returned from the block must not read them any more: ``shared_table`` with
+    ``stays`` writes a result that does not go.
+    """
+    folder = shared_folder(spark)
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        discard(spark, folder)
+
+
+def shared_table(df: DataFrame, stays: bool = False) -> DataFrame:
     """``df`` written to the folder all machines share, and read again: its lineage ends there."""
-    path = shared_folder(df.sparkSession)
+    path, inside = shared_folder(df.sparkSession), _scratch.get()
+    if inside and not stays:
+        path = f"{inside}/{path.rsplit('/', 1)[1]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
