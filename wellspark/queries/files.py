@@ -1,8 +1,9 @@
 """Sources and sinks: the given tables written to the shared folder and read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wellspark.contracts import schema_table
+from wellspark.contracts import schema_differences, schema_table
 from wellspark.operators.checks import Gate, check_file_sizes, check_partitions
 from wellspark.queries import sensors
 from wellspark.queries.bindings import table
@@ -259,6 +260,18 @@ def schema_reflection(spark, sf):
     return schema_table(orders, ["o_orderkey"], ("o_orderstatus",)).withColumn("n_rows", counted)
 
 
+@query("contract_problems", """
+SELECT 'missing o_totalprice string' AS problem UNION ALL SELECT 'missing tef int'
+UNION ALL SELECT 'unexpected ' || column_name || ' ' || lower(column_type) FROM (DESCRIBE orders)
+WHERE column_name IN ('o_totalprice', 'o_orderstatus') AND column_type = 'DOUBLE'""")
+def contract_problems(spark, sf):
+    # The contract has a price as text and a column that the table lacks.
+    orders = table(spark, sf, "orders")
+    contract = T.StructType([T.StructField(f.name, T.StringType() if f.name == "o_totalprice" else f.dataType)
+                             for f in orders.schema] + [T.StructField("tef", T.IntegerType())])
+    return spark.createDataFrame([(p,) for p in schema_differences(orders, contract)], "problem string")
+
+
 @query("tables_that_exist", "SELECT 'orders' AS table_name, count(*) > 0 AS is_there FROM orders "
        "UNION ALL SELECT 'odrers', count(*) < 0 FROM orders")
 def tables_that_exist(spark, sf):

@@ -33,12 +33,9 @@ def build_session(app: str = "wellspark", master: str | None = None,
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Checkpoint a small frame that several plans start from, where the cluster has a folder.
-
-    Without one the frame stays lazy: the results are the same, only computed again.
-    """
+    """Checkpoint a small frame that several plans start from, in the folder the cluster names."""
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
     return df.checkpoint()
 
 
