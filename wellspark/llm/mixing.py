@@ -75,11 +75,11 @@ def poisson_mix(docs: DataFrame, weights: dict[str, float] | None = None, size:
     draws = [fraction(f"{seed} {i}", "doc_id", "text") for i in range(max(1, -(-int(most + 1) // int(LARGEST))))]
     # The rates are a table of known size: Spark broadcasts it below its own limit and splits a
     # hot source otherwise.
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).filter("_rate > 0")
-    rows = docs.join(rates, docs["source"].eqNullSafe(rates["_source"]))
+    rates = rates.select(F.col("source").alias("_llm_source"), F.col("rate").alias("_llm_rate")).filter("_llm_rate > 0")
+    rows = docs.join(rates, docs["source"].eqNullSafe(rates["_llm_source"]))
     kept = [c for c in docs.columns if c != "copy"]
-    copies = rows.withColumn("_n", poisson(F.col("_rate"), *draws)).filter("_n > 0")
-    copies = copies.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
+    copies = rows.withColumn("_llm_n", poisson(F.col("_llm_rate"), *draws)).filter("_llm_n > 0")
+    copies = copies.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_llm_n"))).alias("copy"))
     place = F.xxhash64(F.lit(f"{seed} place"), "doc_id", "text", "copy")
-    return (copies.withColumn("_place", place).repartition(partitions(spark), "_place")
-            .sortWithinPartitions("_place").drop("_place"))
+    return (copies.withColumn("_llm_place", place).repartition(partitions(spark), "_llm_place")
+            .sortWithinPartitions("_llm_place").drop("_llm_place"))

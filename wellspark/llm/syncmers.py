@@ -130,7 +130,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                                            pa.array([len(h) for h in found], pa.int32())], ["fingerprint", "n_anchors"])
 
     others = [c for c in docs.columns if c not in ("fingerprint", "n_anchors")]
-    return docs.withColumn("_made", make("text")).select(*others, "_made.fingerprint", "_made.n_anchors")
+    return docs.withColumn("_llm_made", make("text")).select(*others, "_llm_made.fingerprint", "_llm_made.n_anchors")
 
 
 def _bucket(bounds: list[int], column: Column) -> Column:
@@ -152,7 +152,7 @@ def _bucket(bounds: list[int], column: Column) -> Column:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): its fingerprint and those of an edit and of the next row.
 
-    The edited text has its last quarter (floor(n / 4) code points) replaced by the first as many,
+    Ids are whole numbers. The edited text has its last quarter (floor(n / 4) code points) replaced by the first as many,
     or all, of the next document by id; the last one's next is the first. Columns: doc_id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next (likeness to
     the edited text's and to the next document's).

@@ -139,4 +139,4 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                                            pa.array([s for _, s in found], pa.float64())], ["n_tokens", "token_score"])
 
     others = [c for c in docs.columns if c not in ("n_tokens", "token_score")]
-    return docs.withColumn("_counted", measure("text")).select(*others, "_counted.n_tokens", "_counted.token_score")
+    return docs.withColumn("_llm_counted", measure("text")).select(*others, "_llm_counted.n_tokens", "_llm_counted.token_score")
