@@ -83,7 +83,7 @@ def made(n=150, seed=3):
 
 
 def test_held_out_accuracy_and_defined_cases(spark):
-    data = made() + [(1000, None, "en"), (1001, "", "en"), (1002, "12 34 !?", None), (None, "the and the", None), (1003, "the and", None),
+    data = made() + [(1000, None, "en"), (1001, "", "en"), (1002, "12 34 ½ !?", None), (None, "the and the", None), (1003, "the and", None),
                      (1003, "the and", None), (1004, "the and tion " * 20_000, None)]
     docs = spark.createDataFrame([(*r, "x") for r in data], "doc_id long, text string, lang string, score string")
     out = language.identify(docs)
@@ -91,7 +91,7 @@ def test_held_out_accuracy_and_defined_cases(spark):
     got = out.collect()
     assert len(got) == len(data)
     for r in got:
-        if r["text"] in (None, "", "12 34 !?"):
+        if r["text"] in (None, "", "12 34 ½ !?"):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         else:
             assert r["lang_pred"] == (r["lang"] or "en") and 0.5 < r["score"] <= 1

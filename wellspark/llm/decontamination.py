@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.shared import shared_table
+from wellspark.llm.shared import scratch, shared_table
 
 WORDS = 5
 SIMILARITY = 0.75
@@ -127,6 +127,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     size. Null and wordless texts hold nothing, and nothing holds them; repeated rows give one
     result; items with equal ids are told apart by their texts, and the best of them is reported.
     """
+    with scratch(docs.sparkSession):
+        return shared_table(_contaminated(docs, benchmark), stays=True)
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = (benchmark.select("item_id", word_array(F.col("text")).alias("words")).filter(F.size("words") > 0).distinct()
              .withColumn("number", F.xxhash64("item_id", "words")))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,13 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.shared import fold, fraction, shared_table, text_bytes
+from wellspark.llm.shared import fold, fraction, scratch, shared_table, text_bytes
 
 ORDER = 3  # bytes of the longest context
 SAMPLE_BYTES = 6_000_000  # of each language's training texts that its tree is fitted on, about
 LEAST = 2  # a context that was seen less often has no node
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 18  # bytes that are scored at a time
 
 
@@ -141,6 +139,11 @@ def fit(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Trees | None:
     A hash of the id takes about ``sample_bytes`` of the texts of a language that has more: this
     documented bound on the fitted rows also bounds the trees that go to every task.
     """
+    with scratch(docs.sparkSession):
+        return _fit(docs, sample_bytes)
+
+
+def _fit(docs: DataFrame, sample_bytes: int) -> Trees | None:
     training = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").filter(fold() != 0).select("doc_id", "text", "lang")
     sizes = shared_table(training.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
                          .withColumn("_take", F.lit(float(sample_bytes)) / F.col("bytes")))
@@ -191,9 +194,9 @@ def identify(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
             best = bits.argmin(axis=1)
             chance = 1 / np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)).sum(axis=1)
             for text, j, p in zip(part, best, chance):
-                letter = _LETTER.search(text.decode("utf-8", "replace")) is not None
+                letter = any(map(str.isalpha, text.decode("utf-8", "replace")))
                 names.append(sent.value.languages[j] if letter else UNDETERMINED)
                 scores.append(float(p) if letter else 0.0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return docs.withColumn("_found", predict("text")).select(*others, "_found.lang_pred", "_found.score")
+    return docs.withColumn("_llm_found", predict("text")).select(*others, "_llm_found.lang_pred", "_llm_found.score")

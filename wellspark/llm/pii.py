@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspark.llm.shared import shared_table
+from wellspark.llm.shared import scratch, shared_table
 
 KINDS = ("email", "ip", "card", "phone")
 CANDIDATE = len(KINDS)
@@ -165,6 +165,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Starts and ends count code points. Repeated rows have equal results; an empty table gives an
     empty result.
     """
+    with scratch(docs.sparkSession):
+        return shared_table(_personal_data(docs), stays=True)
+
+
+def _personal_data(docs: DataFrame) -> DataFrame:
     mentions = shared_table(find_mentions(docs.select("doc_id", "text")))
     added = discover(docs.select("doc_id", "text"), mentions).withColumn("added", F.lit(True))
     spans = mentions.filter(F.col("kind") < CANDIDATE).select("key", "start", "end", "kind", F.lit(False).alias("added"))
