@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.llm import decontamination, jaccard, lines, mixing, toxicity
-from wellspark.llm.shared import shared_table
+from wellspark.session import shared_folder
+from wellspark.sources.files import discard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +60,11 @@ ORACLE_SQL = None  # a fitted model and a hash-seeded draw are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, last = _table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = shared_table(stage(spark, docs, sf_dir))
+        path = shared_folder(spark)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            discard(spark, last)
+        docs, last = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
