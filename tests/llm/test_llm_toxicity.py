@@ -70,10 +70,11 @@ def chances(counts, totals, c):
 
 def test_ratios_by_definition(spark):
     texts = spark.createDataFrame([("abab ab cab", 0), ("abba zz zza", 1), ("zab zab", 1)], "text string, toxic int")
-    counts, totals = toxicity._string_counts(texts)
+    arrays = toxicity._string_counts(texts)
+    counts, totals = (dict(zip(a.tolist(), map(tuple, n.tolist()))) for a, n in (arrays[:2], arrays[2:]))
     assert counts["^ab"][0] > 0 and counts["zz"] == counts["zz"][:2]
     assert all(counts[s][0] == counts[s][1] for s in counts if len(s) <= toxicity.SHARED)
-    model = toxicity.ratios(counts, totals)
+    model = toxicity.ratios(*arrays)
     p, q = chances(counts, totals, 0), chances(counts, totals, 1)
     for word in ("ab", "zab", "abab", "zz", "xyz", "cabzz"):
         marked = f"^{word}$"

@@ -21,7 +21,7 @@ NARROW, WIDE = 64, 4096  # shingles that end the lowest band of sizes and begin
 BITS = 4  # bitmap bits for each shingle at the upper end of a band
 FIRST, BEST, ALL = ROUNDS = ("first", "best", "all")  # the pairs of a tile that are tried, see _pairs
 BLOCK = 8192  # rows of a tile that meet in one task
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 25  # 4 MB
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -266,6 +266,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     whole = shared_table(docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
                          .mapInArrow(fetch, "node long, shingles binary")
                          .join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+    known.destroy()
     x, y = (whole.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
 
     def check(batches):

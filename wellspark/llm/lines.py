@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.shared import (in_filter, shared_table, text_bytes, twice_seen)
+from wellspark.llm.shared import in_filter, scratch, shared_table, text_bytes, twice_seen
 
 FILTER_BITS = 1 << 27  # 16 MB for each filter
 SALTS = 16
@@ -39,6 +39,11 @@ def repeated_lines(docs: DataFrame, min_documents: int = 10, min_length: int = 1
     Null texts are empty. A key shorter than ``min_length`` code points is never dropped. An empty
     table gives an empty result.
     """
+    with scratch(docs.sparkSession):
+        return shared_table(_repeated_lines(docs, min_documents, min_length, keep_first, filter_bits), stays=True)
+
+
+def _repeated_lines(docs: DataFrame, min_documents: int, min_length: int, keep_first: bool, filter_bits: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
 
@@ -76,6 +81,7 @@ def repeated_lines(docs: DataFrame, min_documents: int = 10, min_length: int = 1
     kind = dict(docs.dtypes)["doc_id"]
     suspected = shared_table(rows.mapInArrow(
         suspects, f"doc_id {kind}, text_hash long, key binary, lines array<int>"))
+    filled.destroy()
     place = F.struct("doc_id", "text_hash", F.col("lines")[0].alias("line"))
     counted = [F.count("*").alias("n"), *([F.min(place).alias("first")] if keep_first else [])]
     confirmed = suspected.groupBy("key").agg(*counted).filter(F.col("n") >= min_documents).drop("n")
@@ -99,15 +105,15 @@ def drop_repeated_lines(docs: DataFrame, min_documents: int = 10, min_length: in
     all others stay. A null or empty text is one empty line; when all lines go, kept is empty.
     """
     gone = repeated_lines(docs, min_documents, min_length, keep_first, filter_bits)
-    gone = gone.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"),
-                       F.col("lines").alias("_gone"))
+    gone = gone.select(F.col("doc_id").alias("_llm_doc_id"), F.col("text_hash").alias("_llm_text_hash"),
+                       F.col("lines").alias("_llm_gone"))
     text = F.coalesce("text", F.lit(""))
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc_id"])
-                     & (F.xxhash64(text) == gone["_text_hash"]), "left")
+    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_llm_doc_id"])
+                     & (F.xxhash64(text) == gone["_llm_text_hash"]), "left")
     new = ("kept", "n_lines", "n_dropped")
-    lines, dropped = F.col("_lines"), F.col("_gone")
+    lines, dropped = F.col("_llm_lines"), F.col("_llm_gone")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
-    return (both.withColumn("_lines", F.split(text, "\n"))
+    return (both.withColumn("_llm_lines", F.split(text, "\n"))
             .select(*[c for c in docs.columns if c not in new],
                     F.when(dropped.isNull(), text).otherwise(
                         F.array_join(F.transform(stay, lambda i: lines[i]), "\n")).alias("kept"),

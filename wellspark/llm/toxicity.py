@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspark.llm.shared import FOLDS, fold, fraction, shared_table, text_bytes
+from wellspark.llm.shared import FOLDS, fold, fraction, scratch, shared_table, text_bytes
 
 MOST_LABELLED = 4_000  # rows of each label that the counts, and again the threshold, are fitted on
 ORDER = 6  # letters of the longest string that is counted
@@ -39,13 +39,26 @@ def strings(word: str):
 
 @dataclass
 class Model:
-    """Log ratio, toxic over ordinary, of a string's last letter after the others and of backing off."""
+    """Log ratios, toxic over ordinary, of a string's last letter after the others and of backing off.
 
-    letters: dict[str, float]
-    backoff: dict[str, float]
+    Strings and contexts are sorted arrays with a ratio each; a worker makes dictionaries of them.
+    """
+
+    strings: np.ndarray
+    string_ratios: np.ndarray
+    contexts: np.ndarray
+    context_ratios: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
     cache: dict[str, float] = field(default_factory=dict)
 
+    @cached_property
+    def letters(self) -> dict[str, float]:
+        return dict(zip(self.strings.tolist(), self.string_ratios.tolist()))
+
+    @cached_property
+    def backoff(self) -> dict[str, float]:
+        return dict(zip(self.contexts.tolist(), self.context_ratios.tolist()))
+
     def word(self, word: str) -> float:
         """The difference of the word's log-likelihoods."""
         marked, total = f"{START}{word}{END}", 0.0
@@ -81,41 +94,65 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.weights, -500, 500)))
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
+        return {**{k: v for k, v in self.__dict__.items() if k not in ("letters", "backoff")}, "cache": {}}
+
+
+def _first_off(strings: np.ndarray) -> np.ndarray:
+    """Every string without its first letter."""
+    codes = strings.view(np.uint32).reshape(len(strings), strings.dtype.itemsize // 4)
+    return np.ascontiguousarray(np.hstack([codes[:, 1:], np.zeros((len(codes), 1), np.uint32)])).view(strings.dtype).ravel()
 
 
-def ratios(counts: dict[str, tuple[float, float]], totals: dict[str, tuple[float, float]]) -> Model:
+def _last_off(strings: np.ndarray) -> np.ndarray:
+    """Every string without its last letter."""
+    codes = strings.view(np.uint32).reshape(len(strings), strings.dtype.itemsize // 4).copy()
+    size = (codes > 0).sum(axis=1)
+    rows = np.flatnonzero(size)
+    codes[rows, size[rows] - 1] = 0
+    return codes.view(strings.dtype).ravel()
+
+
+def _find(where: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a sorted array, and whether the values are there."""
+    at = np.minimum(np.searchsorted(where, what), max(len(where) - 1, 0))
+    return at, where[at] == what if len(where) else np.zeros(len(what), bool)
+
+
+def ratios(strings: np.ndarray, counts: np.ndarray, contexts: np.ndarray, totals: np.ndarray) -> Model:
     """The model of the strings' counts (ordinary, toxic) and the totals of their contexts.
 
     P(letter | context) = max(n - d, 0) / total + backoff(context) * P(letter | shorter context).
     Strings of up to SHARED letters have the same count on both sides, so the models differ only
     in what follows longer contexts and an unseen string costs both the same in the end.
     """
-    kept: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
-    for s, n in counts.items():
-        total, sums = totals[s[:-1]], kept[s[:-1]]
-        for c in (0, 1):
-            if total[c]:
-                sums[c] += max(n[c] - DISCOUNT, 0) / total[c]
-    back = {context: [max(1 - sums[c], 1e-9) if totals[context][c] else 1.0 for c in (0, 1)]
-            for context, sums in kept.items()}
-    chance: dict[str, tuple[float, float]] = {}
-
-    def lower(s: str) -> tuple[float, float]:
-        if not s:
-            return 1e-3, 1e-3
-        if s in chance:
-            return chance[s]
-        p, q = lower(s[1:])
-        b = back.get(s[:-1], (1.0, 1.0))
-        return p * b[0], q * b[1]
-
-    for s in sorted(counts, key=len):
-        shorter, n = lower(s[1:]), counts[s]
-        total, b = totals[s[:-1]], back[s[:-1]]
-        chance[s] = tuple((max(n[c] - DISCOUNT, 0) / total[c] if total[c] else 0.0) + b[c] * shorter[c] for c in (0, 1))
-    return Model({s: math.log(q / p) for s, (p, q) in chance.items()},
-                 {s: math.log(b[1] / b[0]) for s, b in back.items()})
+    order = np.argsort(strings)
+    strings, counts = strings[order], counts[order]
+    order = np.argsort(contexts)
+    contexts, totals = contexts[order], totals[order]
+    context, _ = _find(contexts, _last_off(strings))
+    total = totals[context]
+    kept = np.where(total > 0, np.maximum(counts - DISCOUNT, 0) / np.where(total > 0, total, 1), 0.0)
+    back = np.stack([np.where(totals[:, c] > 0, np.maximum(1 - np.bincount(context, kept[:, c], len(contexts)), 1e-9), 1.0)
+                     for c in (0, 1)], axis=1) if len(contexts) else np.ones((0, 2))
+    chance = np.zeros((len(strings), 2))
+    sizes = np.char.str_len(strings)
+    for size in range(1, ORDER + 1):
+        rows = np.flatnonzero(sizes == size)
+        rest, factor = _first_off(strings[rows]), np.ones((len(rows), 2))
+        lower, open_ = np.empty((len(rows), 2)), np.arange(len(rows))
+        while len(open_):
+            # Found, or nothing is left: done; else back off once more.
+            at, there = _find(strings, rest[open_])
+            empty = rest[open_] == ""
+            lower[open_[empty]] = factor[open_[empty]] * 1e-3
+            hit = there & ~empty
+            lower[open_[hit]] = factor[open_[hit]] * chance[at[hit]]
+            open_ = open_[~hit & ~empty]
+            at, there = _find(contexts, _last_off(rest[open_]))
+            factor[open_[there]] *= back[at[there]]
+            rest[open_] = _first_off(rest[open_])
+        chance[rows] = kept[rows] + back[context[rows]] * lower
+    return Model(strings, np.log(chance[:, 1] / chance[:, 0]), contexts, np.log(back[:, 1] / back[:, 0]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -134,8 +171,8 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w / scale
 
 
-def _string_counts(texts: DataFrame) -> tuple[dict, dict]:
-    """Counts of the strings by label, and totals of their contexts, from rows (text, toxic).
+def _string_counts(texts: DataFrame) -> tuple[np.ndarray, ...]:
+    """Strings, their counts by label, contexts and their totals, from rows (text, toxic).
 
     The longest strings and those at the start of a word count as often as they occur, shorter
     ones by the number of different letters before them, as Kneser and Ney propose.
@@ -176,7 +213,8 @@ def _string_counts(texts: DataFrame) -> tuple[dict, dict]:
     totals = (valued.groupBy(F.expr("left(s, length(s) - 1)").alias("s"))
               .agg(F.sum("v0").alias("v0"), F.sum("v1").alias("v1"), F.max("n").alias("n")))
     rows = [t.filter(F.col("n") >= LEAST).select("s", "v0", "v1").toArrow() for t in (valued, totals)]
-    return tuple(dict(zip(t.column(0).to_pylist(), zip(t.column(1).to_pylist(), t.column(2).to_pylist()))) for t in rows)
+    return tuple(x for t in rows for x in (
+        np.array(t.column(0).to_pylist(), f"<U{ORDER}"), np.stack([t.column(i).to_numpy() for i in (1, 2)], axis=1)))
 
 
 def _count_rows(found: dict[str, list[int]], name: str) -> pa.RecordBatch:
@@ -193,6 +231,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model
     has more: this documented bound on the fitted rows also bounds the model that goes to every
     task. Labels other than 0 and 1 and null ids are left out; of several labels the largest counts.
     """
+    with scratch(docs.sparkSession):
+        return _fit(docs, labels, most)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, most: int) -> Model | None:
     spark = docs.sparkSession
     marked = shared_table(labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id")
                           .agg(F.max("toxic").cast("int").alias("toxic")).withColumn("fold", fold()).filter("fold <> 0")
@@ -218,6 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model
 
     rows = (texts.filter("last").select("text", "toxic")
             .mapInArrow(measured, "x0 double, x1 double, x2 double, toxic int").toArrow())
+    sent.destroy()
     y = rows.column("toxic").to_numpy().astype(float)
     if 0 < y.sum() < len(y):
         x = np.stack([*(rows.column(i).to_numpy() for i in range(3)), np.ones(len(y))], axis=1)
