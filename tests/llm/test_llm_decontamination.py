@@ -102,3 +102,41 @@ def test_simhash_is_the_majority_of_bits(spark):
         got = spark.createDataFrame([(h,)], "h array<bigint>").select(d.simhash(F.col("h"))).first()[0]
         want = sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > n)
         assert got % (1 << 64) == want
+
+
+def moved_passages():
+    """Items that stand in the texts with parts swapped, or trimmed at both ends and added to in the middle."""
+    rng = random.Random(7)
+    text = lambda n: ["".join(rng.choice("abcdefghijk") for _ in range(4)) for _ in range(n)]
+    items, docs = [], []
+    for k, n in enumerate((60, 60, 100, 150)):
+        item = text(n)
+        items.append((k, " ".join(item)))
+        third, trim, more = n * 2 // 3, n // 25, n // 12
+        for new in (item[n // 2:] + item[:n // 2], item[third:] + item[:third],
+                    item[trim:n // 2] + text(more) + item[n // 2:n - trim], item[trim:n // 2] + text(2 * more) + item[n // 2:n - trim]):
+            docs += [" ".join(text(a) + new + text(b)) for a, b in ((0, 0), (80, 9), (3, 200))]
+    again = text(7)
+    items.append((9, " ".join(again * 5 + text(10))))
+    docs += [" ".join(text(12) + again * n + text(10)) for n in (4, 5, 6, 40)] + [items[-1][1] + " " + " ".join(text(20))]
+    return list(enumerate(docs)), items
+
+
+@pytest.mark.parametrize("stretch", [64, 1])
+def test_swapped_and_trimmed_passages(spark, documents, rows, monkeypatch, stretch):
+    monkeypatch.setattr(d, "STRETCH", stretch)
+    docs, items = moved_passages()
+    out = d.contaminated(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, items)
+    assert len(want) > 30 and rows(out.select("doc_id", "item_id", F.round("similarity", 9))) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("longest", [100, 1 << 14])
+def test_rolling_prints_are_those_of_each_window(spark, longest):
+    rng = random.Random(5)
+    h = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
+    frame = spark.createDataFrame([(h, n) for n in (1, 2, 7, 36, 40, 60)], "h array<bigint>, n int")
+    for n, got in frame.select("n", d.rolling_simhash(F.col("h"), F.col("n"), longest)).collect():
+        cut = [(i, h[i:i + n]) for i in range(max(1, len(h) - n + 1))]
+        want = spark.createDataFrame(cut, "i int, h array<bigint>").select("i", d.simhash(F.col("h"))).collect()
+        assert got == [x for _, x in sorted(want)]
