@@ -64,10 +64,10 @@ def _valid(kind: Column, found: Column) -> Column:
 
 
 def find_mentions(docs: DataFrame) -> DataFrame:
-    """Rows (key, kind, start, end, found, left): valid base finds and identifier-like candidates.
+    """Rows (key, kind, start, end, found, left, copies): valid base finds and identifier-like candidates.
 
     ``key`` is the hash of doc_id and text, start and end count code points, left is the two words
-    before, in lower case (null where there are fewer). Candidates have six characters or more,
+    before, in lower case (null where there are fewer), copies the number of equal rows. Candidates have six characters or more,
     four digits or more, and touch no base find.
     """
     text = F.coalesce("text", F.lit(""))
@@ -75,13 +75,13 @@ def find_mentions(docs: DataFrame) -> DataFrame:
     rows = (docs.select(F.xxhash64("doc_id", "text").alias("key"), F.explode(parts).alias("x"))
             .select("key", "x.*").filter("found IS NOT NULL"))
     # Repeated rows have equal keys and finds; one shuffle serves this step and the window.
-    rows = rows.repartition("key").groupBy("key", "kind", "i").agg(*[F.first(c).alias(c) for c in ("before", "tail", "found")])
+    rows = rows.repartition("key").groupBy("key", "kind", "i").agg(*[F.first(c).alias(c) for c in ("before", "tail", "found")], F.count("*").alias("copies"))
     so_far = F.sum(F.col("before") + F.length("found")).over(Window.partitionBy("key", "kind").orderBy("i"))
     rows = rows.withColumn("end", so_far.cast("int")).withColumn("start", F.col("end") - F.length("found"))
     words = F.split(F.btrim(F.lower("tail"), F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
     whole = F.when(F.length("tail") < CONTEXT, 2).otherwise(3)
     left = F.when(F.size(words) >= whole, F.array_join(F.slice(words, -2, 2), " "))
-    rows = rows.filter(_valid(F.col("kind"), F.col("found"))).select("key", "kind", "start", "end", "found", left.alias("left"))
+    rows = rows.filter(_valid(F.col("kind"), F.col("found"))).select("key", "kind", "start", "end", "found", left.alias("left"), "copies")
     # Finds of one text, in order: a candidate touches a base find if one before it ends late or
     # one after it starts early.
     place = Window.partitionBy("key").orderBy("start", "kind")
@@ -107,20 +107,21 @@ def discover(docs: DataFrame, mentions: DataFrame) -> DataFrame:
     """Candidates that trusted contexts give away: key, start, end, kind (that of the seeds).
 
     Base finds are the seeds. The two words before a seed are a pattern of its kind; a pattern is
-    kept for the next step if LEAST_SEEDS different seeds and most of its instances are of its
-    kind. Then, ROUNDS times: a pattern's confidence is the sum of its instances' scores over all
-    its uses in the texts, an instance's score is one minus the product of what its patterns leave
+    kept for the next step if LEAST_SEEDS different seeds and most of its seeds' occurrences are of
+    its kind. Then, ROUNDS times: a pattern's confidence is the sum of its instances' scores, each as
+    often as it occurs there in all rows, over all its uses in all rows; an instance's score is one minus the product of what its patterns leave
     open (a seed's is 1). Patterns below CONFIDENCE don't count, nor instances below it.
     """
     spark = docs.sparkSession
     edges = shared_table(mentions.filter("left IS NOT NULL").select(
-        F.xxhash64("left").alias("pattern"), F.xxhash64("found").alias("instance"), "kind").distinct())
-    per_kind = edges.groupBy("pattern", "kind").agg(F.count("*").alias("n"))
+        F.xxhash64("left").alias("pattern"), F.xxhash64("found").alias("instance"), "kind", "copies")
+                         .groupBy("pattern", "instance", "kind").agg(F.sum("copies").alias("times")))
+    per_kind = edges.groupBy("pattern", "kind").agg(F.sum("times").alias("times"), F.count("*").alias("n"))
     seeds = per_kind.filter(F.col("kind") < CANDIDATE).groupBy("pattern").agg(
-        F.max(F.struct("n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("n").alias("seeds"))
+        F.max(F.struct("times", "n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("times").alias("seeds"))
     # Scores can at best reach seeds plus candidates, so other kinds alone can rule a pattern out.
-    induced = shared_table(seeds.select("pattern", (-F.col("best.order")).alias("kind"), F.col("best.n").alias("n"), "seeds")
-                           .filter((F.col("n") >= LEAST_SEEDS) & (F.col("n") >= CONFIDENCE * F.col("seeds"))))
+    induced = shared_table(seeds.select("pattern", (-F.col("best.order")).alias("kind"), "best.n", "best.times", "seeds")
+                           .filter((F.col("n") >= LEAST_SEEDS) & (F.col("times") >= CONFIDENCE * F.col("seeds"))))
     hashes = induced.select("pattern").orderBy("pattern").toArrow().column(0).to_pylist()
     none = spark.createDataFrame([], "key long, start int, end int, kind int")
     if not hashes:
@@ -133,7 +134,7 @@ def discover(docs: DataFrame, mentions: DataFrame) -> DataFrame:
     scores = graph.select("instance", "kind", F.when(F.col("own") < CANDIDATE, 1.0).otherwise(0.0).alias("score")).distinct()
     for _ in range(ROUNDS):
         confident = (graph.join(scores, ["instance", "kind"]).groupBy("pattern", "kind", "uses")
-                     .agg(F.sum("score").alias("sum"))
+                     .agg(F.sum(F.col("score") * F.col("times")).alias("sum"))
                      .withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("uses")))
                      .filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind", "confidence"))
         open_ = F.product(1 - F.coalesce("confidence", F.lit(0.0)))
