@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import (chat, decontamination, jaccard, language, lines, mixing, pii, syncmers,
+from wellspark.llm import (chat, decontamination, jaccard, language, lines, middle, mixing, pii, syncmers,
                            tokens, toxicity)
 from wellspark.llm.shared import fold
 
@@ -105,6 +105,29 @@ SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
 FROM keyed LEFT JOIN often ON keyed.key = often.key GROUP BY doc_id
 """
 
+_MIDDLE = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+drawn AS (
+    SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % (len(w) + 1) AS x,
+           CAST('0x' || substr(key, 9, 8) AS BIGINT) % (len(w) + 1) AS y,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR CAST('0x' || substr(key, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                WHEN CAST('0x' || substr(key, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut),
+parts AS (
+    SELECT doc_id, text, len(w) AS n, form, array_to_string(w[1:least(x, y)], '') AS p,
+           array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(w[greatest(x, y) + 1:], '') AS s
+    FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 
 @query("op1_chat_formatting")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,3 +185,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_source_mixing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, folder, "documents"))
+
+
+@query("op11_fill_in_middle", _MIDDLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    out = middle.fill_in_middle(table(spark, folder, "documents"))
+    text = middle.restore(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(text, 256).alias("restored_sha256"))
