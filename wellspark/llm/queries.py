@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspark.llm import (chat, decontamination, jaccard, language, lines, middle, mixing, pii, syncmers,
-                           tokens, toxicity)
+from wellspark.llm import (chat, decontamination, divergence, jaccard, language, lines, middle, mixing, pii,
+                           syncmers, tokens, toxicity)
 from wellspark.llm.shared import fold
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -128,6 +128,38 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 FROM parts
 """
 
+# Every kept term is held against every other source and the language, whether it occurs there or not.
+_SOURCES = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+           coalesce(source, '') AS source FROM documents),
+words AS (
+    SELECT d, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+vocabulary AS (SELECT lang, term, count(*) AS l FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words JOIN vocabulary USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+own AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+langs AS (SELECT lang, sum(l) AS n_lang, count(*) AS v FROM vocabulary GROUP BY lang),
+grid AS (
+    SELECT lang, source, term, coalesce(c, 0) AS c,
+           1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 1)) // (coalesce(n, 0) + v) AS p,
+           1 + (CAST(1000000000 AS HUGEINT) * (l + 1)) // (n_lang + v) AS q
+    FROM groups JOIN vocabulary USING (lang) JOIN langs USING (lang)
+    LEFT JOIN counts USING (lang, source, term) LEFT JOIN own USING (lang, source)),
+against AS (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM grid x JOIN grid y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN against ON against.lang = a.lang AND against.source = a.source AND against.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM grid WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
 
 @query("op1_chat_formatting")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,3 +225,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     text = middle.restore(F.col("output"), F.col("form"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(text, 256).alias("restored_sha256"))
+
+
+@query("op13_source_divergence", _SOURCES)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, folder, "documents"))
