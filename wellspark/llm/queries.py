@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspark.llm import (chat, decontamination, divergence, jaccard, language, lines, middle, mixing, pii,
-                           syncmers, tokens, toxicity)
+                           secret_scan, syncmers, tokens, toxicity)
 from wellspark.llm.shared import fold
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -227,6 +227,15 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2(text, 256).alias("restored_sha256"))
 
 
+@query("op12_secret_scan")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    out = secret_scan.find_secrets(table(spark, folder, "documents"))
+    base = secret_scan.in_text(F.col("found"))
+    counts = [F.size(secret_scan.in_text(F.col("found"), k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    return out.select("doc_id", *counts, F.sha2(secret_scan.spans(base), 256).alias("base_sha256"),
+                      secret_scan.spans(F.col("found")).alias("spans"))
+
+
 @query("op13_source_divergence", _SOURCES)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit_sources(table(spark, folder, "documents"))
