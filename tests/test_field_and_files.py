@@ -7,7 +7,7 @@ from wellspark import contracts
 from wellspark.functions.wkb import wkb_valid
 from wellspark.operators import checks
 from wellspark.plans import field, field_tables, publishing
-from wellspark.sources import files, readers, writers
+from wellspark.sources import files, readers, versions, writers
 
 
 @pytest.fixture
@@ -115,10 +115,10 @@ def test_publish_field(spark, rows, tmp_path):
     out = str(tmp_path / "field")
     counts = publishing.publish_field(*sheets(spark), out)
     assert counts == {"wells": 1, "daily_production": 2, "monthly_production": 1}
-    assert rows(spark.read.parquet(f"{out}/daily_production"), "date") == [(dt.date(2014, 4, 7),), (dt.date(2014, 4, 8),)]
+    assert rows(versions.read_published(spark, out, "daily_production"), "date") == [(dt.date(2014, 4, 7),), (dt.date(2014, 4, 8),)]
     with pytest.raises(checks.UniqueKeyError):
         publishing.publish_field(*sheets(spark, ["2014-04-07"] * 2), out)
-    assert spark.read.parquet(f"{out}/daily_production").count() == 2
+    assert versions.read_published(spark, out, "daily_production").count() == 2
 
 
 def test_dates_that_are_none(spark, rows):
@@ -133,7 +133,7 @@ def test_publish_logs(spark, rows, tmp_path):
     logs = logs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in contracts.WELL_LOGS if f.name not in logs.columns])
     out = str(tmp_path / "logs")
     assert publishing.publish_logs(logs, out) == {"logs": 60}
-    assert files.manifest_differences(spark, f"{out}/logs") == []
+    assert files.manifest_differences(spark, versions.published_path(spark, out, "logs")) == []
     for broken in (logs.unionByName(logs), logs.withColumn(contracts.LITHOLOGY, F.lit(1).cast("long"))):
         with pytest.raises((checks.UniqueKeyError, checks.ContractError)):
             publishing.publish_logs(broken, out)

@@ -20,7 +20,7 @@ from wellspark.operators.checks import (
     sensor_gate,
 )
 from wellspark.plans import publishing, sensors
-from wellspark.sources import files, readers
+from wellspark.sources import files, readers, versions
 
 FILES = {
     (0, "WELL-00001_20120101000000"): [0] * 10,
@@ -191,21 +191,21 @@ def test_rule_fails(built, rule):
 def test_publish(spark, raw, specs, rows, tmp_path):
     out = str(tmp_path / "out")
     counts = publishing.publish_sensors(raw, specs, out, None, 10, 4)
-    catalog = spark.read.parquet(f"{out}/instances")
+    catalog = versions.read_published(spark, out, "instances")
     for instance in catalog.groupBy("instance_id").agg(F.sum("n_rows").alias("n_rows")).collect():
         one = readers.instance_rows(catalog, instance["instance_id"])
         assert one.select("instance_id").distinct().count() == 1 and one.count() == instance["n_rows"]
     with pytest.raises(FileNotFoundError):
         readers.instance_rows(catalog, "none such")
     assert counts == {"event_types": 10, "instances": 7, "wells": 4, "observations": 48}
-    root = f"{out}/observations"
+    root = versions.published_path(spark, out, "observations")
     assert files.manifest_differences(spark, root) == []
     assert {p.split("/")[0] for p in files.read_manifest(spark, root)} == {
         f"event_class={c}" for c in (0, 1, 3, 4, 8, 9)}
     one = readers.scan_manifest(spark, root, readers.with_prefix("event_class=1/"))
     assert rows(one.select("instance_id", "well_id", "well_kind").distinct()) == [
         ("WELL-00002_20120102000000", 2, "real")]
-    summary = files.export_summary(spark, {"wells": f"{out}/wells"}).first()
+    summary = files.export_summary(spark, {"wells": versions.published_path(spark, out, "wells")}).first()
     assert summary["rows"] == 4 and summary["files"] >= 1 and summary["megabytes"] >= 0
 
 

@@ -17,7 +17,7 @@ from wellspark.operators.checks import (
     production_gate,
 )
 from wellspark.plans import publishing, well_tables
-from wellspark.sources import files, readers
+from wellspark.sources import files, readers, versions
 
 POINT = "0101000020E610000000000000004051C000000000000043C0"
 
@@ -145,7 +145,7 @@ def test_publish_and_read_back(spark, raw, rows, tmp_path):
     counts = publishing.publish_production(**raw, out=out)
     assert counts == {"wells": 6, "well_operator_history": 6, "well_events": 7,
                       "monthly_production": 68}
-    root = f"{out}/monthly_production"
+    root = versions.published_path(spark, out, "monthly_production")
     listed = files.read_manifest(spark, root)
     assert sorted({p.split("/")[0] for p in listed}) == ["year=2006", "year=2007"]
     assert files.manifest_differences(spark, root) == []
@@ -164,7 +164,8 @@ def test_publish_and_read_back(spark, raw, rows, tmp_path):
     pruned = readers.read_partitioned(spark, root).where("year = 2007")
     assert "year=2007" in pruned._jdf.queryExecution().toString() or pruned.count() == 8
     again = publishing.publish_production(**raw, out=out)
-    assert again == counts and readers.scan_manifest(spark, root).count() == 68
+    assert again == counts and versions.read_published(spark, out, "monthly_production").count() == 68
+    assert versions.published_path(spark, out, "monthly_production") != root
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
 
 

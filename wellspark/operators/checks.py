@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wellspark.contracts import schema_differences
 from wellspark.functions.columns import months_between, quoted, seconds_between
 from wellspark.functions.wkb import wkb_valid
+from wellspark.operators.contract_rows import contract_violations
 from wellspark.operators.temporal import previous
 
 
@@ -209,6 +210,12 @@ def check_contract(df: DataFrame, contract) -> None:
         raise ContractError("; ".join(problems))
 
 
+def check_contract_rows(name: str, df: DataFrame, contract, key: list[str] | None = None) -> Rule:
+    """Cells, NULLs, keys and columns that the contract does not allow (see ``contract_violations``)."""
+    return Rule(name, contract_violations(df, contract, key).agg(
+        F.coalesce(F.sum("violations"), F.lit(0)).alias("violations")), ContractError)
+
+
 class Gate:
     """A set of rules that must all hold."""
 

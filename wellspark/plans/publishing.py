@@ -1,8 +1,7 @@
-"""From raw tables to published ones: build, stage, check, compare, move into place."""
+"""From raw tables to published ones: build, write a new version, check, compare, commit."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +26,9 @@ from wellspark.contracts import (
 )
 from wellspark.operators import catalog as cat
 from wellspark.operators.checks import (
+    CountError,
     Gate,
     check_contract,
-    check_counts_match,
     check_file_sizes,
     check_label_mapping,
     check_unique,
@@ -41,8 +40,9 @@ from wellspark.operators.checks import (
 from wellspark.operators.parity import enforce_parity, parity_report
 from wellspark.plans import field_tables, well_tables
 from wellspark.session import keep
-from wellspark.sources.files import discard, list_files, move_into_place, write_manifest
-from wellspark.sources.writers import write_by_year, write_observations, write_partitioned, write_table
+from wellspark.sources.files import discard, discard_empty, list_files, write_manifest
+from wellspark.sources.versions import VERSIONS, commit, commit_numbers, new_version, version_folder
+from wellspark.sources.writers import counted, write_by_year, write_observations, write_partitioned, write_table
 
 Writer = Callable[[DataFrame, str], object]
 
@@ -52,38 +52,35 @@ def _sorted_by(*order: str) -> Writer:
 
 
 def publish_together(spark: SparkSession, tables: dict[str, tuple[DataFrame, Writer]], out: str,
-                     check: Callable[[dict[str, DataFrame]], None]) -> dict[str, int]:
-    """Write all tables to a staging folder, check them there, then move them into place.
+                     check: Callable[[dict[str, DataFrame]], None], version: str | None = None) -> dict[str, int]:
+    """Write all tables to a folder of their own, check them there, then commit them together.
 
-    Every table is computed once for its file and once for the row count it is compared with.
-    When a write, a count or a check fails, the staged files go and the published ones stay.
+    Rows are counted while they are written and compared with what the files hold. The commit
+    file is written last and names the folder of every table (see ``versions``), so a reader sees
+    all new tables or all old ones, whatever failed; tables of the set that are not written stay.
+    When a write, a count, a check or the commit fails, the new files go.
     """
-    staged = f"{out.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    numbers = commit_numbers(spark, out)
+    version = version or new_version()
+    folder = version_folder(out, version)
     try:
+        expected = {}
         for name, (df, write) in tables.items():
-            write(df, f"{staged}/{name}")
-        written = {name: spark.read.parquet(f"{staged}/{name}") for name in tables}
-
-        def counts(frames: dict[str, DataFrame]) -> DataFrame:
-            parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-                     for name, df in frames.items()]
-            out = parts[0]
-            for part in parts[1:]:
-                out = out.unionByName(part)
-            return out
-
-        Gate([
-            check_counts_match("staged rows", counts({n: df for n, (df, _) in tables.items()}),
-                               counts(written), ["name"]),
-            check_file_sizes("files over the soft size limit", list_files(spark, staged)),
-        ]).enforce()
+            observed, expected[name] = counted(df)
+            write(observed, f"{folder}/{name}")
+        written = {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+        rows = {name: df.count() for name, df in written.items()}
+        for name, n in rows.items():
+            if expected[name](n) != n:
+                raise CountError(f"{name}: {n} rows written, {expected[name](n)} expected")
+        Gate([check_file_sizes("files over the soft size limit", list_files(spark, folder))]).enforce()
         check(written)
-        rows = {r["name"]: r["n"] for r in counts(written).collect()}
-        for name in tables:
-            move_into_place(spark, f"{staged}/{name}", f"{out}/{name}")
+        commit(spark, out, version, rows, numbers[-1] if numbers else None)
         return rows
-    finally:
-        discard(spark, staged)
+    except BaseException:
+        discard(spark, folder)
+        discard_empty(spark, f"{out}/{VERSIONS}", out)
+        raise
 
 
 def publish_production(registry: DataFrame, listing: DataFrame, production: DataFrame,
@@ -117,10 +114,11 @@ def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str |
                     expected_wells: int | None = 40) -> dict[str, int]:
     """Publish lookup, catalog, wells and observations of raw sensor rows with their file path.
 
-    The published rows are compared with the raw ones before anything is moved into place. The
-    catalog's addresses begin with ``base_url``, by default the folder that is written to.
+    The published rows are compared with the raw ones before the commit. The catalog's addresses
+    begin with ``base_url``, by default the folder of the new version.
     """
-    base_url = base_url or out
+    version = new_version()
+    base_url = base_url or version_folder(out, version)
     cat.require_instances(raw)
     lookup = cat.event_lookup(specs)
     # One row per instance; kept, because wells, rules and parity all start from it.
@@ -142,8 +140,8 @@ def publish_sensors(raw: DataFrame, specs: DataFrame, out: str, base_url: str |
         "event_types": (lookup, _sorted_by("event_class")),
         "instances": (instances, _sorted_by("event_class", "instance_id")),
         "wells": (wells, _sorted_by("well_id")),
-        "observations": (observed, write_observations),
-    }, out, check)
+        "observations": (observed, lambda df, path: write_observations(df, path, instances=instances)),
+    }, out, check, version)
 
 
 def publish_field(daily: DataFrame, monthly: DataFrame, out: str) -> dict[str, int]:

@@ -1,16 +1,21 @@
 """Sources and sinks: the given tables written to the shared folder and read back."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspark.contracts import schema_differences, schema_table
+from wellspark.contracts import schema_table
 from wellspark.operators.checks import Gate, check_file_sizes, check_partitions
+from wellspark.operators.contract_rows import contract_violations
+from wellspark.plans.publishing import publish_together
 from wellspark.queries import sensors
 from wellspark.queries.bindings import table
 from wellspark.queries.registry import query
-from wellspark.session import shared_folder
+from wellspark.session import keep, shared_folder
 from wellspark.sources import files as store
-from wellspark.sources import readers, writers
+from wellspark.sources import readers, versions, writers, zones
 
 _LINES = "SELECT *, CAST(year(l_shipdate) AS INT) AS year FROM lineitem"
 _SUMS = """count(*) AS n_rows, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)
@@ -22,13 +27,12 @@ def _sums():
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
-def _published_lines(spark, sf, compression="snappy"):
+def _published_lines(spark, sf, **options):
     """Line items published by year; returns the folder."""
     root = f"{shared_folder(spark)}/lines"
     writers.publish(
         table(spark, sf, "lineitem"), root,
-        lambda df, path: writers.write_by_year(df, path, "l_shipdate", "l_partkey",
-                                               compression=compression))
+        lambda df, path: writers.write_by_year(df, path, "l_shipdate", "l_partkey", **options))
     return root
 
 
@@ -94,7 +98,7 @@ def manifest_matches_files(spark, sf):
     # After publishing, a year's folder is moved to another name: one file is gone, one is new.
     root = f"{shared_folder(spark)}/lines"
     year = F.year("l_shipdate").alias("year")
-    table(spark, sf, "lineitem").select("*", year).repartition(1).write.partitionBy("year").parquet(root)
+    table(spark, sf, "lineitem").select("*", year).repartition("year").write.partitionBy("year").parquet(root)
     store.write_manifest(spark, root)
     store.move_into_place(spark, f"{root}/year=1998", f"{root}/year=1898")
     differences = len(store.manifest_differences(spark, root))
@@ -122,7 +126,7 @@ def published_partitions_check(spark, sf):
 def oversized_files(spark, sf):
     # One file per year; each is over one kilobyte, and none over a terabyte.
     root = f"{shared_folder(spark)}/lines"
-    table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate")).repartition(1).write.partitionBy(
+    table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate")).repartition("year").write.partitionBy(
         "year").parquet(root)
     files = store.list_files(spark, root)
     over = store.oversized(files, 1024).unionByName(store.oversized(files, 1 << 40))
@@ -157,16 +161,108 @@ def ordered_table_sink(spark, sf):
     return spark.read.parquet(root).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
+def _published_set(spark, sf):
+    """Orders and customers as one set; returns its folder."""
+    root = f"{shared_folder(spark)}/set"
+
+    def write(key):
+        return lambda df, path: writers.write_table(df, path, [key])
+
+    tables = {"orders": (table(spark, sf, "orders"), write("o_orderkey")),
+              "customer": (table(spark, sf, "customer"), write("c_custkey"))}
+    publish_together(spark, tables, root, lambda written: None)
+    return root, tables
+
+
 @query("export_summary", """
 SELECT 'orders' AS table_name, count(*) AS rows FROM orders
 UNION ALL SELECT 'customer', count(*) FROM customer""")
 def export_summary(spark, sf):
-    roots = {}
-    for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey")):
-        roots[name] = f"{shared_folder(spark)}/{name}"
-        writers.publish(table(spark, sf, name), roots[name],
-                        lambda df, path, key=key: writers.write_table(df, path, [key]))
-    return store.export_summary(spark, roots).select("table_name", "rows")
+    root, _ = _published_set(spark, sf)
+    return versions.set_summary(spark, root).select("table_name", "rows")
+
+
+@query("published_set_after_a_failure", """
+SELECT count(*) AS n_orders, (SELECT count(*) FROM customer) AS n_customers,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, CAST(1 AS BIGINT) AS n_commits FROM orders""")
+def published_set_after_a_failure(spark, sf):
+    # Half of both tables is published next, and the check refuses it when all is written.
+    root, tables = _published_set(spark, sf)
+
+    def refuse(written):
+        raise ValueError(", ".join(written))
+
+    halves = {name: (df.where(F.xxhash64(*df.columns) % 2 == 0), write) for name, (df, write) in tables.items()}
+    try:
+        publish_together(spark, halves, root, refuse)
+    except ValueError:
+        pass
+    read = versions.read_set(spark, root)
+    return read["orders"].agg(F.count(F.lit(1)).alias("n_orders"),
+                              F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")).select(
+        "*", read["customer"].agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("n_customers"),
+        F.lit(len(versions.commit_numbers(spark, root))).cast("long").alias("n_commits"))
+
+
+@query("tables_replaced_in_a_set", """
+SELECT 'new' AS of, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'old', count(*) FROM orders
+UNION ALL SELECT 'kept', count(*) FROM customer""")
+def tables_replaced_in_a_set(spark, sf):
+    # Orders are published again without the customers; the first commit can still be read.
+    root, tables = _published_set(spark, sf)
+    orders, write = tables["orders"]
+    publish_together(spark, {"orders": (orders.where("o_orderstatus = 'F'"), write)}, root, lambda written: None)
+    found = {"new": ("orders", None), "old": ("orders", 1), "kept": ("customer", None)}
+    return reduce(DataFrame.unionByName, [
+        versions.read_published(spark, root, name, number).agg(F.count(F.lit(1)).alias("n")).select(F.lit(of).alias("of"), "n")
+        for of, (name, number) in found.items()])
+
+
+_PART = "(SELECT min(l_partkey) FROM lineitem)"
+
+
+@query("zone_map_scan_of_one_entity", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, year, true AS few_files FROM ({_LINES}) WHERE l_partkey = {_PART}""")
+def zone_map_scan_of_one_entity(spark, sf):
+    # Files of some 2,000 line items, of which the map names one or two a year.
+    root = _published_lines(spark, sf, rows_per_file=2000)
+    part = table(spark, sf, "lineitem").agg(F.min("l_partkey")).first()[0]
+    covering, known = zones.files_for(spark, root, (part, part)), zones.read_zones(spark, root).count()
+    return zones.scan_zones(spark, root, "l_partkey", "l_shipdate", (part, part)).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "year", F.lit(len(covering) < known or known <= 8).alias("few_files"))
+
+
+@query("zone_map_of_published_files", f"""
+SELECT year, count(*) AS n_rows, min(l_partkey) AS first_part, max(l_partkey) AS last_part, min(l_shipdate) AS first_day,
+       max(l_shipdate) AS last_day, true AS bounded FROM ({_LINES}) GROUP BY year""")
+def zone_map_of_published_files(spark, sf):
+    # The plan bounds every file below twice the number of rows asked for.
+    root = _published_lines(spark, sf, rows_per_file=5000)
+    year = F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int").alias("year")
+    return zones.read_zones(spark, root).groupBy(year).agg(
+        F.sum("rows").alias("n_rows"), F.min("first_entity").alias("first_part"), F.max("last_entity").alias("last_part"),
+        F.min("first_time").alias("first_day"), F.max("last_time").alias("last_day"), (F.max("rows") < 10_000).alias("bounded"))
+
+
+@query("row_group_scan_of_one_entity", f"SELECT l_orderkey, l_linenumber, year FROM ({_LINES}) WHERE l_partkey = {_PART}")
+def row_group_scan_of_one_entity(spark, sf):
+    # Row groups of 64 KB, sorted by part, and a Bloom filter of the parts.
+    root = _published_lines(spark, sf, row_group=1 << 16, lookup={"l_partkey": 20_000})
+    part = table(spark, sf, "lineitem").agg(F.min("l_partkey")).first()[0]
+    return readers.one_entity(readers.read_partitioned(spark, root), "l_partkey", part).select("l_orderkey", "l_linenumber", "year")
+
+
+@query("files_of_hot_instances", sensors.FULL + """
+SELECT event_class, instance_id, count(*) AS n_rows, true AS divided FROM observed GROUP BY ALL""", sensors.USES)
+def files_of_hot_instances(spark, sf):
+    # The catalog's counts plan some 60 tasks; an instance of more rows than one takes is divided by time.
+    root = f"{shared_folder(spark)}/observations"
+    rows, instances = sensors.observed(spark, sf), keep(sensors.catalog(spark, sf))
+    per_file = max(1, (instances.agg(F.sum("n_rows")).first()[0] or 0) // 60)
+    writers.write_observations(rows, root, own_folder=False, instances=instances, rows_per_file=per_file)
+    sizes = spark.read.parquet(root).groupBy("event_class", "instance_id", "_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.groupBy("event_class", "instance_id").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("files"))
+    return total.select("event_class", "instance_id", "n_rows", ((F.col("n_rows") <= 2 * per_file) | (F.col("files") > 1)).alias("divided"))
 
 
 @query("observations_publish", sensors.FULL + """
@@ -261,19 +357,30 @@ def schema_reflection(spark, sf):
 
 
 @query("contract_problems", """
-SELECT 'missing o_totalprice string' AS problem UNION ALL SELECT 'missing tef int'
-UNION ALL SELECT 'unexpected ' || column_name || ' ' || lower(column_type) FROM (DESCRIBE orders)
-WHERE column_name IN ('o_totalprice', 'o_orderstatus') AND column_type = 'DOUBLE'""")
+WITH counted AS (
+    SELECT count(*) AS n, count_if(o_totalprice <> trunc(o_totalprice)) AS broken,
+           count_if(o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS INT) IS NULL) AS no_number,
+           count_if(o_custkey IS NULL) AS no_customer, count_if(o_orderdate IS NULL) AS no_date FROM orders),
+repeated AS (SELECT coalesce(sum(n), 0) AS n FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1))
+SELECT 'o_totalprice' AS column_name, 'not int' AS problem, broken AS violations FROM counted
+UNION ALL SELECT 'o_orderpriority', 'not int', no_number FROM counted
+UNION ALL SELECT 'o_custkey', 'null', no_customer FROM counted UNION ALL SELECT 'o_orderdate', 'null', no_date FROM counted
+UNION ALL SELECT 'tef', 'missing', n FROM counted UNION ALL SELECT 'o_orderstatus', 'unexpected', n FROM counted
+UNION ALL SELECT 'o_custkey, o_orderdate', 'repeated key', CAST(n AS BIGINT) FROM repeated""")
 def contract_problems(spark, sf):
-    # The contract has a price as text and a column that the table lacks.
+    # The contract has whole prices, numbered priorities, one order a day and a column that the table lacks.
     orders = table(spark, sf, "orders")
-    contract = T.StructType([T.StructField(f.name, T.StringType() if f.name == "o_totalprice" else f.dataType)
-                             for f in orders.schema] + [T.StructField("tef", T.IntegerType())])
-    return spark.createDataFrame([(p,) for p in schema_differences(orders, contract)], "problem string")
+    whole = ("o_totalprice", "o_orderpriority")
+    contract = T.StructType([
+        T.StructField(f.name, T.IntegerType() if f.name in whole else f.dataType, f.name not in ("o_custkey", "o_orderdate"))
+        for f in orders.schema if f.name != "o_orderstatus"] + [T.StructField("tef", T.IntegerType())])
+    return contract_violations(orders, contract, ["o_custkey", "o_orderdate"])
 
 
-@query("tables_that_exist", "SELECT 'orders' AS table_name, count(*) > 0 AS is_there FROM orders "
-       "UNION ALL SELECT 'odrers', count(*) < 0 FROM orders")
+@query("tables_that_exist", "SELECT 'orders' AS table_name, true AS is_there, count(*) AS n_rows FROM orders "
+       "UNION ALL SELECT 'odrers', false, CAST(NULL AS BIGINT)")
 def tables_that_exist(spark, sf):
-    found = [(n, store.exists(spark, f"{sf}/{n}.parquet")) for n in ("orders", "odrers")]
-    return spark.createDataFrame(found, "table_name string, is_there boolean")
+    found = {n: store.exists(spark, f"{sf}/{n}.parquet") for n in ("orders", "odrers")}
+    return reduce(DataFrame.unionByName, [
+        (table(spark, sf, n).agg(F.count(F.lit(1)).alias("n_rows")) if there else spark.range(1).select(F.lit(None).cast("long").alias("n_rows")))
+        .select(F.lit(n).alias("table_name"), F.lit(there).alias("is_there"), "n_rows") for n, there in found.items()])

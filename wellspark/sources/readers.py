@@ -5,14 +5,13 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspark.functions.columns import quoted
-from wellspark.sources.files import list_files, read_manifest
+from wellspark.sources.files import first_lines, list_files, read_manifest
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -26,14 +25,11 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header, from one job that reads the first lines; folders stand for their files."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"),
-                                          F.col("_metadata.file_block_start").alias("start"))
-    first = (lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
-             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
+    """Files by header; folders stand for their files. Only the first block of a file is read."""
+    listed = spark.read.format("binaryFile").load(paths).where("length > 0").select("path").orderBy("path")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header, files in first.groupBy("header").agg(F.sort_array(F.collect_list("path"))).collect():
-        groups.setdefault(tuple(next(csv.reader([header]))), []).extend(unquote(f) for f in files)
+    for path, line in first_lines(spark, [r["path"] for r in listed.collect()]).items():
+        groups.setdefault(tuple(next(csv.reader([line]))), []).append(path)
     return groups
 
 
@@ -41,7 +37,7 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
                      multi_line: bool = False) -> DataFrame:
     """CSV files whose headers may differ in columns and order; columns are matched by name.
 
-    Only header lines are looked at beforehand. Files with the same header are read together,
+    Only the first block of each file is looked at beforehand. Files with the same header are read together,
     the groups are united by name, and columns a file lacks are NULL. Columns outside the schema
     are dropped and no type is inferred. A folder may mix headers.
     """

@@ -5,76 +5,125 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import quoted
 from wellspark.sources.files import move_into_place, write_manifest
+from wellspark.sources.planning import cells_of_instances, count_cells, dealt, planned
+from wellspark.sources.zones import write_zones
 
 
 class RowCountError(Exception):
     """What was written does not have the rows that were to be written."""
 
 
+def parquet_options(compression: str = "snappy", row_group: int | None = None,
+                    lookup: dict[str, int] | None = None) -> dict[str, str]:
+    """Options of the Parquet writer: codec, bytes of a row group, columns with a Bloom filter.
+
+    Statistics of small, sorted row groups let a reader skip to an entity; the filter, sized for
+    the number of distinct values given, lets it skip where values of a column lie scattered.
+    """
+    options = {"compression": compression}
+    if row_group:
+        # The size is looked at every so many rows; a small group needs more looks.
+        options |= {"parquet.block.size": str(row_group), "parquet.page.size": str(min(row_group, 1 << 20)),
+                    "parquet.page.size.row.check.min": "100", "parquet.page.size.row.check.max": "10000"}
+    for column, distinct in (lookup or {}).items():
+        options |= {f"parquet.bloom.filter.enabled#{column}": "true",
+                    f"parquet.bloom.filter.expected.ndv#{column}": str(distinct)}
+    return options
+
+
 def write_table(df: DataFrame, path: str, order: list[str], compression: str = "snappy") -> None:
-    """One folder in total order. Small tables come out as one file, large ones as many."""
-    df.orderBy(*[quoted(c) for c in order]).write.option("compression", compression).parquet(path)
+    """One folder in total order. Small tables come out as one file, large ones as many.
+
+    The rows are dealt out once before they are sorted, so the sample that the order needs is
+    taken from there and the input runs once.
+    """
+    df.hint("rebalance").orderBy(*[quoted(c) for c in order]).write.option("compression", compression).parquet(path)
 
 
-ROWS_PER_FILE = 5_000_000  # a larger piece of a partition is written as several files
+ROWS_PER_FILE = 2_500_000  # a file has less than twice as many, see ``planned``
 
 
-def write_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str],
-                      compression: str = "snappy", files: int | None = None) -> None:
-    """Partition folders whose files are sorted by ``order``.
+def write_partitioned(df: DataFrame, path: str, partition: list[str], order: list[str], compression: str = "snappy",
+                      files: int | None = None, rows_per_file: int = ROWS_PER_FILE, cells: DataFrame | None = None,
+                      row_group: int | None = None, lookup: dict[str, int] | None = None) -> None:
+    """Partition folders whose files are sorted by ``order``: an entity, then its time.
 
-    Rows are range-partitioned on partition and order columns together, so a partition or an
-    entity that holds much of the table is spread over several tasks and files, each covering
-    its own range. The partition columns lead the sort: without them the writer would sort
-    again and lose the inner order.
+    Files are planned from counts (see ``planning``): from ``cells`` if they are known, otherwise
+    from a pass over the partition, entity and time columns. A partition or an entity that holds
+    much of the table is spread over several tasks and files, each covering its own range;
+    ``files`` asks for a number of tasks. The partition columns lead the sort: without them the
+    writer would sort again and lose the inner order.
     """
-    columns = [quoted(c) for c in [*partition, *order]]
-    ranged = df.repartitionByRange(files, *columns) if files else df.repartitionByRange(*columns)
-    ranged.sortWithinPartitions(*columns).write.option("compression", compression).option(
-        "maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition).parquet(path)
+    if cells is None:
+        cells = count_cells(df, partition, order[0], order[1] if len(order) > 1 else None)
+    with planned(cells, partition, rows_per_file, files) as plan:
+        dealt(df, plan, partition, order).write.options(
+            **parquet_options(compression, row_group, lookup)).partitionBy(*partition).parquet(path)
 
 
 def write_by_year(df: DataFrame, path: str, date: str, entity: str, partition: str = "year",
-                  compression: str = "snappy") -> list[str]:
-    """Year folders sorted by entity and date, plus the manifest."""
+                  compression: str = "snappy", rows_per_file: int = ROWS_PER_FILE, row_group: int | None = None,
+                  lookup: dict[str, int] | None = None) -> list[str]:
+    """Year folders sorted by entity and date, plus the manifest and the zone map."""
     dated = df.withColumn(partition, F.year(quoted(date)))
-    write_partitioned(dated, path, [partition], [entity, date], compression)
+    write_partitioned(dated, path, [partition], [entity, date], compression, rows_per_file=rows_per_file,
+                      row_group=row_group, lookup=lookup)
+    write_zones(df.sparkSession, path, entity, date)
     return write_manifest(df.sparkSession, path)
 
 
-def write_observations(df: DataFrame, path: str, own_folder: bool = True,
-                       compression: str = "snappy") -> list[str]:
+def write_observations(df: DataFrame, path: str, own_folder: bool = True, compression: str = "snappy",
+                       instances: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE) -> list[str]:
     """Event-class folders of observations with their provenance columns, plus the manifest.
 
     One job for all instances. With ``own_folder`` every instance gets a folder, the one that the
-    catalog names as its address, so no file mixes two of them.
+    catalog names as its address, so no file mixes two of them. With the catalog (``instances``)
+    its row counts plan the files, and the observations are read once.
     """
     if own_folder:
         # The folder name carries the id, so the body keeps a copy of it.
         df = df.withColumn("instance", F.col("instance_id"))
     partition = ["event_class", "instance"] if own_folder else ["event_class"]
-    write_partitioned(df, path, partition, ["instance_id", "timestamp"], compression)
+    cells = None
+    if instances is not None:
+        named = instances.withColumn("instance", F.col("instance_id"))
+        cells = cells_of_instances(named, partition, "instance_id", "n_rows", "start_ts", "end_ts")
+    write_partitioned(df, path, partition, ["instance_id", "timestamp"], compression, rows_per_file=rows_per_file, cells=cells)
     return write_manifest(df.sparkSession, path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[int], int]]:
+    """``df`` with its rows counted on their way, and a function that gives the count after the write.
+
+    The function is told how many rows were written. When that is another number the rows are
+    counted again: what a lost executor had done is observed twice.
+    """
+    seen = Observation()
+
+    def rows(written: int) -> int:
+        return written if seen.get["rows"] == written else df.count()
+
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), rows
+
+
 def publish(df: DataFrame, target: str, write: Callable[[DataFrame, str], object],
             expected: int | None = None) -> int:
     """Write beside the target, compare the row count, then move into place.
 
-    ``expected`` saves a pass when the caller has counted the rows already. On any failure the
-    old version stays.
+    Rows are counted while they are written; ``expected`` is for a caller that knows the number.
+    On any failure the old version stays.
     """
     spark = df.sparkSession
     staged = f"{target}.staging-{uuid.uuid4().hex}"
-    if expected is None:
-        expected = df.count()
-    write(df, staged)
+    observed, rows = counted(df)
+    write(observed, staged)
     written = spark.read.parquet(staged).count()
+    expected = rows(written) if expected is None else expected
     if written != expected:
         raise RowCountError(f"{target}: {written} rows written, {expected} expected")
     move_into_place(spark, staged, target)
