@@ -235,3 +235,25 @@ def test_stacked_series_fills_zero(spark, rows):
                                "fecha date, bucket string, v double")
     assert rows(production.stacked_series(df, "v", 1e6)) == [
         (dt.date(2020, 1, 1), 2.0, 0.0), (dt.date(2020, 2, 1), 0.0, 4.0)]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 10**6])
+def test_modes_of_hot_and_other_keys(spark, rows, hot):
+    """Whichever way a key is counted, the answer is one; ties, NULLs and zeros of either sign."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(3)
+    data = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice(["a", "b", "é", None]), rng.choice([0.0, -0.0, 1.5, float("nan"), None]), None)
+            for _ in range(200)] + [(9, None, None, None)]
+    df = spark.createDataFrame(data, "k int, s string, x double, n date")
+
+    def mode(values):
+        counts = Counter("nan" if v != v else v + 0.0 if isinstance(v, float) else v for v in values if v is not None)
+        best = max(counts.values(), default=0)
+        return min((v for v, n in counts.items() if n == best), key=lambda v: (v == "nan", v), default=None)
+
+    got = modal_attributes(df, "k", {"s2": "s", "x2": "x", "s3": "s", "n2": "n"}, hot).collect()
+    assert {r["k"]: ("nan" if r["x2"] != r["x2"] else r["x2"], r["s2"], r["s3"], r["n2"]) for r in got} == {
+        k: (mode(d[2] for d in data if d[0] == k), mode(d[1] for d in data if d[0] == k), mode(d[1] for d in data if d[0] == k), None)
+        for k in (1, 2, 3, 9)}
