@@ -82,42 +82,46 @@ def collapse_intervals(df: DataFrame, keys: list[str], time: str, value: str,
     flagged = _local_changes(_sliced(rows, time, every), keys, time, [value])
     runs = _close_runs(flagged, [*keys, SLICE], time, time, F.col("_change")).select(
         *_cols(keys), quoted(value), *_cols(list(carry)), quoted(time).alias("valid_from"),
-        F.col("_valid_to").alias("valid_to"), (F.col("_rn") == 1).alias("_at_start"), "_at_end")
-    out = [*_cols(keys), quoted(value), *_cols(list(carry)), F.col("valid_from"),
-           F.col("valid_to")]
-    inner = runs.where(~F.col("_at_start") & ~F.col("_at_end")).select(*out)
-    # At most two runs per slice reach its edges; only these can continue a neighbour's run.
-    over = Window.partitionBy(*_cols(keys)).orderBy("valid_from")
-    edges = (
-        runs.where(F.col("_at_start") | F.col("_at_end"))
-        .withColumn("_continues", F.coalesce(
-            F.col("_at_start") & F.lag("_at_end").over(over)
-            & quoted(value).eqNullSafe(F.lag(quoted(value)).over(over)), F.lit(False)))
-        .drop("_at_end")
-    )
-    merged = _close_runs(edges, keys, "valid_from", "valid_to", ~F.col("_continues"))
-    return inner.unionByName(
-        merged.drop("valid_to").withColumnRenamed("_valid_to", "valid_to").select(*out))
+        F.col("_valid_to").alias("valid_to"), (F.col("_rn") == 1).alias("_at_start"), "_at_end", SLICE)
+    # At most two runs of a slice reach its edges; only these can continue a neighbour's run, and
+    # they meet per entity. The others are dealt out by their slice and stay what they are.
+    runs = _by_edge(runs, F.col("_at_start") | F.col("_at_end"))
+    over = Window.partitionBy(*_cols(keys), *_EDGE).orderBy("valid_from")
+    runs = runs.withColumn("_continues", F.coalesce(
+        F.col("_at_start") & F.lag("_at_end").over(over)
+        & quoted(value).eqNullSafe(F.lag(quoted(value)).over(over)), F.lit(False))).drop("_at_end")
+    merged = _close_runs(runs, [*keys, *_EDGE], "valid_from", "valid_to", ~F.col("_continues"))
+    return merged.drop("valid_to").withColumnRenamed("_valid_to", "valid_to").select(
+        *_cols(keys), quoted(value), *_cols(list(carry)), "valid_from", "valid_to")
+
+
+_EDGE = ["_edge", "_inside"]
+
+
+def _by_edge(rows: DataFrame, edge: Column) -> DataFrame:
+    """Marks that keep the edges of all slices of an entity together, and the other rows by slice."""
+    return rows.withColumn("_edge", edge).withColumn("_inside", F.when(~F.col("_edge"), F.col(SLICE)))
 
 
 def detect_transitions(df: DataFrame, keys: list[str], time: str, values: list[str],
                        every: int | None = None) -> DataFrame:
     """Rows where any of the values changed since the entity's row before; first rows too."""
     out = [*_cols(keys), quoted(time), *_cols(values)]
-    flagged = _local_changes(_sliced(df.select(*out), time, every), keys, time, values)
-    inner = flagged.where(F.col("_change") & (F.col("_rn") > 1)).select(*out)
-    # The first row of a slice is compared with the last row of the slice before it.
     within = Window.partitionBy(*_cols(keys), SLICE).orderBy(quoted(time))
-    over = Window.partitionBy(*_cols(keys)).orderBy(quoted(time))
+    flagged = _local_changes(_sliced(df.select(*out), time, every), keys, time, values).withColumn(
+        "_is_last", F.lead(F.lit(True)).over(within).isNull())
+    # What changes inside a slice is known; its first row is compared with the last one of the
+    # slice before, so these two meet per entity.
+    first = F.col("_rn") == 1
+    rows = _by_edge(flagged.where(F.col("_change") | F.col("_is_last")), first | F.col("_is_last"))
+    over = Window.partitionBy(*_cols(keys), *_EDGE).orderBy(quoted(time))
     state = F.struct(*_cols(values))
-    edges = (
-        flagged.withColumn("_is_last", F.lead(F.lit(True)).over(within).isNull())
-        .where((F.col("_rn") == 1) | F.col("_is_last"))
-        .withColumn("_first", F.row_number().over(over) == 1)
+    return (
+        rows.withColumn("_first", F.row_number().over(over) == 1)
         .withColumn("_differs", ~state.eqNullSafe(F.lag(state).over(over)))
-        .where((F.col("_rn") == 1) & (F.col("_first") | F.col("_differs")))
+        .where(F.when(first, F.col("_first") | F.col("_differs")).otherwise(F.col("_change")))
+        .select(*out)
     )
-    return inner.unionByName(edges.select(*out))
 
 
 def previous(df: DataFrame, keys: list[str], time: str, name: str = "previous",
