@@ -257,3 +257,36 @@ def test_modes_of_hot_and_other_keys(spark, rows, hot):
     assert {r["k"]: ("nan" if r["x2"] != r["x2"] else r["x2"], r["s2"], r["s3"], r["n2"]) for r in got} == {
         k: (mode(d[2] for d in data if d[0] == k), mode(d[1] for d in data if d[0] == k), mode(d[1] for d in data if d[0] == k), None)
         for k in (1, 2, 3, 9)}
+
+
+@pytest.mark.parametrize("margin", [0.0026, -0.4])
+def test_brackets_of_large_groups(spark, margin):
+    """Groups below, at and above the size of a sketch; a bracket that misses its rank is widened."""
+    import numpy as np
+
+    from wellspark.operators.quantiles import SKETCH
+
+    rng = np.random.default_rng(1)
+    groups = {"few": rng.normal(size=7), "full": rng.normal(size=SKETCH), "many": rng.lognormal(0, 3, 30_000), "ties": rng.integers(0, 5, 20_000) * 1.0,
+              "one": np.full(9000, 2.5), "split": np.r_[np.zeros(5000), np.ones(5000)], None: np.r_[rng.normal(size=8000), [np.inf, -np.inf, 1e308, -1e308]]}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in rng.permutation(vs)] + [("none", None), ("none", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    wanted = {"lo": 0.0, "q1": 0.01, "q50": 0.5, "q777": 0.777, "hi": 1.0}
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", wanted, margin=margin).collect()}
+    assert got.keys() == groups.keys()
+    for k, vs in groups.items():
+        vs = np.sort(vs)
+        for name, p in wanted.items():
+            at = p * (len(vs) - 1)
+            lo, hi = vs[int(np.floor(at))], vs[int(np.ceil(at))]
+            assert got[k][name] == (lo if lo == hi else lo + (hi - lo) * (at - np.floor(at))), (k, name)
+
+
+def test_only_values_near_the_quantiles_are_counted(spark):
+    from pyspark.sql import functions as F
+
+    from wellspark.operators.quantiles import MARGIN, _bracketed
+
+    numbers = spark.range(200_000).select(F.lit(1).alias("k"), (F.xxhash64("id") / 1e3).alias("_v"), F.lit(1).cast("long").alias("_w"))
+    counts, targets = _bracketed(numbers, ["k"], {"q25": 0.25, "q50": 0.5, "q75": 0.75}, MARGIN)
+    assert counts.count() < 0.05 * 200_000 and targets.count() == 6
