@@ -112,3 +112,113 @@ def test_an_identifier_that_repeats_counts_as_often_as_it_is_used(documents):
     data = [f"my card no: {c} here" for c in cards + cards[:1] * 39] + ["my card no: a@b.c here", "my card no: b@b.c here"]
     out = {r["doc_id"]: r for r in pii.personal_data(documents(data + ["my card no: 99X-1234-77 here"])).collect()}
     assert out[46]["spans"] == "card:12:23" and out[46]["n_added"] == 1
+
+
+def badges(rng):
+    """Cards after their words, eight identifiers there too, the same eight and a ninth after other words."""
+    ids = [f"QX{i}-{rng.randint(1000, 9999)}" for i in range(9)]
+    data = [f"my card no: {card(rng)} here" for _ in range(60)] + [f"my card no: {x} here" for x in ids[:8]]
+    return ids, data + [f"the badge ref holder {x} came" for x in ids[:8] * 3] + [f"the badge ref holder {ids[8]} came"]
+
+
+def test_finds_are_the_seeds_of_the_next_generation(documents):
+    ids, data = badges(random.Random(5))
+    data += [f"a third way of {x} here" for x in ids] + ["a third way of QX99-12345 here"]
+    out = {r["doc_id"]: r["spans"] for r in pii.personal_data(documents(data)).collect()}
+    assert all(out[i] == f"card:12:{12 + len(ids[0])}" for i in range(60, 68))
+    assert all(out[i] == f"card:21:{21 + len(ids[0])}" for i in range(68, 93))
+    assert all(out[i].startswith("card:15:") for i in range(93, 103))  # the ninth is a seed of the third generation
+
+
+def test_patterns_below_the_confidence_mark_nothing(documents):
+    """An identifier that is found after trusted words is not marked after words of every day."""
+    rng = random.Random(6)
+    data = [f"my card no: {card(rng)} here" for _ in range(30)] + ["my card no: ZX-123456 here"]
+    data += [f"one of the {card(rng)} here" for _ in range(10)] + ["one of the ZX-123456 here"] + ["it is of the best kind"] * 60
+    out = {r["doc_id"]: r["spans"] for r in pii.personal_data(documents(data)).collect()}
+    assert out[30] == "card:12:21" and out[41] == ""
+
+
+def scored(texts):
+    """The bootstrapping in plain Python, over (pattern, found, kind, start, end, text) of the base finds and candidates."""
+    import re
+    from collections import defaultdict
+
+    seen, uses = [], defaultdict(int)
+    for t, text in enumerate(texts):
+        words = text.lower().split()
+        for a, b in zip(words, words[1:-1]):
+            uses[a, b] += 1
+        base = [(s, e, k) for k, s, e in (x.split(":") for x in brute(text).split(",") if x)]
+        base = [(int(s), int(e), pii.KINDS.index(k)) for s, e, k in base]
+        own = [(m.start(), m.end(), 4) for m in re.finditer(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{6,}", text)
+               if sum(c.isdigit() for c in m[0]) >= 4 and not any(s < m.end() and m.start() < e for s, e, _ in base)]
+        for s, e, k in base + own:
+            before = text[:s].lower().split()
+            if len(before) >= 2:
+                seen.append((tuple(before[-2:]), text[s:e], k, s, e, t))
+    times = defaultdict(int)
+    for p, x, k, *_ in seen:
+        times[p, x, k] += 1
+    able = {p for p in uses if sum(q == p for q, _, _ in times) >= pii.LEAST_SEEDS}
+    times = {key: n for key, n in times.items() if key[0] in able}
+    score = {(x, k): 1.0 for _, x, k in times if k < 4}
+    strong = {key for key, v in score.items() if v >= pii.CONFIDENCE}
+    trusted = {}
+    for _ in range(pii.GENERATIONS):
+        support = defaultdict(lambda: [0, set()])
+        for (p, x, own), n in times.items():
+            for y, k in strong:
+                if x == y and own in (k, 4):
+                    support[p, k][0] += n
+                    support[p, k][1].add(x)
+        induced = {}
+        for p in {p for p, _ in support}:
+            best = max((v[0], len(v[1]), -k) for (q, k), v in support.items() if q == p)
+            if best[1] >= pii.LEAST_SEEDS and best[0] >= pii.CONFIDENCE * sum(v[0] for (q, _), v in support.items() if q == p):
+                induced[p] = -best[2]
+        for _ in range(pii.ROUNDS):
+            trusted = {p: min(1.0, sum(score.get((x, k), 0) * n for (q, x, own), n in times.items() if q == p and own in (k, 4)) / uses[p])
+                       for p, k in induced.items()}
+            trusted = {p: c for p, c in trusted.items() if c >= pii.CONFIDENCE}
+            open_ = defaultdict(lambda: 1.0)
+            for (p, x, own) in times:
+                if p in trusted and own in (induced[p], 4):
+                    open_[x, induced[p]] *= 1 - trusted[p]
+            for key, v in open_.items():
+                score[key] = max(score.get(key, 0), 1 - v)
+        now = {key for key, v in score.items() if v >= pii.CONFIDENCE}
+        if len(now) == len(strong):
+            break
+        strong = now
+    strong = {key for key, v in score.items() if v >= pii.CONFIDENCE}
+    best = {x: -max((score[y, k], -k) for y, k in strong if y == x)[1] for x, _ in strong}
+    return {(t, pii.KINDS[best[x]], s, e) for p, x, k, s, e, t in seen if k == 4 and p in trusted and best.get(x) == induced[p]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bootstrapping_against_plain_python(documents, seed):
+    rng = random.Random(seed)
+    contexts = ["card no:", "ref holder", "mail to", "call us", "of the", "badge id", "paid by"]
+    ids = [f"ID-{rng.randint(10**5, 10**6)}" for _ in range(40)]
+    things = [*(card(rng) for _ in range(25)), *(f"u{i}@x.org" for i in range(15)), *(f"+49 30 555{i:04d}" for i in range(10))]
+    likes = {c: rng.choice([things[:25], things[25:40], things[40:], ids]) for c in contexts}
+    data = []
+    for _ in range(700):
+        c = rng.choice(contexts)
+        word = rng.choice(likes[c]) if rng.random() < 0.55 else rng.choice(ids[:12]) if rng.random() < 0.9 else rng.choice(["you", "them"])
+        data.append(f"so x{rng.randint(0, 5)} {c} {word} and then")
+    want = scored(data)
+    got = set()
+    for r in pii.personal_data(documents(data)).collect():
+        for x in set(r["spans"].split(",")) - set(r["base"].split(",")):
+            k, s, e = x.split(":")
+            got.add((r["doc_id"], k, int(s), int(e)))
+    assert got == want
+
+
+def test_patterns_beyond_a_broadcast(documents, monkeypatch):
+    monkeypatch.setattr(pii, "BROADCAST", 0)
+    ids, data = badges(random.Random(5))
+    out = {r["doc_id"]: r["n_added"] for r in pii.personal_data(documents(data)).collect()}
+    assert sum(out.values()) == 8 + 24 + 1

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +22,9 @@ _DIGIT = r"[0-9]"
 CONTEXT = 64  # characters before a mention in which its two left words must be
 LEAST_SEEDS = 5  # different base finds that a pattern needs
 CONFIDENCE = 0.8  # of a pattern and of a discovery
-ROUNDS = 3
-SLICE_PATTERNS = 20_000  # patterns whose uses one pass over the texts counts
+ROUNDS = 3  # of scoring in a generation
+GENERATIONS = 6  # of seeds at most; one that adds none is the last
+BROADCAST = 500_000  # patterns (8 bytes each) that are sent to every task
 
 
 def _mentions(text: Column, kind: int) -> Column:
@@ -93,61 +92,72 @@ def find_mentions(docs: DataFrame) -> DataFrame:
     return rows.withColumn("touched", touched).filter((F.col("kind") < CANDIDATE) | ~F.col("touched")).drop("touched")
 
 
-def _uses(docs: DataFrame, patterns: list[int]) -> DataFrame:
+def _uses(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often the two words of each pattern (a hash) are followed by a word, in all texts."""
     words = F.split(F.btrim(F.lower(F.coalesce("text", F.lit(""))), F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
     texts = docs.select(words.alias("words")).filter(F.size("words") > 2)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 2), lambda i: F.xxhash64(
-        F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1))))
-    return (texts.select(F.explode(F.filter(pairs, lambda h: h.isin(patterns))).alias("pattern"))
-            .groupBy("pattern").agg(F.count("*").alias("uses")))
+    pairs = texts.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - 2), lambda i: F.xxhash64(
+        F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1))))).alias("pattern"))
+    if patterns.limit(BROADCAST + 1).count() <= BROADCAST:
+        return pairs.join(F.broadcast(patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("uses"))
+    # Too many to send to every task: all pairs are counted where they are before they meet them.
+    return pairs.groupBy("pattern").agg(F.count("*").alias("uses")).join(patterns, "pattern")
 
 
 def discover(docs: DataFrame, mentions: DataFrame) -> DataFrame:
     """Candidates that trusted contexts give away: key, start, end, kind (that of the seeds).
 
-    Base finds are the seeds. The two words before a seed are a pattern of its kind; a pattern is
-    kept for the next step if LEAST_SEEDS different seeds and most of its seeds' occurrences are of
-    its kind. Then, ROUNDS times: a pattern's confidence is the sum of its instances' scores, each as
-    often as it occurs there in all rows, over all its uses in all rows; an instance's score is one minus the product of what its patterns leave
-    open (a seed's is 1). Patterns below CONFIDENCE don't count, nor instances below it.
+    The two words before a mention are its pattern, base finds are the first seeds. A generation
+    induces patterns from all seeds, scores patterns and instances in turn, and makes instances of
+    a score of CONFIDENCE seeds of the next one; it is the last when none is new, or after
+    GENERATIONS.
+
+    A pattern is induced if LEAST_SEEDS different seeds stand after it and most of its seeds'
+    occurrences are of one kind. ROUNDS times, its confidence is the sum of its instances' scores,
+    each as often as it occurs there in all rows, over all its uses in all rows, and an instance's
+    score is one minus the product of what its patterns of confidence leave open (a base find's is
+    1; a seed keeps the best it had). Only patterns of a confidence of CONFIDENCE count, and only
+    they mark, in the last generation, the seeds of their kind that stand after them.
     """
     spark = docs.sparkSession
     edges = shared_table(mentions.filter("left IS NOT NULL").select(
-        F.xxhash64("left").alias("pattern"), F.xxhash64("found").alias("instance"), "kind", "copies")
-                         .groupBy("pattern", "instance", "kind").agg(F.sum("copies").alias("times")))
-    per_kind = edges.groupBy("pattern", "kind").agg(F.sum("times").alias("times"), F.count("*").alias("n"))
-    seeds = per_kind.filter(F.col("kind") < CANDIDATE).groupBy("pattern").agg(
-        F.max(F.struct("times", "n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("times").alias("seeds"))
-    # Scores can at best reach seeds plus candidates, so other kinds alone can rule a pattern out.
-    induced = shared_table(seeds.select("pattern", (-F.col("best.order")).alias("kind"), "best.n", "best.times", "seeds")
-                           .filter((F.col("n") >= LEAST_SEEDS) & (F.col("times") >= CONFIDENCE * F.col("seeds"))))
-    hashes = induced.select("pattern").orderBy("pattern").toArrow().column(0).to_pylist()
-    none = spark.createDataFrame([], "key long, start int, end int, kind int")
-    if not hashes:
-        return none
-    counts = [_uses(docs, hashes[i:i + SLICE_PATTERNS]) for i in range(0, len(hashes), SLICE_PATTERNS)]
-    uses = shared_table(reduce(DataFrame.unionByName, counts))
-    trusted = shared_table(induced.select("pattern", "kind").join(uses, "pattern"))
-    graph = shared_table(edges.withColumnRenamed("kind", "own").join(trusted, "pattern").filter(
-        (F.col("own") == F.col("kind")) | (F.col("own") == CANDIDATE)))
-    scores = graph.select("instance", "kind", F.when(F.col("own") < CANDIDATE, 1.0).otherwise(0.0).alias("score")).distinct()
-    for _ in range(ROUNDS):
-        confident = (graph.join(scores, ["instance", "kind"]).groupBy("pattern", "kind", "uses")
-                     .agg(F.sum(F.col("score") * F.col("times")).alias("sum"))
-                     .withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("uses")))
-                     .filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind", "confidence"))
-        open_ = F.product(1 - F.coalesce("confidence", F.lit(0.0)))
-        scores = shared_table(graph.join(confident, ["pattern", "kind"], "left").groupBy("instance", "kind", "own").agg(open_.alias("open"))
-                              .select("instance", "kind", F.when(F.col("own") < CANDIDATE, 1.0).otherwise(1 - F.col("open")).alias("score"))
-                              .groupBy("instance", "kind").agg(F.max("score").alias("score")))
-    good = (graph.filter(F.col("own") == CANDIDATE).join(scores.filter(F.col("score") >= CONFIDENCE), ["instance", "kind"])
-            .groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("order"))).alias("best"))
+        F.xxhash64("left").alias("pattern"), F.xxhash64("found").alias("instance"), F.col("kind").alias("own"), "copies")
+                         .groupBy("pattern", "instance", "own").agg(F.sum("copies").alias("times")))
+    # Whatever is induced in any generation is among these.
+    able = shared_table(edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_SEEDS).select("pattern"))
+    if able.isEmpty():
+        return spark.createDataFrame([], "key long, start int, end int, kind int")
+    graph = shared_table(edges.join(shared_table(_uses(docs, able)), "pattern"))
+    base = F.col("own") < CANDIDATE
+    fits = (F.col("own") == F.col("kind")) | ~base
+    scores = shared_table(graph.filter(base).select("instance", F.col("own").alias("kind"), F.lit(1.0).alias("score")).distinct())
+    seeds, trusted = scores.count(), None
+    for _ in range(GENERATIONS):
+        support = (graph.join(scores.filter(F.col("score") >= CONFIDENCE), "instance").filter(fits)
+                   .groupBy("pattern", "kind").agg(F.sum("times").alias("times"), F.count_distinct("instance").alias("n")))
+        induced = (support.groupBy("pattern").agg(F.max(F.struct("times", "n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("times").alias("seeds"))
+                   .filter((F.col("best.n") >= LEAST_SEEDS) & (F.col("best.times") >= CONFIDENCE * F.col("seeds")))
+                   .select("pattern", (-F.col("best.order")).alias("kind")))
+        part = shared_table(graph.join(shared_table(induced), "pattern").filter(fits))
+        for _ in range(ROUNDS):
+            trusted = shared_table(part.join(scores, ["instance", "kind"]).groupBy("pattern", "kind", "uses")
+                                   .agg(F.sum(F.col("score") * F.col("times")).alias("sum"))
+                                   .withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("uses")))
+                                   .filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind", "confidence"))
+            reached = part.join(trusted, ["pattern", "kind"]).groupBy("instance", "kind").agg(
+                (1 - F.product(1 - F.col("confidence"))).alias("score"))
+            scores = shared_table(scores.unionByName(reached).groupBy("instance", "kind").agg(F.max("score").alias("score")))
+        now = scores.filter(F.col("score") >= CONFIDENCE).count()
+        if now == seeds:
+            break
+        seeds = now
+    good = (scores.filter(F.col("score") >= CONFIDENCE).groupBy("instance")
+            .agg(F.max(F.struct("score", (-F.col("kind")).alias("order"))).alias("best"))
             .select("instance", (-F.col("best.order")).alias("as_kind")))
     cued = trusted.select("pattern", F.col("kind").alias("as_kind"))
-    return (mentions.filter(F.col("kind") == CANDIDATE)
+    return (mentions.filter((F.col("kind") == CANDIDATE) & F.col("left").isNotNull())
             .withColumn("instance", F.xxhash64("found")).withColumn("pattern", F.xxhash64("left"))
-            .join(good, "instance").join(cued, ["pattern", "as_kind"])
+            .join(cued, "pattern").join(good, ["instance", "as_kind"])
             .select("key", "start", "end", F.col("as_kind").alias("kind")))
 
 
