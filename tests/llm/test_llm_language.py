@@ -101,3 +101,13 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "the", None)], "doc_id long, text string, lang string")
     assert [(r["lang_pred"], r["score"]) for r in language.identify(docs).collect()] == [("und", 0.0)]
     assert language.identify(docs.limit(0)).count() == 0
+
+
+def test_a_language_of_a_few_long_texts_is_learned(spark):
+    """Each text is far beyond the bound, so no draw would take one; the first drawn stays."""
+    words = {"xx": "zor zim zuq zaf", "yy": "bla ble blo blu"}
+    data = [(i, " ".join([w] * 2000), lang) for lang, w in words.items() for i in ((1, 2, 3) if lang == "xx" else range(10, 40))]
+    data += [(i, w, None) for i, w in ((100, "zim zaf zor"), (101, "blo blu bla"))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, sample_bytes=50).collect()}
+    assert got[100] == "xx" and got[101] == "yy"

@@ -136,8 +136,9 @@ def _code_lengths(tree, k: int, name: int, size: int) -> np.ndarray:
 def fit(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Trees | None:
     """Trees of the languages of ``docs`` (doc_id, text, lang) outside fold 0; None without any.
 
-    A hash of the id takes about ``sample_bytes`` of the texts of a language that has more: this
-    documented bound on the fitted rows also bounds the trees that go to every task.
+    A hash of the id takes about ``sample_bytes`` of the texts of a language that has more, one
+    text at least: this documented bound on the fitted rows also bounds the trees that go to
+    every task.
     """
     with scratch(docs.sparkSession):
         return _fit(docs, sample_bytes)
@@ -145,9 +146,11 @@ def fit(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Trees | None:
 
 def _fit(docs: DataFrame, sample_bytes: int) -> Trees | None:
     training = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").filter(fold() != 0).select("doc_id", "text", "lang")
-    sizes = shared_table(training.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    draw = fraction("language", "doc_id", "text")
+    sizes = shared_table(training.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(draw).alias("_least"))
                          .withColumn("_take", F.lit(float(sample_bytes)) / F.col("bytes")))
-    chosen = training.join(sizes.select("lang", "_take"), "lang").filter(fraction("language", "doc_id", "text") < F.col("_take"))
+    # A language of a few very long texts keeps the one that is drawn first.
+    chosen = training.join(sizes.select("lang", "_take", "_least"), "lang").filter((draw < F.col("_take")) | (draw == F.col("_least")))
 
     def strings(batches):
         for batch in batches:
