@@ -22,6 +22,7 @@ BITS = 4  # bitmap bits for each shingle at the upper end of a band
 FIRST, BEST, ALL = ROUNDS = ("first", "best", "all")  # the pairs of a tile that are tried, see _pairs
 BLOCK = 8192  # rows of a tile that meet in one task
 FILTER_BITS = 1 << 25  # 4 MB
+SALTS = 32  # tasks that share the nodes of a component when they get its smallest id
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -301,24 +302,29 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component, component_id, n_links.
+    """Per row of ``docs`` (doc_id, text): doc_id, key, n_shingles, component, component_id.
 
     Documents link when 100 * intersection >= 75 * union of their sets of five-word shingles.
     component_id is the smallest doc_id that can be reached by links, itself included. Equal sets
-    are one node, so copies cost one row; n_links counts the verified links of a node to other
-    nodes (links inside a component that is already known to be one are not all tried).
+    are one node, so copies cost one row. This is a search for components: a pair of sets that are
+    known to be in one component is not tried any more, so links are not counted.
 
     Sets are compared as 64-bit hashes. Null and empty texts have no set and link with nothing;
     rows with equal ids are separate documents; ``key`` is the hash of id and text, ``component``
     a hash that names the component where ids are null. An empty table gives an empty result.
     """
+    with scratch(docs.sparkSession):
+        return shared_table(_similar_documents(docs), stays=True)
+
+
+def _similar_documents(docs: DataFrame) -> DataFrame:
     rows = shared_table(profiles(docs))
     nodes = shared_table(rows.filter("n_shingles > 0").groupBy("node").agg(
         F.min("key").alias("key"), F.first("n_shingles").alias("n"),
         F.first("sample").alias("sample"), F.first("bitmap").alias("bitmap")))
     sets = shared_table(_chosen(nodes))
     tiles = shared_table(_tiles(sets))
-    labels = links = tried = None
+    labels = tried = None
     for which in ROUNDS:
         pairs = _pairs(tiles, labels, sets, which)
         if tried is not None:
@@ -327,21 +333,22 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         if which != FIRST and pairs.isEmpty():
             continue
         good = _verified(pairs, docs, sets)
-        tried, links = (pairs, good) if tried is None else (tried.unionByName(pairs), links.unionByName(good))
+        tried = pairs if tried is None else tried.unionByName(pairs)
         labels = _joined(labels, good)
-    degree = (links.select(F.col("a").alias("node")).union(links.select("b"))
-              .groupBy("node").agg(F.count("*").alias("n_links")))
     ids = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = (ids.join(labels, "node", "left").join(degree, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    whole = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(whole, "component").select("node", "component", "component_id", "n_links")
+    named = shared_table(ids.join(labels, "node", "left"))
+    # A component can hold a third of all nodes: its smallest id is summed up where the nodes are
+    # and goes back to them in SALTS copies. A node without links needs neither.
+    linked = named.filter("component IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    whole = linked.groupBy("component").agg(F.min("least").alias("component_id")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = linked.join(whole, ["component", "salt"]).select("node", "component", "component_id").unionByName(
+        named.filter("component IS NULL").select("node", F.col("node").alias("component"), F.col("least").alias("component_id")))
     # Empty sets get a name of their own, so that they do not meet in one task.
     left = rows.select("doc_id", "key", "n_shingles", F.coalesce("node", "key").alias("at"), F.col("node").isNull().alias("empty"))
-    return left.join(named, (left["at"] == named["node"]) & ~left["empty"], "left").select(
+    return left.join(known, (left["at"] == known["node"]) & ~left["empty"], "left").select(
         "doc_id", "key", "n_shingles", F.coalesce("component", "key").alias("component"),
-        F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        F.when(F.col("empty"), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
