@@ -172,6 +172,44 @@ def test_wkb(spark, text, valid):
     assert [r[0] for r in df.select(wkb_valid(F.col("g"))).collect()] == [valid, None]
 
 
+def test_wkb_against_the_reader_of_all_types(spark):
+    """Random geometries of every kind, order and dimension, whole, cut short, too long and with odd counts."""
+    import random
+    import struct
+
+    from wellspark.functions import wkb
+
+    rng, made = random.Random(4), []
+    for _ in range(600):
+        order = rng.choice("<>")
+        code, dims, srid = rng.choice([1, 2, 3, 3, 4, 9]), 2, b""
+        if rng.random() < 0.3:
+            level = rng.choice([1, 2, 3, 4])
+            code, dims = code + 1000 * level, 2 + (0, 1, 1, 2, 0)[level]
+        elif rng.random() < 0.4:
+            code, dims = code | wkb.Z_FLAG, 3
+        if rng.random() < 0.3:
+            code, srid = code | wkb.SRID_FLAG, b"\1\2\3\4"
+
+        def n(x):
+            return struct.pack(order + "I", x)
+
+        body, kind = b"", code & 0xFFFF
+        if kind % 1000 == 1:
+            body = bytes(8 * dims)
+        elif kind % 1000 == 2:
+            k = rng.randint(0, 4)
+            body = n(k) + bytes(8 * dims * k)
+        elif kind % 1000 == 3:
+            rings = [rng.randint(0, 5) for _ in range(rng.randint(0, 3))]
+            body = n(len(rings) + rng.choice([0, 0, 0, 1, 2**31])) + b"".join(n(r) + bytes(8 * dims * r) for r in rings)
+        data = bytes([order == "<"]) + n(code) + srid + body
+        made.append(rng.choice([data, data, data, data[:-1], data + b"\0", data[:rng.randint(0, len(data))], b"\2" + data[1:]]))
+    got = spark.createDataFrame([(i, bytearray(d)) for i, d in enumerate(made)], "i int, g binary").select("i", wkb_valid(F.col("g")).alias("ok")).collect()
+    want = {i: wkb._is_valid(d) for i, d in enumerate(made)}
+    assert {r["i"]: r["ok"] for r in got} == want and 100 < sum(want.values()) < 500
+
+
 def test_publish_keeps_the_old_version_on_failure(spark, rows, tmp_path):
     target = str(tmp_path / "t")
     first = spark.range(5)

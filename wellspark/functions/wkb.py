@@ -66,17 +66,47 @@ def _wkb_valid(values: pd.Series) -> pd.Series:
     return values.map(_is_valid).astype("object")
 
 
-# Byte order and type code of a point in two dimensions, in either order.
-_POINTS = ("0101000000", "0000000001")
-_POINT_BYTES = 21
+def _number(data: Column, at: Column, big: Column) -> Column:
+    """The four bytes at an offset as a number; NULL where they are not all there."""
+    digits = F.hex(F.substring(data, at + 1, F.lit(4)))
+    turned = F.concat(*[F.substring(digits, i, 2) for i in (7, 5, 3, 1)])
+    return F.when(F.length(data) >= at + 4, F.conv(F.when(big, digits).otherwise(turned), 16, 10).cast("long"))
+
+
+def _simple(data: Column) -> tuple[Column, Column]:
+    """Whether a geometry is a point, line or polygon, and whether its bytes are one whole one.
+
+    A polygon's rings are gone through by their counts: each tells where the next one begins.
+    """
+    big = F.substring(data, 1, 1) == F.lit(bytearray(b"\0"))
+    ordered = big | (F.substring(data, 1, 1) == F.lit(bytearray(b"\1")))
+    code, size = _number(data, F.lit(1), big), F.length(data).cast("long")
+
+    def flag(bit: int) -> Column:
+        return (code.bitwiseAND(F.lit(bit)) != 0).cast("long")
+
+    flat = code.bitwiseAND(F.lit(0x0FFFFFFF))
+    level = F.floor(flat / 1000)
+    kind = F.when(level <= 3, flat % 1000)
+    width = 8 * (2 + flag(Z_FLAG) + flag(M_FLAG) + F.when(level == 0, 0).when(level == 3, 2).otherwise(1))
+    head = 5 + 4 * flag(SRID_FLAG)
+    count = _number(data, head.cast("int"), big)
+    # A ring is four bytes at least, so no more of them are looked for than can be there.
+    rings = F.sequence(F.lit(1).cast("long"), F.least(count, F.floor(size / 4) + 1))
+    polygon = F.when(count == 0, head + 4).otherwise(F.aggregate(rings, head + 4, lambda at, _: F.when(
+        at + 4 <= size, at + 4 + width * _number(data, at.cast("int"), big)).otherwise(F.lit(-1).cast("long"))))
+    end = F.when(kind == POINT, head + width).when(kind == LINE, head + 4 + width * count).when(
+        (kind == POLYGON) & (count <= size), polygon)
+    simple = ordered & kind.isin(POINT, LINE, POLYGON)
+    return F.coalesce(simple, F.lit(False)), F.coalesce(end == size, F.lit(False))
 
 
 def wkb_valid(column: Column) -> Column:
     """True when the bytes are one whole geometry; NULL for NULL.
 
-    Points, the usual case, are known by their first bytes and their length; only other types
-    are read through in Python.
+    Points, lines and polygons are measured by built-in functions; only collections, whose members
+    are geometries of their own, are read through in Python.
     """
-    is_point = F.hex(F.substring(column, 1, 5)).isin(*_POINTS)
-    return F.when(is_point, F.length(column) == _POINT_BYTES).otherwise(
-        _wkb_valid(F.when(~is_point, column)))
+    simple, whole = _simple(column)
+    return F.when(column.isNull(), F.lit(None).cast("boolean")).when(simple, whole).otherwise(
+        _wkb_valid(F.when(~simple, column)))
