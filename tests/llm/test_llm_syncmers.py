@@ -96,3 +96,42 @@ def test_likeness_bounds():
     none = np.zeros(0, np.uint32)
     assert s.likeness(a, a) == 1 and s.likeness(none, none) == 1 and s.likeness(a, none) == 0 and 0 <= s.likeness(a, b) < 0.1
     assert (s.decode(s.encode(a)) == a).all()
+
+
+def naive_likeness(a, b):
+    """k-th occurrences matched, longest rising run by trying all predecessors."""
+    seen, where = {}, {}
+    for i, h in enumerate(b):
+        where[h, sum(x == h for x in b[:i])] = i
+    pairs = []
+    for h in a:
+        k = seen[h] = seen.get(h, -1) + 1
+        if (h, k) in where:
+            pairs.append(where[h, k])
+    best = []
+    for i, p in enumerate(pairs):
+        best.append(1 + max((best[j] for j in range(i) if pairs[j] < p), default=0))
+    return 2 * max(best, default=0) / (len(a) + len(b)) if a or b else 1.0
+
+
+def bag(a, b):
+    return 2 * sum(min(a.count(h), b.count(h)) for h in set(a)) / max(1, len(a) + len(b))
+
+
+def test_likeness_by_order_against_brute_force():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = [rng.randint(0, 12) for _ in range(rng.randint(0, 25))]
+        b = rng.choice([[rng.randint(0, 12) for _ in range(rng.randint(0, 25))], a[len(a) // 2:] + a[:len(a) // 2], a[:5] + a[9:], a[::-1]])
+        got = s.likeness(np.array(a, np.uint32), np.array(b, np.uint32))
+        assert got == pytest.approx(naive_likeness(a, b)) and got <= bag(a, b) + 1e-12 or not a + b
+        assert got == pytest.approx(s.likeness(np.array(b, np.uint32), np.array(a, np.uint32)))
+
+
+def test_moved_passages_count_on_one_side():
+    """A text whose passages are swapped has all anchors of the old one, but only the larger part in order."""
+    first, second = some(3000, 1), some(1500, 2)
+    a, b = (s.anchors(t)[1] for t in (first + second, second + first))
+    assert bag(a.tolist(), b.tolist()) > 0.95 and 0.6 < s.likeness(a, b) < 0.72
+    c = s.anchors(first[:1000] + some(200, 9) + first[1000:] + second)[1]
+    assert s.likeness(a, c) > 0.95

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -95,14 +96,39 @@ def decode(fingerprint: str) -> np.ndarray:
     return np.frombuffer(base64.b64decode(fingerprint), "<u4")
 
 
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Each anchor with the number of its occurrence, so that none repeats."""
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.r_[True, hashes[order][1:] != hashes[order][:-1]])
+    number = np.empty(len(hashes), np.uint64)
+    number[order] = np.arange(len(hashes)) - np.repeat(first, np.diff(np.r_[first, len(hashes)]))
+    return hashes.astype(np.uint64) << np.uint64(32) | number
+
+
+def _rising(places: np.ndarray) -> int:
+    """Length of the longest rising subsequence of distinct numbers."""
+    if (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []  # smallest last number of a rising subsequence of each length
+    for p in places.tolist():
+        at = bisect_left(ends, p)
+        ends[at:at + 1] = [p]
+    return len(ends)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Twice the number of common anchors, repeats included, over that of all; two empty texts: 1."""
+    """Twice the number of anchors that both have in the same order, over that of all; two empty texts: 1.
+
+    The k-th occurrence of an anchor is matched with the k-th one, and of the matches the longest
+    run in order counts: a passage that has moved counts on one side of what it moved over. What
+    both have in any order bounds it from above.
+    """
     if not len(a) + len(b):
         return 1.0
-    x, n = np.unique(a, return_counts=True)
-    y, m = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    return 2 * int(np.minimum(n[i], m[j]).sum()) / (len(a) + len(b))
+    if not len(a) or not len(b):
+        return 0.0
+    _, i, j = np.intersect1d(_numbered(a), _numbered(b), assume_unique=True, return_indices=True)
+    return 2 * _rising(j[np.argsort(i)]) / (len(a) + len(b)) if len(i) else 0.0
 
 
 def aligned(a: str, b: str) -> tuple[int, float]:
