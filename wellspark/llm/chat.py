@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import groupby
 
 import numpy as np
@@ -61,7 +62,7 @@ for _r, _table in enumerate(STEPS):
 ENDING = {START: (), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,), ASSISTANT: ()}
 
 
-def cost_matrix(roles: list[int]) -> np.ndarray:
+def cost_matrix(roles: Iterable[int]) -> np.ndarray:
     """Least cost from every state before the turns to every state after them."""
     out = np.where(np.eye(4, dtype=bool), 0, FAR)
     for r in roles:
@@ -129,7 +130,9 @@ def format_conversations(turns: DataFrame, slice_size: int = SLICE) -> DataFrame
     ids = f"conv_id {kinds['conv_id']}, part long"
     part = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / slice_size).cast("long")
     rows = turns.select("conv_id", part.alias("part"), "turn", "role", "text")
-    dealt = rows.repartition(partitions(spark), "conv_id", "part").sortWithinPartitions("conv_id", "part", "turn", "role", "text")
+    # Costs follow from the roles, whose order among equal turn numbers the texts do not change.
+    dealt = (rows.select("conv_id", "part", "turn", "role").repartition(partitions(spark), "conv_id", "part")
+             .sortWithinPartitions("conv_id", "part", "turn", "role"))
 
     def groups(batches, columns: int):
         """(key, rows) of each conversation and part, also where it spans batches."""
@@ -140,8 +143,13 @@ def format_conversations(turns: DataFrame, slice_size: int = SLICE) -> DataFrame
         return groupby(each(), key=lambda r: r[:2])
 
     def matrices(batches):
-        out = [(*k, cost_matrix([role_of(r[2]) for r in g]).ravel().tolist()) for k, g in groups(batches, 3)]
-        yield _batch(out, schema(kinds["conv_id"], [("costs", pa.list_(pa.int64()))]))
+        out, kind = [], schema(kinds["conv_id"], [("costs", pa.list_(pa.int64()))])
+        for k, g in groups(batches, 3):
+            out.append((*k, cost_matrix(role_of(r[2]) for r in g).ravel().tolist()))
+            if len(out) == 1000:
+                yield _batch(out, kind)
+                out = []
+        yield _batch(out, kind)
 
     costs = shared_table(dealt.select("conv_id", "part", "role").mapInArrow(matrices, f"{ids}, costs array<long>"))
 
@@ -150,12 +158,15 @@ def format_conversations(turns: DataFrame, slice_size: int = SLICE) -> DataFrame
             for batch in batches:
                 yield from zip(*(batch.column(i).to_pylist() for i in range(3)))
 
-        out = []
+        out, kind = [], schema(kinds["conv_id"], [("first", pa.int32()), ("last", pa.int32()), ("ends", pa.bool_())])
         for conv, g in groupby(each(), key=lambda r: r[0]):
             g = list(g)
             states = best_states([np.array(r[2], np.int64).reshape(4, 4) for r in g], end_costs())
             out += [(conv, r[1], states[i], states[i + 1], i == len(g) - 1) for i, r in enumerate(g)]
-        yield _batch(out, schema(kinds["conv_id"], [("first", pa.int32()), ("last", pa.int32()), ("ends", pa.bool_())]))
+            if len(out) > 1000:
+                yield _batch(out, kind)
+                out = []
+        yield _batch(out, kind)
 
     states = (costs.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "part")
               .mapInArrow(solved, f"{ids}, first int, last int, ends boolean")
