@@ -219,8 +219,9 @@ def test_bootstrapping_against_plain_python(documents, seed):
     assert got == want
 
 
-def test_patterns_beyond_a_broadcast(documents, monkeypatch):
-    monkeypatch.setattr(pii, "BROADCAST", 0)
+@pytest.mark.parametrize("bits", [8, 1 << 16])
+def test_full_bitmaps_change_nothing(documents, monkeypatch, bits):
+    monkeypatch.setattr(pii, "BITS", bits)
     ids, data = badges(random.Random(5))
     out = {r["doc_id"]: r["n_added"] for r in pii.personal_data(documents(data)).collect()}
     assert sum(out.values()) == 8 + 24 + 1

@@ -24,7 +24,7 @@ LEAST_SEEDS = 5  # different base finds that a pattern needs
 CONFIDENCE = 0.8  # of a pattern and of a discovery
 ROUNDS = 3  # of scoring in a generation
 GENERATIONS = 6  # of seeds at most; one that adds none is the last
-BROADCAST = 500_000  # patterns (8 bytes each) that are sent to every task
+BITS = 1 << 20  # of the bitmap of patterns
 
 
 def _mentions(text: Column, kind: int) -> Column:
@@ -92,16 +92,30 @@ def find_mentions(docs: DataFrame) -> DataFrame:
     return rows.withColumn("touched", touched).filter((F.col("kind") < CANDIDATE) | ~F.col("touched")).drop("touched")
 
 
+def _bitmap(patterns: DataFrame) -> DataFrame:
+    """One row: the bits of the patterns' hashes modulo BITS, as bytes. Of one size for any number of patterns."""
+    spark = patterns.sparkSession
+    bit = patterns.select(F.pmod("pattern", F.lit(BITS)).alias("bit"))
+    cells = bit.groupBy(F.shiftright("bit", 3).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.pmod("bit", F.lit(8)).cast("int"))).alias("v"))
+    places = spark.range(BITS // 8).join(cells, "id", "left").select(F.struct("id", F.coalesce("v", F.lit(0)).alias("v")).alias("x"))
+    digits = F.transform(F.array_sort(F.collect_list("x")), lambda x: F.lpad(F.hex(x["v"]), 2, "0"))
+    return places.agg(F.unhex(F.array_join(digits, "")).alias("bits"))
+
+
 def _uses(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """How often the two words of each pattern (a hash) are followed by a word, in all texts."""
+    """How often the two words of each pattern (a hash) are followed by a word, in all texts.
+
+    A bitmap of the patterns lets most other pairs of words fall out where they are read; what is
+    left is counted there and meets the patterns as a sum.
+    """
     words = F.split(F.btrim(F.lower(F.coalesce("text", F.lit(""))), F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
     texts = docs.select(words.alias("words")).filter(F.size("words") > 2)
     pairs = texts.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - 2), lambda i: F.xxhash64(
         F.concat_ws(" ", F.element_at("words", i), F.element_at("words", i + 1))))).alias("pattern"))
-    if patterns.limit(BROADCAST + 1).count() <= BROADCAST:
-        return pairs.join(F.broadcast(patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("uses"))
-    # Too many to send to every task: all pairs are counted where they are before they meet them.
-    return pairs.groupBy("pattern").agg(F.count("*").alias("uses")).join(patterns, "pattern")
+    bit, bits = F.pmod("pattern", F.lit(BITS)), shared_table(_bitmap(patterns)).select("bits").scalar()
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(bit, F.lit(8)).cast("int"))) != 0
+    return pairs.filter(marked).groupBy("pattern").agg(F.count("*").alias("uses")).join(patterns, "pattern")
 
 
 def discover(docs: DataFrame, mentions: DataFrame) -> DataFrame:
@@ -123,27 +137,29 @@ def discover(docs: DataFrame, mentions: DataFrame) -> DataFrame:
     edges = shared_table(mentions.filter("left IS NOT NULL").select(
         F.xxhash64("left").alias("pattern"), F.xxhash64("found").alias("instance"), F.col("kind").alias("own"), "copies")
                          .groupBy("pattern", "instance", "own").agg(F.sum("copies").alias("times")))
-    # Whatever is induced in any generation is among these.
-    able = shared_table(edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_SEEDS).select("pattern"))
-    if able.isEmpty():
-        return spark.createDataFrame([], "key long, start int, end int, kind int")
-    graph = shared_table(edges.join(shared_table(_uses(docs, able)), "pattern"))
+    none = spark.createDataFrame([], "key long, start int, end int, kind int")
     base = F.col("own") < CANDIDATE
     fits = (F.col("own") == F.col("kind")) | ~base
-    scores = shared_table(graph.filter(base).select("instance", F.col("own").alias("kind"), F.lit(1.0).alias("score")).distinct())
-    seeds, trusted = scores.count(), None
+    scores = shared_table(edges.filter(base).select("instance", F.col("own").alias("kind"), F.lit(1.0).alias("score")).distinct())
+    seeds, uses, trusted = scores.count(), spark.createDataFrame([], "pattern long, uses long"), None
     for _ in range(GENERATIONS):
-        support = (graph.join(scores.filter(F.col("score") >= CONFIDENCE), "instance").filter(fits)
+        support = (edges.join(scores.filter(F.col("score") >= CONFIDENCE), "instance").filter(fits)
                    .groupBy("pattern", "kind").agg(F.sum("times").alias("times"), F.count_distinct("instance").alias("n")))
-        induced = (support.groupBy("pattern").agg(F.max(F.struct("times", "n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("times").alias("seeds"))
-                   .filter((F.col("best.n") >= LEAST_SEEDS) & (F.col("best.times") >= CONFIDENCE * F.col("seeds")))
-                   .select("pattern", (-F.col("best.order")).alias("kind")))
-        part = shared_table(graph.join(shared_table(induced), "pattern").filter(fits))
+        induced = shared_table(support.groupBy("pattern").agg(
+            F.max(F.struct("times", "n", (-F.col("kind")).alias("order"))).alias("best"), F.sum("times").alias("seeds"))
+            .filter((F.col("best.n") >= LEAST_SEEDS) & (F.col("best.times") >= CONFIDENCE * F.col("seeds")))
+            .select("pattern", (-F.col("best.order")).alias("kind")))
+        new = shared_table(induced.select("pattern").join(uses, "pattern", "left_anti"))
+        if not new.isEmpty():
+            uses = shared_table(uses.unionByName(_uses(docs, new)))
+        part = shared_table(edges.join(induced, "pattern").filter(fits).join(uses, "pattern"))
         for _ in range(ROUNDS):
             trusted = shared_table(part.join(scores, ["instance", "kind"]).groupBy("pattern", "kind", "uses")
                                    .agg(F.sum(F.col("score") * F.col("times")).alias("sum"))
                                    .withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("uses")))
                                    .filter(F.col("confidence") >= CONFIDENCE).select("pattern", "kind", "confidence"))
+            if trusted.isEmpty():
+                return none
             reached = part.join(trusted, ["pattern", "kind"]).groupBy("instance", "kind").agg(
                 (1 - F.product(1 - F.col("confidence"))).alias("score"))
             scores = shared_table(scores.unionByName(reached).groupBy("instance", "kind").agg(F.max("score").alias("score")))
