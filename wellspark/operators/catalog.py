@@ -62,7 +62,8 @@ def instance_catalog(df: DataFrame, lookup: DataFrame, base_url: str,
                      path: str = "file_path") -> DataFrame:
     """One row per instance file: span, rows, rows per label phase, and published address.
 
-    The address is the folder that ``write_observations`` gives the instance.
+    The address is the folder that ``write_observations`` gives the instance; where instances share
+    files, ``readers.instance_rows`` finds the rows of an address by the zone map.
 
     Rows are counted per path before the path is parsed, so the expressions run once per file.
     Transient rows are NULL for classes that have no transient phase.
