@@ -277,3 +277,17 @@ def test_csv_by_name_of_odd_files(spark, rows, tmp_path):
     (tmp_path / "packed.csv.gz").write_bytes(gzip.compress(b"c,b,a\n9,8,7\n"))
     schema = T.StructType([T.StructField(n, T.IntegerType()) for n in "ab"])
     assert rows(readers.read_csv_by_name(spark, [str(tmp_path)], schema)) == [(1, 2), (3, None), (7, 8)]
+
+
+def test_many_instances_share_files_and_are_found_by_the_zone_map(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FOLDERS", 20)
+    df = spark.range(900).selectExpr("concat('WELL-', id % 90) as instance_id", "cast(id % 3 as int) as event_class",
+                                     "timestamp_seconds(id) as timestamp", "id as x")
+    root = str(tmp_path / "observations")
+    listed = writers.write_observations(df, root)
+    assert {p.split("/")[0] for p in listed} == {f"event_class={c}" for c in range(3)} and len(listed) <= 6
+    assert rows(spark.read.parquet(root), "x", "instance_id") == rows(df, "x", "instance_id")
+    catalog = df.select("instance_id", "event_class", F.format_string(f"{root}/event_class=%d/instance=%s", "event_class", "instance_id").alias("source_url"))
+    assert rows(readers.instance_rows(catalog, "WELL-7"), "x") == rows(df.where("instance_id = 'WELL-7'"), "x")
+    few = str(tmp_path / "few")
+    assert len({p.rsplit("/", 1)[0] for p in writers.write_observations(df.where("id % 90 < 20"), few)}) == 20

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspark.functions.columns import quoted
-from wellspark.sources.files import first_lines, list_files, read_manifest
+from wellspark.sources.files import exists, first_lines, list_files, read_manifest
+from wellspark.sources.zones import ZONES, scan_zones
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
@@ -100,14 +101,23 @@ def one_entity(df: DataFrame, column: str, value) -> DataFrame:
 
 
 def instance_rows(catalog: DataFrame, instance_id: str) -> DataFrame:
-    """Rows of one instance, read from the addresses that the catalog has for it."""
-    found = catalog.where(F.col("instance_id") == instance_id).select("source_url").distinct()
+    """Rows of one instance, read from the addresses that the catalog has for it.
+
+    Where instances share files there is no folder at an address: the zone map then names the
+    files that cover the instance.
+    """
+    spark = catalog.sparkSession
+    found = catalog.where(F.col("instance_id") == instance_id).select("source_url", "event_class").distinct()
     # One address per event class.
-    addresses = [r["source_url"] for r in found.collect()]
+    classes = {r["source_url"]: r["event_class"] for r in found.collect()}
+    addresses = list(classes)
     if not addresses:
         raise FileNotFoundError(f"the catalog has no instance {instance_id}")
     root = addresses[0].rsplit("/event_class=", 1)[0]
-    return catalog.sparkSession.read.option("basePath", root).parquet(*addresses).drop("instance")
+    if exists(spark, f"{root}/{ZONES}"):
+        shared = scan_zones(spark, root, "instance_id", "timestamp", (instance_id, instance_id))
+        return shared.where(F.col("event_class").isin(list(classes.values())))
+    return spark.read.option("basePath", root).parquet(*addresses).drop("instance")
 
 
 def file_sizes(spark: SparkSession, root: str) -> DataFrame:
