@@ -290,3 +290,16 @@ def test_only_values_near_the_quantiles_are_counted(spark):
     numbers = spark.range(200_000).select(F.lit(1).alias("k"), (F.xxhash64("id") / 1e3).alias("_v"), F.lit(1).cast("long").alias("_w"))
     counts, targets = _bracketed(numbers, ["k"], {"q25": 0.25, "q50": 0.5, "q75": 0.75}, MARGIN)
     assert counts.count() < 0.05 * 200_000 and targets.count() == 6
+
+
+@pytest.mark.parametrize("build", [
+    lambda a: profile.field_agreement(a, a.withColumn("x", F.col("x") + F.col("key") % 2), "key")])
+def test_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch, build):
+    """Rows are dealt out by key once, and what follows counts in the same tasks."""
+    from wellspark.operators import slices
+
+    monkeypatch.setattr(slices, "ROWS_PER_TASK", 100)
+    plan = build(spark.range(1000).selectExpr("id as key", "cast(id % 5 as decimal(18,2)) as x"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(key") + text.count("Exchange hashpartitioning(npd_wellbore_code") == 1
+    assert ", 20), REPARTITION_BY_NUM" in text

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from wellspark.functions.columns import quoted
 from wellspark.operators.quantiles import exact_quantiles
+from wellspark.operators.slices import dealt_by
 
 
 def _rows(structs: list[Column]) -> Column:
@@ -87,7 +88,8 @@ def field_agreement(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     NULL agrees with NULL, and values of different types as far as Spark's common type of both
     makes them equal (1 and 1.0, a day and its midnight, both zeros). Equal cells, as 64-bit
     hashes, are counted per key and side, and the pairs follow from the counts, so repeated keys
-    do not multiply rows.
+    do not multiply rows. Rows of hashes are dealt out by key once, to tasks of a bounded number
+    of rows that count them.
     """
     shared = sorted((set(left.columns) & set(right.columns)) - {key})
     common = left.select(*[quoted(c) for c in shared]).limit(0).union(right.select(*[quoted(c) for c in shared]).limit(0))
@@ -98,14 +100,16 @@ def field_agreement(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
             value = value + F.lit(0.0)
         return F.xxhash64(value, value.isNull()).alias(field.name)
 
-    def cells(df: DataFrame, side: str, other: str) -> DataFrame:
-        hashed = df.where(quoted(key).isNotNull()).select(quoted(key), *[cell(f) for f in common.schema])
-        return hashed.unpivot([key], shared, "column_name", "_value").groupBy(
-            quoted(key), "column_name", "_value").agg(F.count(F.lit(1)).alias(side)
-        ).withColumn(other, F.lit(0).cast("long"))
+    def hashed(df: DataFrame, in_left: int) -> DataFrame:
+        return df.where(quoted(key).isNotNull()).select(
+            quoted(key), *[cell(f) for f in common.schema], F.lit(in_left).cast("long").alias("_l"),
+            F.lit(1 - in_left).cast("long").alias("_r"))
 
+    # Exploding, unlike unpivot, leaves the rows known as dealt out by key.
     matched = (
-        cells(left, "_l", "_r").unionByName(cells(right, "_r", "_l"))
+        dealt_by(hashed(left, 1).unionByName(hashed(right, 0)), quoted(key))
+        .select(quoted(key), "_l", "_r", _rows([
+            F.struct(F.lit(c).alias("column_name"), quoted(c).alias("_value")) for c in shared]))
         .groupBy(quoted(key), "column_name", "_value")
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
         .groupBy(quoted(key), "column_name")
