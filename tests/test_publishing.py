@@ -291,3 +291,18 @@ def test_many_instances_share_files_and_are_found_by_the_zone_map(spark, rows, t
     assert rows(readers.instance_rows(catalog, "WELL-7"), "x") == rows(df.where("instance_id = 'WELL-7'"), "x")
     few = str(tmp_path / "few")
     assert len({p.rsplit("/", 1)[0] for p in writers.write_observations(df.where("id % 90 < 20"), few)}) == 20
+
+
+def test_a_large_partition_folder_is_divided_among_tasks(spark, tmp_path):
+    df = spark.range(4000, numPartitions=8).selectExpr("cast(id % 4000 = 0 as int) as part", "id", "uuid() as x")
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    writers.write_folders(df, few, "part")
+    assert len(files.write_manifest(spark, few)) == 2
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "20k")
+    try:
+        writers.write_folders(df, many, "part")
+    finally:
+        spark.conf.unset(size)
+    listed = files.write_manifest(spark, many)
+    assert len([p for p in listed if p.startswith("part=0/")]) > 3 and spark.read.parquet(many).count() == 4000

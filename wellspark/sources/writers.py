@@ -46,6 +46,11 @@ def write_table(df: DataFrame, path: str, order: list[str], compression: str = "
     df.hint("rebalance").orderBy(*[quoted(c) for c in order]).write.option("compression", compression).parquet(path)
 
 
+def write_folders(df: DataFrame, path: str, partition: str) -> None:
+    """Partition folders in no order inside. A small folder is one file; a large one is divided among tasks at run time."""
+    df.hint("rebalance", quoted(partition)).write.partitionBy(partition).parquet(path)
+
+
 ROWS_PER_FILE = 2_500_000  # a file has less than twice as many, see ``planned``
 
 
