@@ -13,7 +13,7 @@ from wellspark.operators.master import merge_master, modal_attributes
 from wellspark.operators.quantiles import exact_quantiles
 from wellspark.operators.rollup import sums_by_dimension, top
 from wellspark.operators.splits import assign_fold, leave_one_out
-from wellspark.plans import logs, production
+from wellspark.plans import field, logs, production
 
 
 def one(spark, **values):
@@ -293,7 +293,10 @@ def test_only_values_near_the_quantiles_are_counted(spark):
 
 
 @pytest.mark.parametrize("build", [
-    lambda a: profile.field_agreement(a, a.withColumn("x", F.col("x") + F.col("key") % 2), "key")])
+    lambda a: profile.field_agreement(a, a.withColumn("x", F.col("x") + F.col("key") % 2), "key"),
+    lambda a: field.daily_against_monthly(
+        a.selectExpr("key as npd_wellbore_code", "date'2001-02-03' as date", "x as oil_volume", "x as gas_volume"),
+        a.selectExpr("key as npd_wellbore_code", "date'2001-02-01' as date", "x as oil_volume_sm3", "x as gas_volume_sm3"))])
 def test_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch, build):
     """Rows are dealt out by key once, and what follows counts in the same tasks."""
     from wellspark.operators import slices

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import month_start, rounded
-from wellspark.operators.parity import side_by_side
 from wellspark.operators.quantiles import exact_quantiles
+from wellspark.operators.slices import dealt_by
 from wellspark.session import keep
 from wellspark.operators.rollup import sums_by_dimension, top
 
@@ -134,15 +134,17 @@ def monthly_trend(monthly: DataFrame, wells: DataFrame) -> DataFrame:
 def daily_against_monthly(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     """Per well and month: daily volumes summed, the reported figure, and the difference.
 
-    Months that only one side has are kept.
+    Months that only one side has are kept. Rows of both sides are dealt out by well and month
+    once, to tasks of a bounded number of rows that add them up.
     """
-    summed = daily.groupBy(CODE, month_start(F.col("date")).alias("date")).agg(
-        F.sum("oil_volume").alias("oil"), F.sum("gas_volume").alias("gas"))
-    kinds = dict(summed.dtypes)
-    reported = monthly.groupBy(CODE, "date").agg(
-        F.sum("oil_volume_sm3").cast(kinds["oil"]).alias("oil"),
-        F.sum("gas_volume_sm3").cast(kinds["gas"]).alias("gas"))
-    sides = side_by_side({"daily": summed, "monthly": reported}, [CODE, "date"], ["oil", "gas"])
+    days = daily.select(CODE, month_start(F.col("date")).alias("date"), F.col("oil_volume").alias("daily_oil"),
+                        F.col("gas_volume").alias("daily_gas"))
+    months = monthly.select(CODE, "date", F.col("oil_volume_sm3").alias("monthly_oil"), F.col("gas_volume_sm3").alias("monthly_gas"))
+    both = dealt_by(days.unionByName(months, allowMissingColumns=True), F.col(CODE), F.col("date"))
+    sums = both.groupBy(CODE, "date").agg(*[
+        F.sum(f"{side}_{v}").alias(f"{side}_{v}") for v in ("oil", "gas") for side in ("daily", "monthly")])
+    kinds = dict(sums.dtypes)
+    sides = sums.withColumns({f"monthly_{v}": F.col(f"monthly_{v}").cast(kinds[f"daily_{v}"]) for v in ("oil", "gas")})
     return sides.withColumn("oil_difference", F.col("daily_oil") - F.col("monthly_oil")).withColumn(
         "gas_difference", F.col("daily_gas") - F.col("monthly_gas"))
 
