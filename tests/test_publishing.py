@@ -321,3 +321,14 @@ def test_folders_of_several_files_count_once(spark, tmp_path, name):
     finally:
         spark.conf.unset(size)
     assert (got["n_oversized"], got["n_rows"]) == (3, 20_000) if name == "oversized_files" else got["differences"] == 2
+
+
+def test_copies_are_sorted_once(spark, tmp_path):
+    once, n = counting(spark, spark.range(3000).selectExpr("(id * 7919) % 3000 as id", "1 as x"))
+    paths = {codec: str(tmp_path / codec) for codec in ("gzip", "none", "snappy")}
+    writers.write_copies(once, paths, ["id"], rows_per_file=1000)
+    # Counted, sampled and sorted; not once more for each copy.
+    assert n.value <= 3 * 3000
+    for path in paths.values():
+        found = spans(spark, path, "id")
+        assert sum(r["n"] for r in found) == 3000 and all(a["hi"] < b["lo"] for a, b in zip(found, found[1:]))

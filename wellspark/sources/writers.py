@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -46,6 +47,22 @@ def write_table(df: DataFrame, path: str, order: list[str], compression: str = "
     df.hint("rebalance").orderBy(*[quoted(c) for c in order]).write.option("compression", compression).parquet(path)
 
 
+def write_copies(df: DataFrame, paths: dict[str, str], order: list[str], rows_per_file: int = 1_000_000) -> None:
+    """The same folder in total order under several codecs, ``{codec: path}``.
+
+    The rows are counted, dealt out and sorted once, and stay on the executors' disks until all
+    copies are written.
+    """
+    columns = [quoted(c) for c in order]
+    files = max(1, -(-df.count() // rows_per_file))
+    rows = df.repartitionByRange(files, *columns).sortWithinPartitions(*columns).persist(StorageLevel.DISK_ONLY)
+    try:
+        for compression, path in paths.items():
+            rows.write.option("compression", compression).parquet(path)
+    finally:
+        rows.unpersist()
+
+
 def write_folders(df: DataFrame, path: str, partition: str) -> None:
     """Partition folders in no order inside. A small folder is one file; a large one is divided among tasks at run time."""
     df.hint("rebalance", quoted(partition)).write.partitionBy(partition).parquet(path)
