@@ -293,6 +293,19 @@ def test_many_instances_share_files_and_are_found_by_the_zone_map(spark, rows, t
     assert len({p.rsplit("/", 1)[0] for p in writers.write_observations(df.where("id % 90 < 20"), few)}) == 20
 
 
+def test_small_files_are_written_many_to_a_task(spark, tmp_path):
+    df = spark.range(2500).selectExpr("cast(id % 2 as int) as year", "cast(id % 1250 as int) as well", "id as at")
+    cells = planning.count_cells(df, ["year"], "well", "at")
+    with planning.planned(cells, ["year"], 10) as plan:
+        assert plan.tasks <= planning.MOST_TASKS
+    root = str(tmp_path / "t")
+    writers.write_partitioned(df, root, ["year"], ["well", "at"], rows_per_file=10, cells=cells)
+    for year in (0, 1):
+        found = spans(spark, f"{root}/year={year}", "well", "at")
+        assert sum(r["n"] for r in found) == 1250 and max(r["n"] for r in found) <= 10
+        assert all(a["hi"] < b["lo"] for a, b in zip(found, found[1:]))
+
+
 def test_a_large_partition_folder_is_divided_among_tasks(spark, tmp_path):
     df = spark.range(4000, numPartitions=8).selectExpr("cast(id % 4000 = 0 as int) as part", "id", "uuid() as x")
     few, many = str(tmp_path / "few"), str(tmp_path / "many")

@@ -20,6 +20,9 @@ from wellspark.operators.slices import STEPS, slice_of
 from wellspark.session import shared_folder
 from wellspark.sources.files import discard
 
+# Small files are written many to a task: tasks become larger than a file where there would be more
+# of them than this, up to so many rows.
+MOST_TASKS, ROWS_PER_TASK = 240, 2_500_000
 RANGE = 1000  # whole-numbered entities are counted in ranges of so many, unless a range is large
 _WHOLE = ("bigint", "int", "smallint", "tinyint")
 
@@ -97,8 +100,9 @@ def planned(cells: DataFrame, partition: list[str], rows_per_task: int, tasks: i
 
     A range of entities of at most ``rows_per_task`` rows goes to one task, and so does a cell of
     a larger range; a larger cell is divided by time. A task has less than twice as many rows,
-    unless the rows of one slice of one entity crowd together. ``tasks`` asks for a number of
-    tasks instead. Tables of numbers only: Spark broadcasts them where they are small.
+    unless the rows of one slice of one entity crowd together. Where that would be more than
+    ``MOST_TASKS``, a task has more rows, for the writer to cut into files. ``tasks`` asks for a
+    number of tasks instead. Tables of numbers only: Spark broadcasts them where they are small.
     """
     spark = cells.sparkSession
     folder = shared_folder(spark)
@@ -119,7 +123,10 @@ def planned(cells: DataFrame, partition: list[str], rows_per_task: int, tasks: i
         places = _matched(ranges.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))), folders, partition, "inner")
         places = written(places.select(*keys, "_range", "_n", (F.col("_start") + F.col("_before")).alias("_start")), "ranges")
         rows, most = places.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
-        rows_per_task = max(1, -(-rows // tasks)) if tasks else rows_per_task
+        if tasks:
+            rows_per_task = max(1, -(-rows // tasks))
+        else:
+            rows_per_task = max(rows_per_task, min(ROWS_PER_TASK, -(-rows // MOST_TASKS)))
         whole = places.where(F.col("_n") <= rows_per_task).select(
             *keys, "_range", F.floor(F.col("_start") / rows_per_task).cast("int").alias("_range_task"))
         fine = None

@@ -79,14 +79,17 @@ def write_partitioned(df: DataFrame, path: str, partition: list[str], order: lis
     Files are planned from counts (see ``planning``): from ``cells`` if they are known, otherwise
     from a pass over the partition, entity and time columns. A partition or an entity that holds
     much of the table is spread over several tasks and files, each covering its own range;
-    ``files`` asks for a number of tasks. The partition columns lead the sort: without them the
-    writer would sort again and lose the inner order.
+    ``files`` asks for a number of tasks. Small files are cut one after the other from the sorted
+    rows of a task. The partition columns lead the sort: without them the writer would sort again
+    and lose the inner order.
     """
     if cells is None:
         cells = count_cells(df, partition, order[0], order[1] if len(order) > 1 else None)
     with planned(cells, partition, rows_per_file, files) as plan:
-        dealt(df, plan, partition, order).write.options(
-            **parquet_options(compression, row_group, lookup)).partitionBy(*partition).parquet(path)
+        options = parquet_options(compression, row_group, lookup)
+        if not files and plan.rows_per_task > rows_per_file:
+            options["maxRecordsPerFile"] = str(rows_per_file)
+        dealt(df, plan, partition, order).write.options(**options).partitionBy(*partition).parquet(path)
 
 
 def write_by_year(df: DataFrame, path: str, date: str, entity: str, partition: str = "year",
